@@ -129,7 +129,7 @@ def _own(batches):
     yield emit()
 
 
-def exact_groups(docs: DataFrame, capacity: int = 100_000, max_depth: int = 16, flush_bytes: int = 32 << 20) -> DataFrame:
+def exact_groups(docs: DataFrame, capacity: int = 2_048, max_depth: int = 16, flush_bytes: int = 32 << 20) -> DataFrame:
     """Group the documents whose texts are equal once whitespace is deleted.
 
     ``docs`` needs ``doc_id`` (long) and ``text``; other columns are ignored, so
