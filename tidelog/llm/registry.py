@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontam, exact_dedup, language_id, mixing, near_dedup, sharding, url_filter
+from tidelog.llm import decontam, exact_dedup, language_id, mixing, near_dedup, sharding, toxicity, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.op1,
+        "op2_warc": warc.op2,
         "op3_decontam": decontam.op3,
         "op4_near_dedup": near_dedup.op4,
         "op5_language_id": language_id.op5,
+        "op6_toxicity": toxicity.op6,
         "op7_mixing": mixing.op7,
         "op9_url_filter": url_filter.op9,
         "op10_sharding": sharding.op10,
@@ -22,4 +24,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op3_decontam": decontam.OP3_SQL, "op4_near_dedup": near_dedup.OP4_SQL, "op7_mixing": mixing.OP7_SQL}
+    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op2_warc": warc.OP2_SQL, "op3_decontam": decontam.OP3_SQL, "op4_near_dedup": near_dedup.OP4_SQL, "op7_mixing": mixing.OP7_SQL}

@@ -19,6 +19,8 @@ _BYTE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BYTE[65:91] = _BYTE[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: ASCII that is neither letter nor digit, for words without their punctuation.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _STEP = [np.uint64(x) for x in _RNG.integers(0, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)]
@@ -61,11 +63,12 @@ class Words:
         return np.diff(self.offsets)
 
 
-def words_of(flat: np.ndarray, bounds: np.ndarray) -> Words:
+def words_of(flat: np.ndarray, bounds: np.ndarray, separators: np.ndarray = _SPACE) -> Words:
+    """The words of a block: runs of bytes that aren't ``separators`` (a mask of 256)."""
     n = len(flat)
     if not n:
         return Words(np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), np.zeros(0, np.int64))
-    space = _SPACE[flat]
+    space = separators[flat]
     edge = np.zeros(n + 1, bool)
     edge[bounds] = True
     before = np.empty(n, bool)
@@ -83,12 +86,12 @@ def words_of(flat: np.ndarray, bounds: np.ndarray) -> Words:
     return Words(hashes, np.searchsorted(starts, bounds), at(1) | at(2) << 8 | at(3) << 16)
 
 
-def word_blocks(column: pa.Array, most: int = BLOCK_BYTES):
+def word_blocks(column: pa.Array, most: int = BLOCK_BYTES, separators: np.ndarray = _SPACE):
     """``(first, last, Words)`` for consecutive blocks of rows of a string column."""
     flat, bounds = text_bytes(column)
     for first, last in blocks_of(bounds, most):
         own = bounds[first : last + 1]
-        yield first, last, words_of(flat[own[0] : own[-1]], own - own[0])
+        yield first, last, words_of(flat[own[0] : own[-1]], own - own[0], separators)
 
 
 def shingles_of(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
