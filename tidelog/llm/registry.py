@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontam, exact_dedup, language_id, mixing, near_dedup, sharding, toxicity, url_filter, warc
+import corpus_pipeline
+from tidelog.llm import decontam, exact_dedup, hmm, language_id, mixing, near_dedup, sharding, toxicity, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,8 +19,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language_id": language_id.op5,
         "op6_toxicity": toxicity.op6,
         "op7_mixing": mixing.op7,
+        "op8_hmm": hmm.op8,
         "op9_url_filter": url_filter.op9,
         "op10_sharding": sharding.op10,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -17,6 +17,8 @@ from tidelog.llm.common import blocks_of, text_bytes
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BYTE[65:91] = _BYTE[97:123]
+_LOWER = np.arange(256)
+_LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: ASCII that is neither letter nor digit, for words without their punctuation.
@@ -51,7 +53,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Word hashes of a block of texts; text ``i`` has those from ``offsets[i]`` to ``offsets[i + 1]``.
 
-    ``tail`` holds the last three bytes of each word, for word-shape features.
+    ``tail`` holds the last three bytes of each lower-cased word, for word-shape features.
     """
 
     hashes: np.ndarray
@@ -82,7 +84,7 @@ def words_of(flat: np.ndarray, bounds: np.ndarray, separators: np.ndarray = _SPA
     np.cumsum(_BYTE[flat] * power[:n], dtype=np.uint64, out=total[1:])
     length = (ends - starts).astype(np.uint64)
     hashes = mix((total[ends] - total[starts]) * inverse[starts] + length * np.uint64(0xD6E8FEB86659FD93))
-    at = lambda back: np.where(ends - back >= starts, flat[np.maximum(ends - back, 0)], 0).astype(np.int64)
+    at = lambda back: np.where(ends - back >= starts, _LOWER[flat[np.maximum(ends - back, 0)]], 0)
     return Words(hashes, np.searchsorted(starts, bounds), at(1) | at(2) << 8 | at(3) << 16)
 
 
