@@ -1,6 +1,8 @@
-"""Registered queries and their DuckDB SQL."""
+"""All registered queries and their DuckDB SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from tidelog.plans import upload
+
+QUERIES = {**upload.QUERIES}
+ORACLE_SQL = {**upload.ORACLE_SQL}
