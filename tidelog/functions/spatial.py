@@ -100,7 +100,8 @@ def outline(df: DataFrame, key: str, geo: str) -> DataFrame:
 def overlaps(df: DataFrame, key: str, geo: str) -> DataFrame:
     """Groups with an edge that more than two polygons share: their union by outline isn't exact."""
     flat = df.select(key, F.explode(edges(rings(F.col(geo)))).alias("e"))
-    ends = F.array_sort(F.array(F.struct("e.x1", "e.y1"), F.struct("e.x2", "e.y2")))
+    end = lambda i: F.struct(F.col(f"e.x{i}").alias("x"), F.col(f"e.y{i}").alias("y"))
+    ends = F.array_sort(F.array(end(1), end(2)))
     return flat.groupBy(key, ends.alias("e")).agg(F.count("*").alias("n")).where("n > 2").select(key).distinct()
 
 

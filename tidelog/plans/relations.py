@@ -20,11 +20,12 @@ BRAND = [RelationSpec("P", "brand", multiple_allowed=True)]
 ONE_BRAND = [RelationSpec("P", "brand")]
 CODE_BY_COLUMN = [RelationSpec("P", "code", source_attribute="nation_code")]
 
-NONE = F.expr("CAST(NULL AS TIMESTAMP)")
+def none():
+    return F.lit(None).cast("timestamp")
 
 
 def _ref(value):
-    return F.struct(value.alias("value"), NONE.alias("begin"))
+    return F.struct(value.alias("value"), none().alias("begin"))
 
 
 def customers(spark, d) -> DataFrame:
@@ -45,7 +46,7 @@ def order_lines(spark, d) -> DataFrame:
     """Sources with a list of references: the parts of an order; every 10th has no value."""
     value = F.when(F.col("l_partkey") % 10 != 0, F.col("l_partkey").cast("string"))
     lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(_ref(value)).alias("ref"))
-    return lines.select(F.col("l_orderkey").cast("string").alias("_id"), F.lit("shop").alias("_source"), F.lit("P").alias("_application"), F.col("l_orderkey").alias("_last_event"), NONE.alias("_date_deleted"), "ref")
+    return lines.select(F.col("l_orderkey").cast("string").alias("_id"), F.lit("shop").alias("_source"), F.lit("P").alias("_application"), F.col("l_orderkey").alias("_last_event"), none().alias("_date_deleted"), "ref")
 
 
 def parts(spark, d) -> DataFrame:
@@ -57,7 +58,7 @@ def suppliers(spark, d) -> DataFrame:
     """Sources that refer to a brand, which many parts share."""
     p = table(spark, d, "part").select("p_partkey", "p_brand")
     rows = table(spark, d, "supplier").join(p, F.col("s_suppkey") == F.col("p_partkey"))
-    return rows.select(F.col("s_suppkey").cast("string").alias("_id"), F.lit("erp").alias("_source"), F.lit("P").alias("_application"), F.col("s_suppkey").alias("_last_event"), NONE.alias("_date_deleted"), _ref(F.col("p_brand")).alias("ref"))
+    return rows.select(F.col("s_suppkey").cast("string").alias("_id"), F.lit("erp").alias("_source"), F.lit("P").alias("_application"), F.col("s_suppkey").alias("_last_event"), none().alias("_date_deleted"), _ref(F.col("p_brand")).alias("ref"))
 
 
 def order_states(spark, d) -> DataFrame:
@@ -65,14 +66,14 @@ def order_states(spark, d) -> DataFrame:
     w = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     o = table(spark, d, "orders").join(table(spark, d, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
     o = o.withColumns({"seqnr": F.row_number().over(w), "valid_to": F.lead("o_orderdate").over(w)})
-    return o.select(F.col("o_custkey").cast("string").alias("_id"), "seqnr", F.lit("crm").alias("_source"), F.lit("P").alias("_application"), F.col("o_orderkey").alias("_last_event"), NONE.alias("_date_deleted"), F.col("o_orderdate").alias("valid_from"), "valid_to", _ref(F.col("c_nationkey").cast("string")).alias("ref"))
+    return o.select(F.col("o_custkey").cast("string").alias("_id"), "seqnr", F.lit("crm").alias("_source"), F.lit("P").alias("_application"), F.col("o_orderkey").alias("_last_event"), none().alias("_date_deleted"), F.col("o_orderdate").alias("valid_from"), "valid_to", _ref(F.col("c_nationkey").cast("string")).alias("ref"))
 
 
 def nation_states(spark, d) -> DataFrame:
     """Destinations with states: each nation by year, the last year open."""
     year = F.explode(F.sequence(F.lit(1994), F.lit(2001))).alias("y")
     n = table(spark, d, "nation").select("n_nationkey", year)
-    return n.select(F.col("n_nationkey").cast("string").alias("_id"), (F.col("y") - 1993).alias("seqnr"), F.lit("geo").alias("_source"), F.col("y").cast("long").alias("_last_event"), NONE.alias("_date_deleted"), F.make_timestamp("y", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("valid_from"), F.when(F.col("y") < 2001, F.make_timestamp(F.col("y") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))).alias("valid_to"), F.col("n_nationkey").cast("string").alias("code"))
+    return n.select(F.col("n_nationkey").cast("string").alias("_id"), (F.col("y") - 1993).alias("seqnr"), F.lit("geo").alias("_source"), F.col("y").cast("long").alias("_last_event"), none().alias("_date_deleted"), F.make_timestamp("y", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("valid_from"), F.when(F.col("y") < 2001, F.make_timestamp(F.col("y") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))).alias("valid_to"), F.col("n_nationkey").cast("string").alias("code"))
 
 
 def relation(spark, d) -> DataFrame:
@@ -242,7 +243,7 @@ def q_relation_view(spark, d):
 
 
 def q_refresh_views(spark, d):
-    return refresh_views({"states": (state_rows(spark, d).withColumn("_date_deleted", NONE), True, True)})["states"].select("id", "src_seqnr", "dst_seqnr")
+    return refresh_views({"states": (state_rows(spark, d).withColumn("_date_deleted", none()), True, True)})["states"].select("id", "src_seqnr", "dst_seqnr")
 
 
 def q_latest_state(spark, d):
