@@ -125,7 +125,7 @@ def write_archives(records: DataFrame, path: str, dictionary: bytes, archive_byt
             for page_id, url, payload, first in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "payload", "first")), strict=True):
                 if out is None:
                     name, records, size = f"part-{context.partitionId():06d}-{len(done):04d}-{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}.warc.zst", 0, 0
-                    out = fs.open_output_stream(f"{root}/{name}")
+                    out = fs.open_output_stream(f"{root}/{name}", compression=None)
                     if dictionary:
                         size += out.write(DICTIONARY_MAGIC + len(dictionary).to_bytes(4, "little") + dictionary) or 0
                 size += out.write(frame := compressor.compress(make_record(page_id, url, payload, first, date))) or len(frame)
@@ -180,7 +180,7 @@ def read_archives(manifest: DataFrame, strict: bool = True, payload: bool = True
 
     def rows(path):
         fs, name = pyarrow.fs.FileSystem.from_uri(path)
-        with fs.open_input_stream(name) as stream:
+        with fs.open_input_stream(name, compression=None) as stream:
             frames = read_frames(stream)
             while True:
                 try:
