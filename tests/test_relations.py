@@ -8,9 +8,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidelog.functions import spatial
+from tidelog.functions.ranges import number_in_order
 from tidelog.functions.temporal import validity_match
 from tidelog.operators import evolve
-from tidelog.operators.enrich import autoid, number_in_order
+from tidelog.operators.enrich import autoid
 from tidelog.operators.quality import checked_applications, current_entity
 from tidelog.operators.relate import change_ratio, match, relate, relation_events, relation_rows
 from tidelog.plans import relations as plan

@@ -137,3 +137,16 @@ def test_log_on_disk_is_pruned(spark, tmp_path):
     assert eventlog.tail(log, 1, source="src").count() == 1
     assert not eventlog.has_any(log, entity="nothing") and eventlog.has_any(log, entity="things")
     assert "PartitionFilters: [isnotnull(source" in eventlog.tail(log, 0, source="src")._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_snapshots_and_event_files(spark, tmp_path):
+    from tidelog.sources import state
+
+    path = f"file://{tmp_path}"
+    spark.createDataFrame([("1", 1, "a"), ("2", None, None)], "id string, a int, b string").write.json(f"{path}/json")
+    snap = state.read_snapshot(spark, f"{path}/json", COLL, "json")
+    assert snap.schema.simpleString() == "struct<id:string,a:int,b:string>" and snap.count() == 2
+    events = spark.createDataFrame([("ADD", "1"), ("CONFIRM", "2"), ("BULKCONFIRM", None)], "event string, tid string")
+    state.write_events(events, f"{path}/events")
+    changes, confirms = state.read_events(spark, f"{path}/events")
+    assert (changes.count(), confirms.count()) == (1, 2)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelog.functions.ranges import number_in_order
 from tidelog.functions.spatial import union_coverage, union_points
 from tidelog.functions.temporal import latest_state
 from tidelog.specs import AutoIdSpec
@@ -45,28 +45,6 @@ def enrich(df: DataFrame, specs: list[dict], dry_run: bool = False) -> DataFrame
     return proposals if dry_run and proposals is not None else out
 
 
-def number_in_order(keys: DataFrame, by: str, parts: int = 64) -> DataFrame:
-    """Add ``_rn``, counting distinct keys from 1 in their order: numbers within value ranges, plus the ranges' offsets.
-
-    The ranges come from a sample, so that no task sees all keys; they don't change the numbers.
-    """
-    if dict(keys.dtypes)[by] == "string":
-        rows = keys.withColumn("_p", F.substring(by, 1, 8))
-        sample = rows.select("_p").sample(False, min(1.0, 1000 / max(1, rows.count())), 1).limit(1000).collect()
-        cuts = sorted({r["_p"] for r in sample})[:: max(1, 1000 // parts)]
-    else:
-        rows = keys.withColumn("_p", F.col(by))
-        cuts = sorted(set(rows.approxQuantile("_p", [i / parts for i in range(1, parts)], 0.01)))
-    part = F.lit(0)
-    for c in cuts:
-        part = part + (F.col("_p") > F.lit(c)).cast("int")
-    rows = rows.withColumn("_part", part)
-    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))  # a row per range
-    numbered = rows.withColumn("_rn", F.row_number().over(W.partitionBy("_part").orderBy(by)))
-    return numbered.join(F.broadcast(before), "_part").withColumn("_rn", F.col("_rn") + F.col("_before")).drop("_p", "_part", "_before")  # a row per range
-
-
 def autoid(df: DataFrame, stored: DataFrame, spec: AutoIdSpec) -> tuple[DataFrame, DataFrame]:
     """Give rows without ``spec.column`` an id; also a DataFrame of ``problem, key, value``, empty when all is well.
 

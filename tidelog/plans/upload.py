@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.keys import as_text, normalize_timestamps, populate, staged
+from tidelog.functions.ranges import batch_boundaries
 from tidelog.operators.apply import META, applied_range, apply_all, apply_confirms, fold
 from tidelog.operators.diff import compare_stats, diff, initial_load, pack_confirms, split_confirms, to_events
 from tidelog.sources import eventlog
+from tidelog.sources.state import column_values, current_tids, entities, last_column_value, last_events
 from tidelog.specs import CollectionSpec
 from tidelog.streaming.apply_stream import apply_stream, latest
 
@@ -212,6 +214,31 @@ def q_apply_stream(spark, d):
     return shown(latest(spark, f"{base}/state", ACCOUNTS)[0])
 
 
+def q_entities(spark, d):
+    wanted = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("tid")).where("tid LIKE '%5'")
+    return entities(current_orders(spark, d), wanted).select("_tid", "_last_event")
+
+
+def q_current_tids(spark, d):
+    return current_tids(current_orders(spark, d))
+
+
+def q_last_events(spark, d):
+    return last_events(current_orders(spark, d))
+
+
+def q_column_values(spark, d):
+    return column_values(current_orders(spark, d), "src_a", "o_orderpriority", "o_orderstatus", "F")
+
+
+def q_last_column_value(spark, d):
+    return last_column_value(current_orders(spark, d), "src_a", "_tid", "12%")
+
+
+def q_batch_boundaries(spark, d):
+    return batch_boundaries(current_orders(spark, d), "_last_event", 3000)
+
+
 QUERIES = {name.removeprefix("q_"): f for name, f in list(globals().items()) if name.startswith("q_")}
 
 _HASH = "md5(concat_ws('|', o_custkey::VARCHAR, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f'), o_orderkey::VARCHAR, o_orderpriority, o_orderstatus, o_totalprice::VARCHAR, o_orderkey::VARCHAR, '0.2', 'shopfloor'))"
@@ -302,4 +329,10 @@ ORACLE_SQL = {
     "applied_range": f"{_ACCOUNTS} SELECT min(eventid - eventid % 1000) AS before, max(eventid) AS after, count(*) FILTER (action = 'ADD') AS add, count(*) FILTER (action = 'MODIFY') AS modify, count(*) FILTER (action = 'DELETE') AS delete, count(*) FILTER (action = 'CONFIRM') AS confirm FROM l",
     "apply_all": f"{_ACCOUNTS} SELECT -1::BIGINT AS before, max(eventid) AS after, count(*) FILTER (action = 'ADD') AS add, count(*) FILTER (action = 'MODIFY') AS modify, count(*) FILTER (action = 'DELETE') AS delete, count(*) FILTER (action = 'CONFIRM') AS confirm FROM l",
     "apply_stream": _FOLD,
+    "entities": f"WITH {_ORDERS} x AS (SELECT 1) SELECT tid AS _tid, o_orderkey AS _last_event FROM c WHERE NOT deleted AND o_orderkey % 10 = 5 AND o_orderkey IN (SELECT l_orderkey FROM lineitem)",
+    "current_tids": f"WITH {_ORDERS} x AS (SELECT 1) SELECT tid AS _tid FROM c WHERE NOT deleted",
+    "last_events": f"WITH {_ORDERS} x AS (SELECT 1) SELECT tid AS _tid, o_orderkey AS _last_event FROM c",
+    "column_values": f"WITH {_ORDERS} x AS (SELECT 1) SELECT DISTINCT o_orderpriority FROM c WHERE source = 'src_a' AND o_orderstatus = 'F'",
+    "last_column_value": f"WITH {_ORDERS} x AS (SELECT 1) SELECT max(tid) AS value FROM c WHERE source = 'src_a' AND tid LIKE '12%'",
+    "batch_boundaries": f"WITH {_ORDERS} r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM c) SELECT o_orderkey AS boundary FROM r WHERE rn % 3000 = 0",
 }
