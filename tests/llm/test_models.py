@@ -114,7 +114,7 @@ def test_chain_learns_from_out_of_fold_predictions():
 
 
 def test_toxicity_on_labelled_documents(spark):
-    rows = {r["doc_id"]: r["is_toxic"] for r in toxicity.op6(spark, SF).collect()}
+    rows = {r["doc_id"]: r["toxic"] for r in toxicity.op6(spark, SF).collect()}
     labels = duckdb.sql(f"SELECT doc_id, toxic FROM '{SF}/labels.parquet'").fetchall()
     caught = [rows[d] for d, t in labels if t]
     clean = [rows[d] for d, t in labels if not t]

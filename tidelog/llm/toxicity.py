@@ -194,4 +194,5 @@ def drop_toxic(docs: DataFrame, chain: list[Link], category: str = "toxic") -> D
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
-    return score_toxicity(docs.select("doc_id", "text"), train_chain(docs, labels)).drop("text")
+    scored = score_toxicity(docs.select("doc_id", "text"), train_chain(docs, labels))
+    return scored.select("doc_id", *[f"p_{c}" for c in CATEGORIES], F.col("is_toxic").alias("toxic"))
