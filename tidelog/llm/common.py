@@ -82,3 +82,10 @@ def blocks_of(bounds: np.ndarray, most: int):
         last = min(max(last, first + 1), n)
         yield first, last
         first = last
+
+
+def slices(batches, most: int = 8 << 20):
+    """The batches cut into runs of rows with about ``most`` bytes of ``text`` at most, which bounds a task's memory; a longer row is alone."""
+    for b in batches:
+        for first, last in blocks_of(text_bytes(b.column("text"))[1], most):
+            yield b.slice(first, last - first)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, crc_bucket, stage_table
+from tidelog.llm.common import batch, crc_bucket, slices, stage_table
 from tidelog.llm.words import mix, word_blocks
 
 #: Hidden states; words with emissions of their own; classes (by ending) that share the other words.
@@ -20,7 +20,7 @@ SEGMENT = 256
 END = np.uint64(0xE4D0F7E87)
 _SLOTS = 20
 _COUNT = pa.schema([("h", pa.int64()), ("cls", pa.int32()), ("n", pa.int64())])
-_SUM = pa.schema([("symbol", pa.int32()), ("sums", pa.list_(pa.float64()))])
+_SUM = pa.schema([("symbol", pa.int32()), *[(f"s{k}", pa.float64()) for k in range(STATES)]])
 
 
 def _classes(words) -> np.ndarray:
@@ -77,15 +77,22 @@ class Model:
 
 
 def _count_words(batches):
+    """The counts of each batch's words, counted in slices and then added up."""
     for b in batches:
-        hashes, classes = [], []
-        for _, _, words in word_blocks(b.column("text")):
-            hashes.append(words.hashes)
-            classes.append(_classes(words))
-        flat = np.concatenate(hashes or [np.zeros(0, np.uint64)])
-        known, at, n = np.unique(flat, return_index=True, return_counts=True)
-        cls = np.concatenate(classes or [np.zeros(0, np.int32)])[at]
-        yield batch(_COUNT, h=np.append(known, END).view(np.int64), cls=np.append(cls, -1), n=np.append(n, b.num_rows))
+        parts = []
+        for piece in slices([b]):
+            hashes, classes = [], []
+            for _, _, words in word_blocks(piece.column("text")):
+                hashes.append(words.hashes)
+                classes.append(_classes(words))
+            known, at, n = np.unique(np.concatenate(hashes or [np.zeros(0, np.uint64)]), return_index=True, return_counts=True)
+            parts.append((known, np.concatenate(classes or [np.zeros(0, np.int32)])[at], n))
+        h, cls, n = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
+        order = np.argsort(h, kind="stable")
+        h, cls, n = h[order].astype(np.uint64), cls[order], n[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+        n = np.add.reduceat(n, first) if len(h) else n
+        yield batch(_COUNT, h=np.append(h[first], END).view(np.int64), cls=np.append(cls[first], -1), n=np.append(n, b.num_rows))
 
 
 def corpus_counts(train: DataFrame) -> tuple[DataFrame, Vocabulary]:
@@ -189,7 +196,7 @@ def baum_welch(train: DataFrame, vocabulary: Vocabulary, passes: int = 3) -> tup
 
         def gather(batches, current=current):
             totals = None
-            for b in batches:
+            for b in slices(batches):
                 parts = [(sym, off) for *_, sym, off in _texts(b.column("text"), shared.value)]
                 if not parts:
                     continue
@@ -201,13 +208,15 @@ def baum_welch(train: DataFrame, vocabulary: Vocabulary, passes: int = 3) -> tup
             if totals is not None:
                 first, moves, emissions, likelihood = totals
                 used = np.flatnonzero(emissions.any(0))
-                rows = [*emissions[:, used].T.tolist(), *moves.tolist(), first.tolist(), [likelihood]]
-                yield batch(_SUM, symbol=[*used.tolist(), *range(size, size + STATES + 2)], sums=rows)
+                sums = np.vstack([emissions[:, used].T, moves, first, np.eye(1, STATES) * likelihood])
+                symbols = np.concatenate([used, np.arange(size, size + STATES + 2)])
+                yield batch(_SUM, symbol=symbols, **{f"s{k}": sums[:, k] for k in range(STATES)})
 
-        added = train.mapInArrow(gather, "symbol int, sums array<double>").select("symbol", F.posexplode("sums").alias("state", "x")).groupBy("symbol", "state").agg(F.sum("x").alias("x"))
+        columns = [f"s{k}" for k in range(STATES)]
+        added = train.mapInArrow(gather, "symbol int, " + ", ".join(f"{c} double" for c in columns)).groupBy("symbol").agg(*[F.sum(c).alias(c) for c in columns])
         sums = np.zeros((size + STATES + 2, STATES))
-        for r in added.toLocalIterator():  # at most STATES numbers per symbol
-            sums[r["symbol"], r["state"]] = r["x"]
+        for r in added.collect():  # a row per symbol: a number fixed by FREQUENT and CLASSES
+            sums[r["symbol"]] = [r[c] for c in columns]
         emit = sums[:size].T + 0.01
         move, start = sums[size : size + STATES] + 1.0, sums[size + STATES] + 1.0
         history.append(float(sums[size + STATES + 1, 0]))
@@ -269,7 +278,7 @@ def score_texts(docs: DataFrame, held_out_rest: int = 1, passes: int = 3) -> Dat
         own = len(vocabulary.hashes)
         base = vocabulary.base(np.append(vocabulary.counts, vocabulary.end))
         known_end = int(vocabulary.end > 0)
-        for b in batches:
+        for b in slices(batches):
             n_tokens, known, head, tails, symbols, lengths = [], [], [], [], [np.zeros(0, np.int32)], []
             for first, last, words, classes, sym, off in _texts(b.column("text"), vocabulary):
                 text = np.repeat(np.arange(last - first), np.diff(off))
