@@ -100,7 +100,15 @@ def corpus_counts(train: DataFrame) -> tuple[DataFrame, Vocabulary]:
     raw = train.mapInArrow(_count_words, "h long, cls int, n long")
     counts = stage_table(raw.groupBy("h", "cls").agg(F.sum("n").alias("n")).where("n > 0"), "hmm-counts")
     tokens, distinct, end = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("cls") < 0, F.col("n"))), F.lit(0))).first()
-    top = counts.where("cls >= 0").orderBy(F.desc("n"), "h").limit(FREQUENT - 1).collect()
+    # How many words have each count decides which counts are frequent; only those words go to the driver.
+    sizes = counts.where("cls >= 0").groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(FREQUENT).collect()
+    least, held = None, 0
+    for r in sizes:
+        held += r["words"]
+        if held >= FREQUENT:
+            break
+        least = r["n"]
+    top = counts.where((F.col("cls") >= 0) & (F.col("n") >= least)).collect() if least else []  # fewer than FREQUENT
     hashes = np.array([r["h"] for r in top], np.int64).view(np.uint64)
     own = np.array([r["n"] for r in top], np.int64)
     class_tokens, class_words = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
@@ -250,8 +258,8 @@ def score_texts(docs: DataFrame, held_out_rest: int = 1, passes: int = 3) -> Dat
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. The model
     learns from all rows whose crc32(doc_id) mod 5 is not ``held_out_rest``.
 
-    The vocabulary grows with the corpus, the model doesn't: the 32,767 most
-    frequent words and the end token have emissions of their own, every other word
+    The vocabulary grows with the corpus, the model doesn't: the most frequent words
+    (at most 32,767, those of one count together) and the end token have emissions of their own, every other word
     is emitted through one of 256 classes by its ending, and within its class by
     its corpus count. That last factor doesn't depend on the state, so the forward
     recursion runs over bounded tables and the factor is added per word. The counts
@@ -278,9 +286,10 @@ def score_texts(docs: DataFrame, held_out_rest: int = 1, passes: int = 3) -> Dat
         own = len(vocabulary.hashes)
         base = vocabulary.base(np.append(vocabulary.counts, vocabulary.end))
         known_end = int(vocabulary.end > 0)
-        for b in slices(batches):
+        for b in batches:
             n_tokens, known, head, tails, symbols, lengths = [], [], [], [], [np.zeros(0, np.int32)], []
-            for first, last, words, classes, sym, off in _texts(b.column("text"), vocabulary):
+            blocks = (x for piece in slices([b]) for x in _texts(piece.column("text"), vocabulary))
+            for first, last, words, classes, sym, off in blocks:
                 text = np.repeat(np.arange(last - first), np.diff(off))
                 is_own = sym <= own
                 n_tokens.append(np.diff(off))
