@@ -74,7 +74,7 @@ def test_geometry(spark):
     wkt = "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))"
     points = {(3.0, 3.0): True, (1.5, 1.5): False, (0.0, 2.0): False, (4.0, 4.0): False, (5.0, 1.0): False, (0.5, 1.0): True, (1.0, 1.5): False}
     df = spark.createDataFrame([(wkt, x, y) for x, y in points], "w string, x double, y double")
-    got = {(r["x"], r["y"]): r["c"] for r in df.select("x", "y", spatial.contains(spatial.rings(F.col("w")), F.col("x"), F.col("y")).alias("c")).collect()}
+    got = {(r["x"], r["y"]): r["c"] for r in df.select("x", "y", spatial.contains(spatial.edges(spatial.rings(F.col("w"))), F.col("x"), F.col("y")).alias("c")).collect()}
     assert got == points
     valid = {wkt: True, "POLYGON ((0 0, 2 2, 2 0, 0 2, 0 0))": False, "POLYGON ((0 0, 1 0, 0 0))": False, "POLYGON ((0 0, 1 0, 1 1, 0 1))": False, "POINT (1 2)": False, "": False}
     got = {r["w"]: r["v"] for r in spark.createDataFrame([(w,) for w in valid], "w string").select("w", spatial.is_valid(spatial.rings(F.col("w"))).alias("v")).collect()}

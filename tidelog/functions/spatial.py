@@ -30,18 +30,17 @@ def _side(e: Column, x: Column, y: Column) -> Column:
     return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
 
 
-def is_valid(polygon: Column) -> Column:
-    """Rings of at least four points that are closed, and no two edges that cross."""
+def is_valid(polygon: Column, own: Column | None = None) -> Column:
+    """Rings of at least four points that are closed, and no two edges that cross. ``own``: the edges, if there is a column of them."""
     closed = F.forall(polygon, lambda r: (F.size(r) >= 4) & (F.get(r, F.lit(0)) == F.element_at(r, -1)))
-    own = edges(polygon)
+    own = edges(polygon) if own is None else own
     differ = lambda a, b, c, d, e: _side(e, a, b) * _side(e, c, d) < 0
     cross = lambda e, o: differ(e["x1"], e["y1"], e["x2"], e["y2"], o) & differ(o["x1"], o["y1"], o["x2"], o["y2"], e)
     return F.coalesce((F.size(polygon) > 0) & closed & ~F.exists(own, lambda e: F.exists(own, lambda o: cross(e, o))), F.lit(False))
 
 
-def contains(polygon: Column, x: Column, y: Column) -> Column:
-    """Whether the point lies inside; points on the boundary don't. Rays are cast to the right, so holes count as outside."""
-    own = edges(polygon)
+def contains(own: Column, x: Column, y: Column) -> Column:
+    """Whether the point lies inside the polygon with the ``own`` edges; points on the boundary don't. Rays are cast to the right, so holes count as outside."""
     between = lambda v, a, b: (v >= F.least(a, b)) & (v <= F.greatest(a, b))
     on_edge = F.exists(own, lambda e: (_side(e, x, y) == 0) & between(x, e["x1"], e["x2"]) & between(y, e["y1"], e["y2"]))
     hits = F.filter(own, lambda e: ((e["y1"] > y) != (e["y2"] > y)) & (x < e["x1"] + (y - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"])))
@@ -71,12 +70,12 @@ def lies_in(src: DataFrame, dst: DataFrame, src_geo: str, dst_geo: str, cell: fl
     at = F.coalesce(point(F.col(src_geo)), F.when(F.upper(F.ltrim(src_geo)).startswith("POLYGON"), point_on_surface(rings(F.col(src_geo)))))
     cell_of = lambda v: F.floor(v / cell).cast("long")
     points = src.select(F.col("_id").alias("src_id"), at.alias("p")).where("p.x IS NOT NULL").select("src_id", "p", cell_of(F.col("p.x")).alias("cx"), cell_of(F.col("p.y")).alias("cy"))
-    areas = dst.select(F.col("_id").alias("dst_id"), rings(F.col(dst_geo)).alias("poly"))
-    areas = areas.where(is_valid(F.col("poly")))
+    areas = dst.select(F.col("_id").alias("dst_id"), rings(F.col(dst_geo)).alias("poly")).withColumn("edges", edges(F.col("poly")))
+    areas = areas.where(is_valid(F.col("poly"), F.col("edges")))
     flat = F.flatten("poly")
     span = lambda axis: F.sequence(cell_of(F.array_min(F.transform(flat, lambda p: p[axis]))), cell_of(F.array_max(F.transform(flat, lambda p: p[axis]))))
-    cells = areas.withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y")))
-    return points.join(cells, ["cx", "cy"]).where(contains(F.col("poly"), F.col("p.x"), F.col("p.y"))).select("src_id", "dst_id")
+    cells = areas.withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y"))).select("dst_id", "edges", "cx", "cy")
+    return points.join(cells, ["cx", "cy"]).where(contains(F.col("edges"), F.col("p.x"), F.col("p.y"))).select("src_id", "dst_id")
 
 
 def union_points(df: DataFrame, key: str, geo: str) -> DataFrame:
