@@ -41,28 +41,31 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _sketch(k: int):
+def _sketch(k: int, together: int = 1 << 16):
+    """Sketches of a partition's texts; about ``together`` shingles are signed at once."""
+
     def run(batches):
         for b in batches:
-            ids, held, at = b.column("doc_id"), [], []
-            n, keys, sigs = [], [], []
+            n, keys, sigs, held, at = [], [], [], [], []
 
             def sign():
-                if held:
-                    for i, row in zip(at, signatures(held), strict=True):
-                        sigs[i] = row.tolist()
-                    held.clear(), at.clear()
+                for i, row in zip(at, signatures(held) if held else [], strict=True):
+                    sigs[i] = row.tolist()
+                held.clear(), at.clear()
 
+            size = 0
             for i, s in enumerate(_sets(b.column("text"), k)):
                 n.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None)
                 sigs.append(None)
                 if len(s):
                     held.append(s), at.append(i)
-                if sum(map(len, held[-1:])) + len(held) > 256:
+                    size += len(s)
+                if size >= together:
                     sign()
+                    size = 0
             sign()
-            yield batch(_SKETCH, doc_id=ids, n=n, set_key=keys, sig=sigs)
+            yield batch(_SKETCH, doc_id=b.column("doc_id"), n=n, set_key=keys, sig=sigs)
 
     return run
 
