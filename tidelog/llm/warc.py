@@ -90,8 +90,10 @@ def parse_record(raw: bytes) -> dict:
 
 def train_dictionary(pages: DataFrame, samples: int = 400, sample_chars: int = 8192, size: int = 32768) -> bytes:
     """A dictionary of ``size`` bytes from ``samples`` pages that a hash picks; empty where there is too little to learn from."""
-    chosen = pages.where("html IS NOT NULL").select(F.xxhash64("page_id", "url").alias("key"), F.substring("html", 1, sample_chars).alias("html"))
-    texts = [r["html"].encode("utf-8", "replace") for r in chosen.orderBy("key", "html").limit(samples).collect()]
+    rows = pages.where("html IS NOT NULL").select(F.xxhash64("page_id", "url").alias("key"), F.substring("html", 1, sample_chars).alias("html"))
+    keys = rows.select("key").orderBy("key").limit(samples).collect()  # first the keys alone, then the few pages they stand for
+    chosen = rows.where(F.col("key") <= max((r["key"] for r in keys), default=0)).groupBy("key").agg(F.min("html").alias("html")).limit(samples).collect()
+    texts = [r["html"].encode("utf-8", "replace") for r in sorted(chosen, key=lambda r: r["key"])]
     try:
         return zstandard.train_dictionary(size, texts).as_bytes()
     except zstandard.ZstdError:
