@@ -16,6 +16,8 @@ from tidelog.llm.words import mix, shingles_of, word_blocks
 
 #: Trees of the forest; each begins with four 16-bit hash values of its own.
 TREES = 32
+#: Parts into which a cluster's nodes are dealt where they join the cluster's size.
+SALTS = 16
 _MULTIPLIERS = np.random.default_rng(7).integers(0, 2**63, 4 * TREES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_key", pa.string()), ("sig", pa.list_(pa.int64()))])
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("part", pa.int32()), ("last", pa.bool_()), ("tree", pa.int32()), ("k1", pa.int64())])
@@ -256,7 +258,9 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, cap: int = 64, b
 
     sizes = nodes.select("node", "n").join(clusters, "node")
     blocks = sizes.groupBy("component").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
-    wanted = clusters.join(blocks, "component").select(F.col("component").alias("label"), "blocks", "node", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
+    blocks = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = clusters.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(SALTS)).cast("int"))  # one cluster may be a third of all
+    wanted = salted.join(blocks, ["component", "salt"]).select(F.col("component").alias("label"), "blocks", "node", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
     texts = chosen.join(wanted, chosen["doc_id"] == wanted["node"]).select("label", "block", "blocks", "node", "text")
     sets = texts.mapInArrow(_text_sets(k), "label long, block int, blocks int, node long, items binary")
     pairs = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
