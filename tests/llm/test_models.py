@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidelog.llm import hmm, language_id, toxicity, url_filter
 from tidelog.llm.common import text_bytes
@@ -81,6 +82,16 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_rare_languages_keep_their_training_rows(spark):
+    lang = F.when(F.col("id") < 120_000, F.concat(F.lit("l"), F.col("id") % 6)).when(F.col("id") < 120_500, "rare").otherwise("rarest")
+    docs = spark.range(120_600).select(F.col("id").alias("doc_id"), lang.alias("lang"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    labels, x, y = language_id.training_windows(docs)
+    trainable = lambda a, b: sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(a, b))
+    got = dict(zip(labels, np.bincount(y, minlength=len(labels)).tolist(), strict=True))  # each text is one window
+    assert got["rare"] == min(400, trainable(120_000, 120_500)) and got["rarest"] == trainable(120_500, 120_600)
+    assert len(got) == 8 and all(350 <= got[f"l{k}"] <= 400 for k in range(6))
+
+
 def test_languages_of_odd_documents(odd_docs, no_docs):
     tagger = language_id.train_tagger(odd_docs, steps=3)
     rows = language_id.label_languages(odd_docs, tagger).collect()

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,8 +165,8 @@ class ByteTagger:
 
 
 def training_windows(docs: DataFrame, per_label: int = 400, most_labels: int = 64, chars: int = 512) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Labels, byte windows and label numbers from a bounded sample: about ``per_label`` labelled rows
-    of each of the ``most_labels`` most frequent labels, ``chars`` characters from a place that a hash picks."""
+    """Labels, byte windows and label numbers from a bounded sample: ``per_label`` labelled rows at most
+    of each of the ``most_labels`` most frequent labels, however rare beside the others, ``chars`` characters from a place that a hash picks."""
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(crc_bucket(F.col("doc_id")) != 0).select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_labels).collect()}
     if not counts:
@@ -174,7 +175,10 @@ def training_windows(docs: DataFrame, per_label: int = 400, most_labels: int = 6
     key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), F.char_length("text") - chars)) + 1
     chosen = rows.where(F.get(F.array(F.element_at(share, F.col("lang"))), F.lit(0)) * (1 << 30) > key)
-    sample = chosen.select("lang", key.alias("key"), F.substring("text", place.cast("int"), F.lit(chars)).alias("text")).orderBy("key", "lang", "text").limit(per_label * len(counts)).collect()
+    chosen = chosen.select("lang", key.alias("key"), F.substring("text", place.cast("int"), F.lit(chars)).alias("text"))
+    # Each label has a limit of its own: a common one on the keys would cut the rarest label, whose keys reach farthest.
+    nth = F.row_number().over(W.partitionBy("lang").orderBy("key", "text"))
+    sample = chosen.withColumn("nth", nth).where(F.col("nth") <= per_label).orderBy("key", "lang", "text").collect()
     labels = sorted({r["lang"] for r in sample})
     x, y = [], []
     for r in sample:
