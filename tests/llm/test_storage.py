@@ -87,6 +87,33 @@ def test_mix_of_odd_documents(odd_docs, no_docs):
     assert set(mixing.mixed_documents(odd_docs).columns) == set(odd_docs.columns)
 
 
+def test_mixed_sequence_is_even_and_in_order(spark):
+    source = F.element_at(F.array(*map(F.lit, "abcc")), (F.col("id") % 4 + 1).cast("int"))
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), source.alias("source"), F.expr("repeat('w ', 5 + cast(id % 7 AS int))").alias("text"))
+    sequence = mixing.mixed_sequence(docs, block_words=64)
+    files = sequence.groupBy(F.input_file_name().alias("f")).agg(F.min("slot").alias("lo"), F.max("slot").alias("hi")).orderBy("f").collect()
+    assert all(x["hi"] <= y["lo"] for x, y in zip(files, files[1:], strict=False))
+    rows = sorted(sequence.collect(), key=lambda r: r["slot"])
+    taken, passes = collections.Counter(), collections.defaultdict(list)
+    for r in rows:
+        taken[r["doc_id"]] += r["words"]
+        if r["first"] == 0:
+            passes[r["doc_id"]].append(r["slot"])
+    want = {r["doc_id"]: r["taken"] for r in mixing.mix(docs, block_words=64).collect()}
+    assert taken == {d: n for d, n in want.items() if n}
+    totals, seen = collections.Counter(), collections.Counter()
+    for r in rows:
+        totals[r["source"]] += r["words"]
+    for r in rows:
+        seen[r["source"]] += r["words"]
+        assert all(abs(seen[s] - totals[s] * sum(seen.values()) / sum(totals.values())) < 10 * 64 for s in totals)
+    used, slots = collections.Counter(), []
+    for r in mixing.mixed_documents(docs, block_words=64).collect():
+        slots.append(passes[r["doc_id"]][used[r["doc_id"]]])
+        used[r["doc_id"]] += 1
+    assert slots == sorted(slots) and used == {d: k for d, n in want.items() if (k := int(n / (5 + d % 7) + 0.5))}
+
+
 def test_targets_are_shared_again(spark):
     sizes = spark.createDataFrame([(1, "a", 10), (2, "b", 1000), (3, "c", 5), (4, None, 400), (5, "z", 0)], "doc_id long, source string, size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(sizes).collect()}

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, stage_table
+from tidelog.llm.common import batch, shuffle_width, stage_table
 from tidelog.llm.words import word_blocks
 
 _SIZED = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("size", pa.int64())])
@@ -93,11 +93,47 @@ def _positions(sizes: DataFrame, seed: str) -> DataFrame:
     return rows.withColumn("inside", inside).join(before, ["idx", "part"]).withColumn("start", F.col("inside") + F.col("before"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, block_words: int = 1 << 16, seed: str = "mix:") -> DataFrame:
-    """How many words the mix takes from each document.
+def _mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, block_words: int = 1 << 16, seed: str = "mix:") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The written sequence, the documents with words at their places in the streams (``idx, start``), and those without words."""
+    sizes = stage_table(word_sizes(docs), "mix-sizes")
+    sources = stage_table(source_targets(sizes, weights, share, most), "mix-sources")
+    size, quota = F.col("source_size"), F.floor("target").cast("long")
+    plan = sources.where("source_size > 0").withColumn("quota", quota).withColumn("blocks", F.greatest(F.lit(8), F.ceil(size / block_words)))
+    plan = plan.withColumn("block", F.ceil(size / F.col("blocks")).cast("long")).withColumn("blocks", F.ceil(size / F.col("block")).cast("long"))
+    plan = plan.withColumn("slots", F.expr("quota div source_size * blocks + ceil(quota % source_size / block)").cast("long"))
+
+    slots = schedule(plan.select("idx", "slots")).join(plan.select("idx", "source", "quota", "block", "blocks", "source_size"), "idx")
+    slots = slots.withColumn("at", F.pmod("rank", "blocks")).withColumn("length", F.least("block", size - F.col("at") * F.col("block")))
+    slots = slots.withColumn("take", F.least("length", F.expr("quota - (rank div blocks * source_size + at * block)")))
+    slots = slots.select("idx", "source", "at", "slot", "take", F.expr("rank div blocks").alias("pass"))
+
+    indexed = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).select(sizes["doc_id"], "size", "idx", "source_size", "target")
+    placed = stage_table(_positions(indexed, seed).join(plan.select("idx", "block"), "idx").select("doc_id", "size", "idx", "source_size", "target", "start", "block"), "mix-placed")
+    pieces = placed.select("doc_id", "size", "idx", "start", "block", F.explode(F.expr("sequence(start div block, (start + size - 1) div block)")).alias("at"))
+    a = F.greatest(F.lit(0), F.col("start") - F.col("at") * F.col("block"))
+    b = F.least("block", F.col("start") + F.col("size") - F.col("at") * F.col("block"))
+    spans = pieces.withColumn("a", a).withColumn("b", b).join(slots, ["idx", "at"]).withColumn("words", F.least("b", "take") - F.col("a")).where("words > 0")
+    spans = spans.select("slot", "source", F.col("at").alias("block"), "doc_id", (F.col("at") * F.col("block") + F.col("a") - F.col("start")).alias("first"), "words", "idx", "start", "pass", "a")
+    ordered = spans.repartitionByRange(shuffle_width(docs.sparkSession), "slot", "a").sortWithinPartitions("slot", "a").drop("a")
+    return stage_table(ordered, "mix-sequence"), placed, indexed.where("size = 0")
+
+
+def mixed_sequence(docs: DataFrame, **options) -> DataFrame:
+    """The mixed sequence: ``slot, source, block, doc_id, first, words``, written in order of the slots.
+
+    Each row is a run of words that a slot draws from one document: ``words`` words
+    from its word ``first`` on (0 is a document's first). The rows of a slot stand in
+    the order of the block's stream. Options are those of ``mix``.
+    """
+    return _mixed(docs, **options)[0].select("slot", "source", "block", "doc_id", "first", "words")
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """How many words the mix takes from each document, added up over the mixed sequence.
 
     ``docs`` needs ``doc_id``, ``text`` and ``source``; other columns are ignored.
     Returns one row per input row: ``doc_id, size, source_size, target, taken``.
+    Options: ``weights``, ``share`` and ``most`` of ``source_targets``, ``block_words``, ``seed``.
 
     Each source's documents, shuffled by a hash of their id, form one stream of
     words that is cut into equal blocks of at most ``block_words`` (at least
@@ -111,34 +147,27 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     rows are separate rows. An empty table gives an empty result. A document
     longer than a block lies in several blocks.
     """
-    sizes = stage_table(word_sizes(docs), "mix-sizes")
-    sources = stage_table(source_targets(sizes, weights, share, most), "mix-sources")
-    size, quota = F.col("source_size"), F.floor("target").cast("long")
-    plan = sources.where("source_size > 0").withColumn("quota", quota).withColumn("blocks", F.greatest(F.lit(8), F.ceil(size / block_words)))
-    plan = plan.withColumn("block", F.ceil(size / F.col("blocks")).cast("long")).withColumn("blocks", F.ceil(size / F.col("block")).cast("long"))
-    plan = plan.withColumn("slots", F.expr("quota div source_size * blocks + ceil(quota % source_size / block)").cast("long"))
-
-    slots = schedule(plan.select("idx", "slots")).join(plan.select("idx", "quota", "block", "blocks", "source_size"), "idx")
-    slots = slots.withColumn("at", F.pmod("rank", "blocks")).withColumn("length", F.least("block", size - F.col("at") * F.col("block")))
-    slots = slots.withColumn("take", F.least("length", F.expr("quota - (rank div blocks * source_size + at * block)")))
-    draws = slots.groupBy("idx", "at").agg(F.count_if(F.col("take") == F.col("length")).alias("whole"), F.coalesce(F.max(F.when(F.col("take") < F.col("length"), F.col("take"))), F.lit(0)).alias("part"))
-
-    indexed = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).select(sizes["doc_id"], "size", "idx", "source_size", "target")
-    placed = _positions(indexed, seed).join(plan.select("idx", "block"), "idx")
-    pieces = placed.select("doc_id", "size", "idx", "source_size", "target", "start", "block", F.explode(F.expr("sequence(start div block, (start + size - 1) div block)")).alias("at"))
-    a = F.greatest(F.lit(0), F.col("start") - F.col("at") * F.col("block"))
-    b = F.least("block", F.col("start") + F.col("size") - F.col("at") * F.col("block"))
-    pieces = pieces.join(draws, ["idx", "at"], "left").withColumn("words", (b - a) * F.coalesce("whole", F.lit(0)) + F.greatest(F.lit(0), F.least(b, F.coalesce("part", F.lit(0))) - a))
-    taken = pieces.groupBy("idx", "start", "size", "doc_id", "source_size", "target").agg(F.sum("words").alias("taken"))
+    sequence, placed, empty = _mixed(docs, **options)
+    taken = sequence.groupBy("idx", "start").agg(F.sum("words").alias("taken"))
     columns = ["doc_id", "size", "source_size", "target", "taken"]
-    return taken.select(*columns).unionByName(indexed.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*columns))
+    found = placed.join(taken, ["idx", "start"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
+    return found.select(*columns).unionByName(empty.withColumn("taken", F.lit(0).cast("long")).select(*columns))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix: each as often as the words taken from it come to whole copies, rounded."""
-    copies = mix(docs, **options).groupBy("doc_id").agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("_share"))
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["doc_id"])).withColumn("_copies", F.round("_share").cast("int")).where("_copies > 0")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns])
+    """The documents of the mix in its order: each as often as the words taken from it come to whole copies, rounded.
+
+    A copy stands at the slot where that pass over the source's stream reaches the
+    document's first word. Rows of one id share their slots.
+    """
+    sequence, placed, _ = _mixed(docs, **options)
+    words = placed.groupBy("doc_id").agg(F.sum("size").alias("_size"))
+    passes = sequence.groupBy("doc_id", "pass").agg(F.sum("words").alias("words"), F.min(F.when(F.col("first") == 0, F.col("slot"))).alias("slot"))
+    starts = passes.groupBy("doc_id").agg(F.sum("words").alias("_taken"), F.array_sort(F.collect_list("slot")).alias("_slots"))
+    copies = words.join(starts, words["doc_id"].eqNullSafe(starts["doc_id"])).select(words["doc_id"], F.round(F.col("_taken") / F.col("_size")).cast("int").alias("_copies"), "_slots")
+    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["doc_id"])).where("_copies > 0")
+    placed = joined.withColumn("_slot", F.explode(F.slice("_slots", F.lit(1), F.col("_copies")))).withColumn("_at", F.xxhash64(docs["doc_id"], docs["text"]))
+    return placed.repartitionByRange(shuffle_width(docs.sparkSession), "_slot", "_at").sortWithinPartitions("_slot", "_at").select(*[docs[c] for c in docs.columns])
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
