@@ -171,6 +171,19 @@ def test_placement_against_the_table(spark, odd_docs, no_docs, tmp_path):
     assert spark.read.parquet(f"file://{tmp_path}/out").count() == odd_docs.count()
 
 
+def test_whole_documents_are_sharded(spark, odd_docs, tmp_path):
+    docs = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sharding.op10(spark, str(tmp_path)).collect()
+    want = sharding.place(docs).select("doc_id", "slot", "shard").collect()
+    assert sorted(map(str, rows)) == sorted(map(str, want))
+    assert len({r["slot"] for r in rows if r["doc_id"] is None}) == 2  # by all columns, not in one pile
+    path = f"{tmp_path}/shards"
+    assert sorted(map(str, sharding.sharded(docs, path).select(docs.columns).collect())) == sorted(map(str, docs.collect()))
+    docs.where("false").write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert sharding.op10(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_pipeline_stage_by_stage(spark):
     d = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{d}/documents.parquet")

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.llm.common import shared_dir
+
 
 def _number(name: str, salt: int, below: int) -> int:
     """A stable number below ``below`` from a shard's name (FNV-1a)."""
@@ -66,5 +68,13 @@ def write_shards(df: DataFrame, path: str, shards: int = 64, files: int = 4, **o
     placed.repartition(shards * files, "shard", spread).write.partitionBy("shard").parquet(path)
 
 
+def sharded(df: DataFrame, path: str, shards: int = 64) -> DataFrame:
+    """``df`` written below ``path`` by ``write_shards`` and read again, with ``slot`` and ``shard``."""
+    write_shards(df, path, shards)
+    return df.sparkSession.read.schema(place(df, shards).select(*df.columns, "slot", "shard").schema).parquet(path)
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return place(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id"))
+    """The whole documents are written by shard; their places are those read from the files."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return sharded(docs, shared_dir(spark, "shards")).select("doc_id", "slot", "shard")
