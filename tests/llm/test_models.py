@@ -105,6 +105,29 @@ def test_languages_of_odd_documents(odd_docs, no_docs):
         language_id.label_languages(odd_docs, tagger, label="lang")
 
 
+def test_documents_stay_where_their_language_cannot_be_known(spark):
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
+    rows = [(i, "some text", "en") for i in held] + [(1000, "more text", None), (1001, "123 !", None), (1002, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.train_tagger(docs) is None
+    assert sorted(r["doc_id"] for r in language_id.known_language(docs).collect()) == [*held, 1000]
+
+
+def test_bounds_follow_the_scores_of_held_out_documents(spark):
+    lang = F.concat(F.lit("l"), F.col("id") % 10)
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), lang.alias("lang"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    tagger = language_id.train_tagger(docs, steps=1)
+    scored = language_id.label_languages(docs, tagger, "pred").collect()
+    held = lambda r: zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0
+    want = {}
+    for r in scored:
+        if held(r) and r["pred"] == r["lang"]:
+            want[r["pred"]] = min(want.get(r["pred"], 1), r["score"] / 2)
+    assert want and language_id.score_bounds(docs, tagger) == pytest.approx(want)
+    assert max(r["score"] for r in scored) < 0.3 and language_id.known_language(docs, tagger).count() == 600
+    assert language_id.known_language(docs, tagger, least=0.3).count() == 0
+
+
 def test_chain_learns_from_out_of_fold_predictions():
     rng = random.Random(8)
     filler = lambda: [f"f{rng.randrange(500)}" for _ in range(40)]

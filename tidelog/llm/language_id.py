@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import crc_bucket, text_bytes
+from tidelog.llm.common import crc_bucket, shuffle_width, text_bytes
 
 #: Units of each direction, and the bytes of a window; the state starts anew in each window.
 UNITS, WINDOW = 8, 128
@@ -231,10 +231,41 @@ def label_languages(docs: DataFrame, tagger: ByteTagger | None, label: str = "la
     return docs.select("*", flag.alias("_letters")).mapInArrow(run, schema)
 
 
-def known_language(docs: DataFrame, tagger: ByteTagger | None = None, least: float = 0.3) -> DataFrame:
-    """The documents with a language: those not ``und`` and with a pooled probability of ``least`` or more."""
-    labelled = label_languages(docs, tagger or train_tagger(docs), "_lang_pred", "_lang_score")
-    return labelled.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= least)).select(*docs.columns)
+def score_bounds(docs: DataFrame, tagger: ByteTagger, per_label: int = 400) -> dict[str, float]:
+    """Half the lowest score among a label's held-out documents that get that label, ``per_label`` at most of each.
+
+    Held-out rows are those ``train_tagger`` leaves out. A label without such documents has no bound.
+    """
+    rows = docs.where(F.col("lang").isin(tagger.labels) & F.col("text").isNotNull() & (crc_bucket(F.col("doc_id")) == 0)).select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    if not counts:
+        return {}
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.2 * per_label / r["n"]))])
+    key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    nth = F.row_number().over(W.partitionBy("lang").orderBy("key", "text"))
+    chosen = rows.withColumn("key", key).where(F.element_at(share, F.col("lang")) * (1 << 30) > F.col("key"))
+    sample = chosen.withColumn("nth", nth).where(F.col("nth") <= per_label).select("lang", "text")
+    scored = label_languages(sample.repartition(shuffle_width(docs.sparkSession)), tagger, "_pred", "_score").where("_pred = lang")
+    return {r["lang"]: r["least"] / 2 for r in scored.groupBy("lang").agg(F.min("_score").alias("least")).collect()}
+
+
+def known_language(docs: DataFrame, tagger: ByteTagger | None = None, least: float | None = None) -> DataFrame:
+    """The documents with a language: those not ``und`` and with a pooled probability of the label's bound or more.
+
+    The bounds are ``score_bounds``, or ``least`` for every label where it is given.
+    Without a tagger (no row to learn from) all documents with a letter stay.
+    A document in a language that the tagger wasn't trained on gets the label that
+    is nearest, and stays if it reaches that label's bound.
+    """
+    tagger = tagger or train_tagger(docs)
+    if tagger is None:
+        return docs.where(docs["text"].rlike(r"\p{L}"))
+    bounds = {} if least is not None or "lang" not in docs.columns else score_bounds(docs, tagger)
+    bound = F.lit(0.0 if least is None else least)
+    if bounds:
+        bound = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in bounds.items() for x in kv]), F.col("_lang_pred")), bound)
+    labelled = label_languages(docs, tagger, "_lang_pred", "_lang_score")
+    return labelled.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= bound)).select(*docs.columns)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
