@@ -5,8 +5,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tidelog.llm import decontam, exact_dedup, near_dedup
+from tidelog.llm.common import hot_join
 from tidelog.llm.graph import components
 from tidelog.llm.words import shingles_of, word_blocks
 
@@ -128,7 +130,7 @@ def test_near_groups_against_brute_force(spark):
     rows = dict(enumerate(texts))
     df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
     want = near_brute(rows, 5, 80)
-    for options in ({}, {"cap": 4, "block_shingles": 900}):
+    for options in ({}, {"cap": 4, "block_shingles": 900, "block_sets": 10}):
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_groups(df, **options).collect()}
         assert got == want
 
@@ -145,10 +147,49 @@ def test_near_groups_of_odd_documents(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and {r["doc_id"] for r in kept.select("doc_id").collect()} == {1, 3, 4, 5, 6, 8, 10, 11, None}
 
 
-def test_neighbours_across_batches_and_regions():
-    sig = np.sort(np.array([1 << 48, 1 << 48, (1 << 48) + 1, 5 << 48], np.int64))
-    table = pa.table({"tree": np.zeros(4, np.int64), "k1": sig, "k2": np.zeros(4, np.int64), "node": np.arange(4)})
+def test_small_large_and_mixed_clusters_agree_with_brute_force(spark):
+    """One crowded cluster that must be compared block against block, with members on both sides of the bound."""
+    rng = random.Random(14)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(160):
+        t = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            t[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(t[: rng.choice([60, 60, 52, 45])]))
+    rows = dict(enumerate(texts + texts[:10]))
+    want = near_brute(rows, 5, 80)
+    assert 3 < len({c for _, c in want.values()}) < 150
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_groups(df, block_sets=8).collect()} == want
+
+
+def test_recall_of_links_just_over_the_bound_in_a_crowded_region(spark):
+    """Pairs of 80 to 85 % among texts that nearly all share most shingles, at a cap that makes every region crowded."""
+    rng = random.Random(15)
+    base = [f"w{i}" for i in range(200)]
+    rows = {}
+    for i in range(300):
+        t = list(base)
+        for _ in range(rng.choice([2, 2, 3])):
+            t[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        rows[i] = " ".join(t)
+    sets = {i: shingle_set(t, 5) for i, t in rows.items()}
+    pairs = [(a, b) for a in rows for b in range(a) if 0.8 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.85]
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(df, cap=2, block_sets=16).collect()}
+    assert len(pairs) > 20 and all(got[a] == got[b] for a, b in pairs)
+
+
+def test_links_do_not_pass_over_very_many_small_sets():
+    sets = [np.unique(np.array([1, 2, 3 + i // 2], np.uint64)) for i in range(6000)]  # all share two items, pairs are equal
+    links = near_dedup.similar_links(list(range(6000)), list(range(6000)), [0] * 6000, sets, 80)
+    assert sorted(links) == [(i, i + 1) for i in range(0, 6000, 2)]
+    known = near_dedup.similar_links(list(range(6000)), [i // 2 for i in range(6000)], [0] * 6000, sets, 80)
+    assert known == []
 
+
+def forest(rows, cap, hold, size):
     class Context:
         @staticmethod
         def partitionId():  # noqa: N802
@@ -156,13 +197,41 @@ def test_neighbours_across_batches_and_regions():
 
     near_dedup.TaskContext, before = type("T", (), {"get": staticmethod(lambda: Context)}), near_dedup.TaskContext
     try:
-        for size in (1, 2, 4):
-            out = [r for b in near_dedup._neighbours(64)(table.to_batches(max_chunksize=size)) for r in b.to_pylist() if r["part"] is None]
-            assert sorted((r["a"], r["b"]) for r in out) == [(0, 1), (1, 2)]
+        out = [r for b in near_dedup._neighbours(cap, hold)(rows.to_batches(max_chunksize=size)) for r in b.to_pylist() if r["part"] is None]
+        return sorted((r["a"], r["b"]) for r in out)
     finally:
         near_dedup.TaskContext = before
 
 
+def test_neighbours_across_batches_and_regions():
+    sig = np.sort(np.array([1 << 48, 1 << 48, (1 << 48) + 1, 5 << 48], np.int64))
+    table = pa.table({"tree": np.zeros(4, np.int64), "k1": sig, "k2": np.zeros(4, np.int64), "node": np.arange(4)})
+    for size in (1, 2, 4):
+        assert forest(table, 64, 1 << 20, size) == [(0, 1), (1, 2)]
+
+
+def test_links_are_the_same_whatever_is_held():
+    rng = np.random.default_rng(3)
+    n = 4000
+    k1 = rng.integers(0, 3, n) << 48 | rng.integers(0, 3, n) << 32 | rng.choice([1, 1, 1, 2], n) << 16 | rng.integers(0, 40, n)
+    k2 = rng.integers(0, 2, n) << 48 | rng.integers(0, 9, n)
+    order = np.lexsort((np.arange(n), k2, k1))
+    table = pa.table({"tree": np.zeros(n, np.int64), "k1": k1[order], "k2": k2[order], "node": np.arange(n)})
+    for cap in (4, 16):
+        want = forest(table, cap, 1 << 20, 5000)
+        assert 0 < len(want) < n - 1
+        for hold, size in ((cap + 1, 7), (30, 50), (100, 1000), (100, 13)):
+            assert forest(table, cap, hold, size) == want
+
+
+def test_hot_keys_join_as_others(spark):
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50).alias("k"), "id")
+    right = left.where("k IS NOT NULL AND k <> 9").groupBy("k").agg(F.count("*").alias("n_left"), F.max("id").alias("top"))
+    want = sorted(map(str, left.join(right, "k", "left").select("k", "id", "top").collect()))
+    for most in (1, 20, 10_000):
+        assert sorted(map(str, hot_join(left, right, "k", 3000, most=most).collect())) == want
+
+
 def test_containment_against_brute_force(spark):
     rng = random.Random(6)
     word = lambda: f"v{rng.randrange(3000)}"

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path below the folder that driver and executors share.
 
-    The folder is ``spark.checkpoint.dir`` of the session. Where that is unset
-    (single-machine sessions such as tests), one temporary folder is made and
-    the setting is filled in, so that later calls use the same folder.
+    The folder is ``spark.checkpoint.dir`` of the session. Where that is unset in a
+    single-machine session (tests), one temporary folder is made and the setting is
+    filled in, so that later calls use the same folder. On a cluster it must be set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -45,6 +47,33 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hot_join(left: DataFrame, right: DataFrame, key: str, total: int, weight: str = "n_left", most: int = 10_000) -> DataFrame:
+    """``left`` left-joined with ``right``, which has one row for a key and says in ``weight`` how many rows of ``left`` have it.
+
+    A key with more than one in ``most`` of all ``total`` rows is hot. There are fewer
+    than ``most`` of those, so their rows of ``right`` are broadcast whatever the size
+    of the data; the rows of ``left`` they belong to, and those with a null key, are
+    dealt by a hash of the whole row. All other keys meet in an ordinary shuffle, in
+    which no key has more than that share.
+    """
+    names = [c for c in right.columns if c not in (key, weight)]
+    side = right.select(F.col(key).alias("_key"), weight, F.struct(*names).alias("_cold"))
+    hot = side.where(F.col(weight) * most > total).select(F.col("_key").alias("_hot_key"), F.col("_cold").alias("_hot"))
+    marked = left.join(F.broadcast(hot), left[key] == F.col("_hot_key"), "left").drop("_hot_key")
+    apart = F.when(F.col(key).isNull() | F.col("_hot").isNotNull(), F.xxhash64(*left.columns)).otherwise(0)
+    joined = marked.withColumn("_apart", apart).join(side.drop(weight).withColumn("_none", F.lit(0).cast("long")), (F.col(key) == F.col("_key")) & (F.col("_apart") == F.col("_none")), "left")
+    value = F.coalesce("_hot", "_cold")
+    return joined.select(*left.columns, *[value[c].alias(c) for c in names])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many leading underscores as make it different from all columns of ``df`` (whatever their case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import stage_table
+from tidelog.llm.common import hot_join, stage_table
 
 
 def _stamp(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
+def _least_neighbour(edges: DataFrame) -> DataFrame:
+    return edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n_left"))
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``node, component`` for every node of ``edges`` (``a``, ``b``: long); the component is its smallest node.
 
@@ -19,17 +23,18 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     grouped minima and joins: a node is linked to the smallest node among its
     neighbours until every component is a star around its smallest node. Rounds
     grow with the logarithm of a component's size. Each round is written to the
-    shared folder. Edges with a null end and loops are left out.
+    shared folder. The centre of a large star is a hot key of both joins, which
+    ``hot_join`` deals out. Edges with a null end and loops are left out.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = stage_table(edges, name)
     stamp = _stamp(edges)
     while stamp[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
+        least = _least_neighbour(both).withColumn("m", F.least("a", "m"))
+        large = hot_join(both.where("b > a"), least, "a", 2 * stamp[0]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        small = hot_join(large, _least_neighbour(large), "a", stamp[0])  # at most as many rows as edges
+        small = small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
         edges = stage_table(small, name)
         before, stamp = stamp, _stamp(edges)
         if stamp == before:
