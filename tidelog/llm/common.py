@@ -61,7 +61,8 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, total: int, weight: st
     hot = side.where(F.col(weight) * most > total).select(F.col("_key").alias("_hot_key"), F.col("_cold").alias("_hot"))
     marked = left.join(F.broadcast(hot), left[key] == F.col("_hot_key"), "left").drop("_hot_key")
     apart = F.when(F.col(key).isNull() | F.col("_hot").isNotNull(), F.xxhash64(*left.columns)).otherwise(0)
-    joined = marked.withColumn("_apart", apart).join(side.drop(weight).withColumn("_none", F.lit(0).cast("long")), (F.col(key) == F.col("_key")) & (F.col("_apart") == F.col("_none")), "left")
+    none = F.shiftright(F.col(weight), 63)  # 0, but no literal: that would be folded, and the shuffle go by the key alone
+    joined = marked.withColumn("_apart", apart).join(side.select("_key", "_cold", none.alias("_none")), (F.col(key) == F.col("_key")) & (F.col("_apart") == F.col("_none")), "left")
     value = F.coalesce("_hot", "_cold")
     return joined.select(*left.columns, *[value[c].alias(c) for c in names])
 
