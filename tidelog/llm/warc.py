@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, shared_dir, shuffle_width, stage_table
+from tidelog.llm.common import batch, hot_join, shared_dir, shuffle_width, stage_table
 
 #: Fixed values of the formats.
 DICTIONARY_MAGIC = b"\x5d\x2a\x4d\x18"
@@ -101,13 +101,17 @@ def train_dictionary(pages: DataFrame, samples: int = 400, sample_chars: int = 8
 
 
 def plan_records(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
-    """``page_id, url, payload, first``: ``first`` is the page whose response a revisit stands for, null for responses."""
+    """``page_id, url, payload, first``: ``first`` is the page whose response a revisit stands for, null for responses.
+
+    Payloads move once. Small ones have no key and are dealt evenly, and so are those
+    of a payload that holds a large share of all pages; no archive grows with a hot one.
+    """
     payload = F.encode(F.coalesce(pages["html"], F.lit("")), "UTF-8")
     rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("key", F.when(F.octet_length("payload") >= min_bytes, F.sha2("payload", 256)))
-    firsts = rows.where("key IS NOT NULL").groupBy("key").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    firsts = rows.where("key IS NOT NULL").groupBy("key").agg(F.max("page_id").alias("first"), F.count("*").alias("n_left")).where("n_left > 1")
     first = F.when(F.coalesce(F.col("page_id") == F.col("first"), F.col("first").isNull()), F.lit(None)).otherwise(F.col("first"))
-    return rows.join(firsts, "key", "left").select("page_id", "url", "payload", first.alias("first"))
+    return hot_join(rows, firsts, "key", pages.count()).select("page_id", "url", "payload", first.alias("first"))
 
 
 def write_archives(records: DataFrame, path: str, dictionary: bytes, archive_bytes: int = 64 << 20, date: str = "2024-01-01T00:00:00Z", level: int = 3) -> DataFrame:
@@ -240,6 +244,7 @@ def round_trip(pages: DataFrame, path: str | None = None, min_bytes: int = 1000)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``round_trip`` of all pages."""
     return round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
