@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -260,6 +261,19 @@ def test_containment_against_brute_force(spark):
         assert {r["doc_id"] for r in left.collect()} == set(docs) - {x for x, _ in want}
 
 
+def test_a_phrase_of_all_items_and_documents_makes_no_pairs():
+    """2,000 documents and 8,192 items share a phrase; a task's memory and the pairs found don't grow with the product."""
+    phrase = "once upon a midnight dreary "
+    items = [phrase + " ".join(f"i{i}x{j}" for j in range(2 + i % 12)) for i in range(8192)]
+    index = decontam.ItemIndex.build(list(range(8192)), items, 5, 0.8)
+    docs = [phrase + " ".join(f"d{i}x{j}" for j in range(30)) for i in range(2000)] + ["filler " * 9 + items[77] + " filler" * 9, items[8191]]
+    tracemalloc.start()
+    found = list(index.matches(pa.array(docs), 5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(d, i) for d, i, _ in found] == [(2000, 77), (2001, 8191)] and peak < 400e6
+
+
 def test_containment_of_odd_documents(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "one two", "x"), (None, "brown fox jumps over the lazy", "x"), (3, None, "x"), (3, "no id here at all", "x")], "item_id long, text string, doc_id string")
     rows = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(odd_docs, items).collect()}
