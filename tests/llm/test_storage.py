@@ -28,6 +28,21 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(pages(spark).where("false")).count() == 0
 
 
+def test_small_pages_and_hot_payloads_are_dealt_evenly(spark):
+    small = spark.range(4000).selectExpr("id AS page_id", "concat('http://x/', id) AS url", "'short' AS html")
+    hot = spark.range(4000, 6000).selectExpr("id AS page_id", "'u' AS url", "repeat('y', 1200) AS html")
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = warc.plan_records(small.unionByName(hot)).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.count("first").alias("revisits")).collect()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(rows) == 4 and sum(r["n"] for r in rows) == 6000 and sum(r["revisits"] for r in rows) == 1999
+    assert max(r["n"] for r in rows) < 2 * 6000 / 4 and max(r["revisits"] for r in rows) < 2 * 1999 / 4
+
+
 @pytest.mark.parametrize("dictionary", ["trained", "raw", "compressed", "none"])
 def test_archives_with_dictionaries(spark, tmp_path, dictionary):
     docs = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
@@ -114,6 +129,26 @@ def test_mixed_sequence_is_even_and_in_order(spark):
     assert slots == sorted(slots) and used == {d: k for d, n in want.items() if (k := int(n / (5 + d % 7) + 0.5))}
 
 
+def test_the_points_decide_where_documents_stand(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    slots = lambda: {r["doc_id"]: (r["taken"], r["first_slot"]) for r in mixing.mix(docs).collect()}
+    ours = slots()
+    assert ours == slots()
+    monkeypatch.setattr(mixing, "_reversed_bits", lambda x, bits: x)
+    plain = slots()
+    assert ours != plain and {d: t for d, (t, _) in ours.items()} == {d: t for d, (t, _) in plain.items()}
+    assert all((s is None) == (t == 0) for t, s in ours.values())
+
+
+def test_rows_without_ids_have_copies_of_their_own(spark):
+    docs = spark.range(900).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.element_at(F.array(*map(F.lit, "abc")), (F.col("id") % 3 + 1).cast("int")).alias("source"))
+    docs = docs.withColumns({c: F.lit(c) for c in ("doc", "row", "slot", "start", "_copies", "_share", "_at")})
+    out = mixing.mixed_documents(docs, block_words=16)
+    copies = collections.Counter(r["text"] for r in out.collect())
+    taken = mixing.mix(docs, block_words=16).agg(F.sum("taken")).first()[0]
+    assert out.columns == docs.columns and set(copies.values()) <= {1, 2} and abs(2 * sum(copies.values()) - taken) < 0.1 * taken
+
+
 def test_targets_are_shared_again(spark):
     sizes = spark.createDataFrame([(1, "a", 10), (2, "b", 1000), (3, "c", 5), (4, None, 400), (5, "z", 0)], "doc_id long, source string, size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(sizes).collect()}

@@ -13,19 +13,23 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import batch, shuffle_width, stage_table
 from tidelog.llm.words import word_blocks
 
-_SIZED = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("size", pa.int64())])
+_SIZED = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("row", pa.int64()), ("size", pa.int64())])
 
 
 def _sizes(batches):
     for b in batches:
         counts = [w.counts for _, _, w in word_blocks(b.column("text"))]
-        yield batch(_SIZED, doc_id=b.column("doc_id"), source=b.column("source"), size=np.concatenate(counts) if counts else [])
+        yield batch(_SIZED, doc_id=b.column("doc_id"), source=b.column("source"), row=b.column("row"), size=np.concatenate(counts) if counts else [])
+
+
+def _row(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["source"].cast("string"), docs["text"])
 
 
 def word_sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size``: the number of words of each whole text, 0 for null."""
-    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"), docs["text"])
-    return chosen.mapInArrow(_sizes, "doc_id long, source string, size long")
+    """``doc_id, source, row, size``: the number of words of each whole text, 0 for null; ``row`` tells rows of one id apart."""
+    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"), _row(docs).alias("row"), docs["text"])
+    return chosen.mapInArrow(_sizes, "doc_id long, source string, row long, size long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:
@@ -84,12 +88,12 @@ def schedule(plan: DataFrame, chunk: int = 1 << 16) -> DataFrame:
 
 def _positions(sizes: DataFrame, seed: str) -> DataFrame:
     """Each document's first word in its source's shuffled stream, by sums over key ranges and windows inside them."""
-    rows = sizes.where("size > 0").withColumn("key", F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    rows = sizes.where("size > 0").withColumn("key", F.md5(F.concat(F.lit(seed), F.coalesce("doc_id", "row").cast("string"))))
     n = sizes.count()
     rows = rows.withColumn("part", F.substring("key", 1, max(2, math.ceil(math.log(max(n, 1) / 1e4 + 1, 16)))))
     parts = rows.groupBy("idx", "part").agg(F.sum("size").alias("n"))
     before = parts.select("idx", "part", (F.sum("n").over(W.partitionBy("idx").orderBy("part")) - F.col("n")).alias("before"))
-    inside = F.sum("size").over(W.partitionBy("idx", "part").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
+    inside = F.sum("size").over(W.partitionBy("idx", "part").orderBy("key", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
     return rows.withColumn("inside", inside).join(before, ["idx", "part"]).withColumn("start", F.col("inside") + F.col("before"))
 
 
@@ -107,13 +111,13 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float =
     slots = slots.withColumn("take", F.least("length", F.expr("quota - (rank div blocks * source_size + at * block)")))
     slots = slots.select("idx", "source", "at", "slot", "take", F.expr("rank div blocks").alias("pass"))
 
-    indexed = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).select(sizes["doc_id"], "size", "idx", "source_size", "target")
-    placed = stage_table(_positions(indexed, seed).join(plan.select("idx", "block"), "idx").select("doc_id", "size", "idx", "source_size", "target", "start", "block"), "mix-placed")
-    pieces = placed.select("doc_id", "size", "idx", "start", "block", F.explode(F.expr("sequence(start div block, (start + size - 1) div block)")).alias("at"))
+    indexed = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).select(sizes["doc_id"], "row", "size", "idx", "source_size", "target")
+    placed = stage_table(_positions(indexed, seed).join(plan.select("idx", "block"), "idx").select("doc_id", "row", "size", "idx", "source_size", "target", "start", "block"), "mix-placed")
+    pieces = placed.select("doc_id", "row", "size", "idx", "start", "block", F.explode(F.expr("sequence(start div block, (start + size - 1) div block)")).alias("at"))
     a = F.greatest(F.lit(0), F.col("start") - F.col("at") * F.col("block"))
     b = F.least("block", F.col("start") + F.col("size") - F.col("at") * F.col("block"))
     spans = pieces.withColumn("a", a).withColumn("b", b).join(slots, ["idx", "at"]).withColumn("words", F.least("b", "take") - F.col("a")).where("words > 0")
-    spans = spans.select("slot", "source", F.col("at").alias("block"), "doc_id", (F.col("at") * F.col("block") + F.col("a") - F.col("start")).alias("first"), "words", "idx", "start", "pass", "a")
+    spans = spans.select("slot", "source", F.col("at").alias("block"), "doc_id", (F.col("at") * F.col("block") + F.col("a") - F.col("start")).alias("first"), "words", "idx", "start", "pass", "row", "a")
     ordered = spans.repartitionByRange(shuffle_width(docs.sparkSession), "slot", "a").sortWithinPartitions("slot", "a").drop("a")
     return stage_table(ordered, "mix-sequence"), placed, indexed.where("size = 0")
 
@@ -132,7 +136,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """How many words the mix takes from each document, added up over the mixed sequence.
 
     ``docs`` needs ``doc_id``, ``text`` and ``source``; other columns are ignored.
-    Returns one row per input row: ``doc_id, size, source_size, target, taken``.
+    Returns one row per input row: ``doc_id, size, source_size, target, taken, first_slot``,
+    the last being the slot in which the mix first takes a word of it, else null.
     Options: ``weights``, ``share`` and ``most`` of ``source_targets``, ``block_words``, ``seed``.
 
     Each source's documents, shuffled by a hash of their id, form one stream of
@@ -143,34 +148,37 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     slots and blocks gives the words taken; targets are rounded down to whole words.
 
     Null text has size 0 and nothing is taken from it; a null source is a source
-    of its own, last in order. A null ``doc_id`` shuffles as an empty id. Repeated
+    of its own, last in order. Rows with a null ``doc_id`` shuffle by all they hold. Repeated
     rows are separate rows. An empty table gives an empty result. A document
     longer than a block lies in several blocks.
     """
     sequence, placed, empty = _mixed(docs, **options)
-    taken = sequence.groupBy("idx", "start").agg(F.sum("words").alias("taken"))
-    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    taken = sequence.groupBy("idx", "start").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
+    columns = ["doc_id", "size", "source_size", "target", "taken", "first_slot"]
     found = placed.join(taken, ["idx", "start"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
-    return found.select(*columns).unionByName(empty.withColumn("taken", F.lit(0).cast("long")).select(*columns))
+    return found.select(*columns).unionByName(empty.withColumns({"taken": F.lit(0).cast("long"), "first_slot": F.lit(None).cast("long")}).select(*columns))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix in its order: each as often as the words taken from it come to whole copies, rounded.
 
     A copy stands at the slot where that pass over the source's stream reaches the
-    document's first word. Rows of one id share their slots.
+    document's first word, the copies of a slot in the order of the stream. Rows
+    without words are not in the mix; equal rows share their copies evenly. Columns
+    may have any names.
     """
     sequence, placed, _ = _mixed(docs, **options)
-    words = placed.groupBy("doc_id").agg(F.sum("size").alias("_size"))
-    passes = sequence.groupBy("doc_id", "pass").agg(F.sum("words").alias("words"), F.min(F.when(F.col("first") == 0, F.col("slot"))).alias("slot"))
-    starts = passes.groupBy("doc_id").agg(F.sum("words").alias("_taken"), F.array_sort(F.collect_list("slot")).alias("_slots"))
-    copies = words.join(starts, words["doc_id"].eqNullSafe(starts["doc_id"])).select(words["doc_id"], F.round(F.col("_taken") / F.col("_size")).cast("int").alias("_copies"), "_slots")
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["doc_id"])).where("_copies > 0")
-    placed = joined.withColumn("_slot", F.explode(F.slice("_slots", F.lit(1), F.col("_copies")))).withColumn("_at", F.xxhash64(docs["doc_id"], docs["text"]))
-    return placed.repartitionByRange(shuffle_width(docs.sparkSession), "_slot", "_at").sortWithinPartitions("_slot", "_at").select(*[docs[c] for c in docs.columns])
+    words = placed.groupBy("row").agg(F.sum("size").alias("size"), F.min("start").alias("start"))
+    passes = sequence.groupBy("row", "start", "pass").agg(F.sum("words").alias("words"), F.min(F.when(F.col("first") == 0, F.col("slot"))).alias("slot"))
+    starts = passes.groupBy("row").agg(F.sum("words").alias("taken"), F.array_sort(F.collect_list("slot")).alias("slots"))  # a few passes
+    copies = words.join(starts, "row").select("row", "start", F.slice("slots", F.lit(1), F.round(F.col("taken") / F.col("size")).cast("int")).alias("slots"))
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), _row(docs).alias("row"))
+    ordered = whole.join(copies, "row").select("doc", "start", F.explode("slots").alias("slot"))
+    return ordered.repartitionByRange(shuffle_width(docs.sparkSession), "slot", "start").sortWithinPartitions("slot", "start").select("doc.*")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``mix`` of all documents."""
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
@@ -192,11 +200,27 @@ s AS (
   SELECT source, source_size, least(cap::DOUBLE, coalesce(weight * (SELECT level FROM s4), cap::DOUBLE)) AS target
   FROM s3),
 p AS (
-  SELECT d.doc_id, d.size, s.source_size, s.target, floor(s.target)::BIGINT AS quota,
+  SELECT d.doc_id, d.size, d.source, s.source_size, s.target, floor(s.target)::BIGINT AS quota,
     (sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix:' || d.doc_id), d.doc_id, d.size ROWS UNBOUNDED PRECEDING))::BIGINT - d.size AS start
-  FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source)
-SELECT doc_id, size, source_size, target,
-  CASE WHEN size = 0 THEN 0
-       ELSE size * (quota // source_size) + greatest(0, least(start + size, quota % source_size) - start) END::BIGINT AS taken
-FROM p
+  FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+b0 AS (
+  SELECT source, source_size, floor(target)::BIGINT AS quota, ceil(source_size / greatest(8, ceil(source_size / 65536)))::BIGINT AS block
+  FROM s WHERE source_size > 0),
+b1 AS (SELECT *, ((quota // source_size) * ceil(source_size / block) + ceil((quota % source_size) / block))::BIGINT AS slots FROM b0),
+b2 AS (
+  SELECT *, (sum(slots) OVER (ORDER BY source NULLS LAST))::BIGINT AS ends, (sum(slots) OVER ())::BIGINT AS total,
+    CASE WHEN sum(slots) OVER () > 0 THEN ceil(log2(sum(slots) OVER ()))::BIGINT ELSE 0 END AS bits
+  FROM b1),
+x AS (
+  SELECT source, slots, bits, unnest(range(((1 << bits) * (ends - slots) + total - 1) // total, ((1 << bits) * ends + total - 1) // total)) AS x
+  FROM b2),
+v AS (
+  SELECT source, slots, coalesce(list_sum(list_transform(range(bits), lambda k: ((x >> k) & 1) << (bits - 1 - k))), 0)::BIGINT AS slot FROM x),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank FROM v)
+SELECT p.doc_id, p.size, p.source_size, p.target,
+  CASE WHEN p.size = 0 THEN 0
+       ELSE p.size * (p.quota // p.source_size) + greatest(0, least(p.start + p.size, p.quota % p.source_size) - p.start) END::BIGINT AS taken,
+  CASE WHEN p.size > 0 AND p.start < p.quota THEN r.slot END AS first_slot
+FROM p LEFT JOIN b1 ON p.source IS NOT DISTINCT FROM b1.source
+LEFT JOIN r ON p.source IS NOT DISTINCT FROM r.source AND r.rank = p.start // b1.block AND r.rank < r.slots
 """
