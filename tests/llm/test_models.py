@@ -209,7 +209,7 @@ def test_forward_and_expected_counts_against_enumeration():
     states = hmm.STATES
     try:
         hmm.STATES = 2
-        first, moves, emit, likelihood = hmm.expected_counts(model, symbols, np.array([0, 3]), np.array([3, 4]))
+        first, moves, emit, likelihood = hmm.expected_counts(model, symbols, offsets)
     finally:
         hmm.STATES = states
     want = [paths(s) for s in seqs if len(s)]
@@ -218,11 +218,34 @@ def test_forward_and_expected_counts_against_enumeration():
         assert got == pytest.approx(sum(w[k] for w in want), abs=1e-4)
 
 
+def test_texts_cut_into_segments_count_as_whole_ones(monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = lambda *s: (lambda x: x / x.sum(-1, keepdims=True))(rng.random(s))
+    model = hmm.Model(rows(4), rows(4, 4), rows(4, 30))
+    lengths = [1, 2, 700, 3, 64, 8, 9, 333]
+    symbols, offsets = rng.integers(0, 30, sum(lengths)).astype(np.int32), np.concatenate([[0], np.cumsum(lengths)])
+    monkeypatch.setattr(hmm, "SEGMENT", 1000)
+    whole, scores = hmm.expected_counts(model, symbols, offsets), hmm.forward_log10(model, symbols, offsets)
+    assert whole[0].sum() == pytest.approx(8, rel=1e-4) and whole[1].sum() == pytest.approx(sum(lengths) - 8, rel=1e-4)
+    for size in (1, 8, 50):
+        monkeypatch.setattr(hmm, "SEGMENT", size)
+        assert hmm.forward_log10(model, symbols, offsets) == pytest.approx(scores)
+        for a, b in zip(hmm.expected_counts(model, symbols, offsets, together=5), whole, strict=True):
+            assert a == pytest.approx(b, rel=1e-3, abs=1e-4)
+
+
+def test_language_model_beats_the_base_on_held_out_texts(spark):
+    rows = [r for r in hmm.op8(spark, SF).collect() if r["held_out"]]
+    better = sum(r["score"] > r["base_score"] for r in rows)
+    assert len(rows) > 100 and better > 0.9 * len(rows) and sum(r["score"] for r in rows) > 0.97 * sum(r["base_score"] for r in rows)
+
+
 def test_baum_welch_never_loses_likelihood(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
     _, vocabulary = hmm.corpus_counts(docs)
-    history = hmm.baum_welch(docs, vocabulary, 4)[1]
-    assert all(b > a for a, b in zip(history, history[1:], strict=False))
+    history = hmm.baum_welch(docs, vocabulary, 4, 0)[1]
+    assert len(history) == 4 and all(b > a for a, b in zip(history, history[1:], strict=False))
+    assert len(hmm.baum_welch(docs, vocabulary, 9, 1.0)[1]) == 2
 
 
 def test_rare_words_take_the_other_path(spark, monkeypatch):

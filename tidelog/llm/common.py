@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,8 +115,10 @@ def blocks_of(bounds: np.ndarray, most: int):
         first = last
 
 
-def slices(batches, most: int = 8 << 20):
-    """The batches cut into runs of rows with about ``most`` bytes of ``text`` at most, which bounds a task's memory; a longer row is alone."""
+def slices(batches, most: int = 8 << 20, column: str = "text"):
+    """The batches cut into runs of rows with about ``most`` bytes of ``column`` at most, which bounds a task's memory; a longer row is alone."""
     for b in batches:
-        for first, last in blocks_of(text_bytes(b.column("text"))[1], most):
+        x = b.column(column)
+        bounds = np.append(0, np.cumsum(pc.binary_length(x), dtype=np.int64)) if pa.types.is_binary(x.type) else text_bytes(x)[1]
+        for first, last in blocks_of(bounds, most):
             yield b.slice(first, last - first)

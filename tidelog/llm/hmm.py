@@ -14,12 +14,13 @@ from tidelog.llm.words import mix, word_blocks
 
 #: Hidden states; words with emissions of their own; classes (by ending) that share the other words.
 STATES, FREQUENT, CLASSES = 6, 1 << 15, 256
-#: Tokens of a training segment; a longer text is several segments in training (never in scoring).
+#: Tokens that are worked off in one go; what is known at a segment's ends carries over to its neighbours.
 SEGMENT = 256
 #: The end token, counted with the words under a hash of its own.
 END = np.uint64(0xE4D0F7E87)
 _SLOTS = 20
 _COUNT = pa.schema([("h", pa.int64()), ("cls", pa.int32()), ("n", pa.int64())])
+_SYMBOLS = pa.schema([("symbols", pa.binary())])
 _SUM = pa.schema([("symbol", pa.int32()), *[(f"s{k}", pa.float64()) for k in range(STATES)]])
 
 
@@ -77,22 +78,34 @@ class Model:
 
 
 def _count_words(batches):
-    """The counts of each batch's words, counted in slices and then added up."""
-    for b in batches:
-        parts = []
-        for piece in slices([b]):
-            hashes, classes = [], []
-            for _, _, words in word_blocks(piece.column("text")):
-                hashes.append(words.hashes)
-                classes.append(_classes(words))
-            known, at, n = np.unique(np.concatenate(hashes or [np.zeros(0, np.uint64)]), return_index=True, return_counts=True)
-            parts.append((known, np.concatenate(classes or [np.zeros(0, np.int32)])[at], n))
-        h, cls, n = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
+    """The counts of a task's words: counted in slices, added up, and given out whenever about 2 million words are held."""
+    held, size, texts = [], 0, 0
+
+    def added():
+        h, cls, n = (np.concatenate([p[k] for p in held]) for k in range(3))
         order = np.argsort(h, kind="stable")
-        h, cls, n = h[order].astype(np.uint64), cls[order], n[order]
-        first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-        n = np.add.reduceat(n, first) if len(h) else n
-        yield batch(_COUNT, h=np.append(h[first], END).view(np.int64), cls=np.append(cls[first], -1), n=np.append(n, b.num_rows))
+        first = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])) if len(h) else np.zeros(0, np.int64)
+        return h[order][first], cls[order][first], np.add.reduceat(n[order], first) if len(h) else n
+
+    def out(h, cls, n):
+        return batch(_COUNT, h=np.append(h, END).view(np.int64), cls=np.append(cls, -1), n=np.append(n, texts))
+
+    for piece in slices(batches):
+        hashes, classes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+        for _, _, words in word_blocks(piece.column("text")):
+            hashes.append(words.hashes)
+            classes.append(_classes(words))
+        known, at, n = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
+        held.append((known, np.concatenate(classes)[at], n))
+        size, texts = size + len(known), texts + piece.num_rows
+        if size > 1 << 21:
+            held = [added()]
+            size = len(held[0][0])
+            if size > 1 << 20:
+                yield out(*held.pop())
+                size = texts = 0
+    if texts:
+        yield out(*(added() if held else (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64))))
 
 
 def corpus_counts(train: DataFrame) -> tuple[DataFrame, Vocabulary]:
@@ -142,20 +155,104 @@ def first_model(vocabulary: Vocabulary, seed: int = 17) -> Model:
     return Model(np.full(STATES, 1 / STATES), move, emit / emit.sum(1, keepdims=True))
 
 
-def expected_counts(model: Model, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, together: int = 2048):
-    """Baum-Welch's expected counts of segments of ``symbols``: first states, moves, emissions, and the log likelihood."""
+@dataclass
+class Segments:
+    """Texts cut into runs of at most ``SEGMENT`` tokens, in order; ``nth`` counts a text's segments."""
+
+    starts: np.ndarray
+    lengths: np.ndarray
+    text: np.ndarray
+    nth: np.ndarray
+
+    @classmethod
+    def of(cls, offsets: np.ndarray) -> Segments:
+        size = np.diff(offsets)
+        n = -(-size // SEGMENT)
+        text = np.repeat(np.arange(len(n)), n)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+        return cls(offsets[text] + nth * SEGMENT, np.minimum(SEGMENT, size[text] - nth * SEGMENT), text, nth)
+
+    @property
+    def rounds(self):
+        """The segments that follow another, by their place in the text: each round's depend on the round before."""
+        late = np.flatnonzero(self.nth)
+        late = late[np.argsort(self.nth[late], kind="stable")]
+        return np.split(late, np.flatnonzero(np.diff(self.nth[late])) + 1) if len(late) else []
+
+
+def _products(model: Model, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, together: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """For each segment the weights from a state at its first token (emission included) to a state at its last, and the
+    log of the scale taken out. They don't depend on what comes before, so all segments are worked off together."""
+    k = len(model.start)
+    out, logs = np.zeros((len(starts), k, k)), np.zeros(len(starts))
+    order, move = np.argsort(-lengths, kind="stable"), np.ascontiguousarray(model.move.T)
+    for i in range(0, len(order), together):
+        own = order[i : i + together]
+        s, m = starts[own], lengths[own]
+        w = np.eye(k)[:, :, None] * np.take(model.emit, symbols[s], axis=1, mode="clip")[:, None, :]  # last state, first state, segment
+        scale = np.zeros(len(own))
+        for t in range(1, int(m[0])):
+            n = int(np.searchsorted(-m, -t, side="left"))
+            now = (move @ w[:, :, :n].reshape(k, -1)).reshape(k, k, n)
+            now *= np.take(model.emit, symbols[s[:n] + t], axis=1, mode="clip")[:, None, :]
+            if t % 16 == 0:
+                c = now.sum((0, 1))
+                now /= c
+                scale[:n] += np.log(c)
+            w[:, :, :n] = now
+        c = w.sum((0, 1))
+        out[own], logs[own] = (w / c).transpose(2, 1, 0), scale + np.log(c)
+    return out, logs
+
+
+def _carried(model: Model, symbols: np.ndarray, parts: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What each segment knows of the rest of its text: the filtered states before it (rows), the weights of what follows
+    its last token, both up to scale, and each text's log probability as far as its segments but the last."""
+    count, k = len(parts.starts), len(model.start)
+    before, after = np.zeros((count, k)), np.ones((count, k))
+    log = np.zeros(int(parts.text[-1]) + 1 if count else 0)
+    rounds = parts.rounds
+    if not rounds:
+        return before, after, log
+    chosen = np.unique(np.concatenate([np.concatenate(rounds), np.concatenate(rounds) - 1]))  # of texts of several segments
+    weights, logs = np.zeros((count, k, k)), np.zeros(count)
+    weights[chosen], logs[chosen] = _products(model, symbols, parts.starts[chosen], parts.lengths[chosen])
+    for own in rounds:
+        last = own - 1
+        entry = np.where(parts.nth[last][:, None] == 0, model.start, before[last] @ model.move)
+        state = np.einsum("ni,nij->nj", entry, weights[last])
+        c = state.sum(1)
+        before[own] = state / c[:, None]
+        log[parts.text[own]] += np.log(c) + logs[last]
+    for own in reversed(rounds):
+        back = np.einsum("nij,nj->ni", weights[own], after[own]) @ model.move.T
+        after[own - 1] = back / back.sum(1, keepdims=True)
+    return before, after, log
+
+
+def expected_counts(model: Model, symbols: np.ndarray, offsets: np.ndarray, together: int = 2048):
+    """Baum-Welch's expected counts of the texts of ``symbols``: first states, moves, emissions, and the log likelihood.
+
+    Long texts are worked off in segments side by side. Each begins with the filtered
+    states of the one before and ends with the weights of all that follows, so the
+    counts are those of the whole text: moves from segment to segment are counted, and
+    only a text's first token counts as a first state.
+    """
     k, size = model.emit.shape
+    parts = Segments.of(offsets)
+    before, after, _ = _carried(model, symbols, parts)
+    before, after = before.T.astype(np.float32), after.T.astype(np.float32)
     emit, move = model.emit.astype(np.float32), model.move.astype(np.float32)
     first, moves, likelihood = np.zeros(k), np.zeros((k, k)), 0.0
     emissions = np.zeros((k, size))
-    order = np.argsort(-lengths, kind="stable")
+    order = np.argsort(-parts.lengths, kind="stable")
     for i in range(0, len(order), together):
         own = order[i : i + together]
-        s, m = starts[own], lengths[own]
+        s, m, late = parts.starts[own], parts.lengths[own], parts.nth[own] > 0
         steps = int(m[0])
         active = np.searchsorted(-m, -np.arange(1, steps + 1), side="right")
         sym, b, alpha, scale = [], [], [], []
-        a = np.repeat(model.start.astype(np.float32)[:, None], len(own), 1)
+        a = np.where(late, move.T @ before[:, own], model.start.astype(np.float32)[:, None])
         for t, n in enumerate(active):
             sym.append(symbols[s[:n] + t])
             b.append(np.take(emit, sym[t], axis=1, mode="clip"))
@@ -164,16 +261,19 @@ def expected_counts(model: Model, symbols: np.ndarray, starts: np.ndarray, lengt
             a /= c
             alpha.append(a), scale.append(c)
             likelihood += float(np.log(c).sum(dtype=np.float64))
-        beta = np.ones((k, len(own)), np.float32)
+        beta = after[:, own]
+        ends = np.stack([alpha[t][:, j] for j, t in enumerate(m - 1)], axis=1)
+        beta /= (ends * beta).sum(0)
         for t in range(steps - 1, -1, -1):
             n = active[t]
             gamma = alpha[t] * beta[:, :n]
+            onward = b[t] * beta[:, :n] / scale[t]
             if t:
-                onward = b[t] * beta[:, :n] / scale[t]
                 moves += alpha[t - 1][:, :n] @ onward.T
                 beta[:, :n] = move @ onward
             else:
-                first += gamma.sum(1, dtype=np.float64)
+                moves += before[:, own[late]] @ onward[:, late].T
+                first += gamma[:, ~late].sum(1, dtype=np.float64)
             alpha[t] = gamma
         flat = np.concatenate(sym)
         for j in range(k):
@@ -181,37 +281,38 @@ def expected_counts(model: Model, symbols: np.ndarray, starts: np.ndarray, lengt
     return first, moves * model.move.astype(np.float64), emissions, likelihood
 
 
-def _segments(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    size = np.diff(offsets)
-    n = -(-size // SEGMENT)
-    text = np.repeat(np.arange(len(n)), n)
-    at = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * SEGMENT
-    return offsets[text] + at, np.minimum(SEGMENT, size[text] - at)
+def _write_symbols(train: DataFrame, shared) -> DataFrame:
+    """The symbols of every training text (``symbols``, 4 bytes a token), written once for all passes."""
+
+    def run(batches):
+        for piece in slices(batches):
+            for *_, symbols, offsets in _texts(piece.column("text"), shared.value):
+                yield batch(_SYMBOLS, symbols=[symbols[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+
+    return stage_table(train.mapInArrow(run, "symbols binary"), "hmm-symbols")
 
 
-def baum_welch(train: DataFrame, vocabulary: Vocabulary, passes: int = 3) -> tuple[Model, list[float]]:
+def baum_welch(train: DataFrame, vocabulary: Vocabulary, passes: int = 4, least_gain: float = 0.002) -> tuple[Model, list[float]]:
     """Train on every training text; also the log likelihood before each pass.
 
-    Each task sends, per symbol, one row of expected counts by state; these are
-    added up on the executors, and the driver gets one row per symbol (a number
-    fixed by ``FREQUENT`` and ``CLASSES``).
+    ``passes`` is the most; training ends before where a pass gained less than
+    ``least_gain`` of the likelihood. Each task sends, per symbol, one row of expected
+    counts by state; these are added up on the executors, and the driver gets one row
+    per symbol (a number fixed by ``FREQUENT`` and ``CLASSES``).
     """
     context, model, history = train.sparkSession.sparkContext, first_model(vocabulary), []
-    shared = context.broadcast(vocabulary)
+    if not passes:
+        return model, history
     size = vocabulary.size
+    texts = _write_symbols(train, context.broadcast(vocabulary))
     for _ in range(passes):
         current = context.broadcast(model)
 
         def gather(batches, current=current):
             totals = None
-            for b in slices(batches):
-                parts = [(sym, off) for *_, sym, off in _texts(b.column("text"), shared.value)]
-                if not parts:
-                    continue
-                shift = np.concatenate([[0], np.cumsum([len(sym) for sym, _ in parts])])
-                pieces = [_segments(off) for _, off in parts]
-                starts = np.concatenate([s + d for (s, _), d in zip(pieces, shift, strict=False)])
-                new = expected_counts(current.value, np.concatenate([sym for sym, _ in parts]), starts, np.concatenate([m for _, m in pieces]))
+            for b in slices(batches, column="symbols"):
+                held = [np.frombuffer(x.as_buffer(), np.int32) for x in b.column("symbols")]
+                new = expected_counts(current.value, np.concatenate(held), np.concatenate([[0], np.cumsum([len(x) for x in held])]))
                 totals = new if totals is None else tuple(x + y for x, y in zip(totals, new, strict=True))
             if totals is not None:
                 first, moves, emissions, likelihood = totals
@@ -221,38 +322,46 @@ def baum_welch(train: DataFrame, vocabulary: Vocabulary, passes: int = 3) -> tup
                 yield batch(_SUM, symbol=symbols, **{f"s{k}": sums[:, k] for k in range(STATES)})
 
         columns = [f"s{k}" for k in range(STATES)]
-        added = train.mapInArrow(gather, "symbol int, " + ", ".join(f"{c} double" for c in columns)).groupBy("symbol").agg(*[F.sum(c).alias(c) for c in columns])
+        added = texts.mapInArrow(gather, "symbol int, " + ", ".join(f"{c} double" for c in columns)).groupBy("symbol").agg(*[F.sum(c).alias(c) for c in columns])
         sums = np.zeros((size + STATES + 2, STATES))
         for r in added.collect():  # a row per symbol: a number fixed by FREQUENT and CLASSES
             sums[r["symbol"]] = [r[c] for c in columns]
+        current.unpersist()
         emit = sums[:size].T + 0.01
         move, start = sums[size : size + STATES] + 1.0, sums[size + STATES] + 1.0
         history.append(float(sums[size + STATES + 1, 0]))
         model = Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
+        if len(history) > 1 and history[-1] - history[-2] < least_gain * abs(history[-2]):
+            break
     return model, history
 
 
 def forward_log10(model: Model, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The exact log10 probability of each whole symbol sequence, by the forward recursion with a scale at each step."""
-    lengths = np.diff(offsets)
-    order = np.argsort(-lengths, kind="stable")
-    s, m = offsets[:-1][order], lengths[order]
-    out = np.zeros(len(m))
-    a = np.repeat(model.start[:, None], len(m), 1)
+    """The exact log10 probability of each whole symbol sequence, by the forward recursion with a scale at each step.
+
+    The segments of a long text are worked off side by side and joined by what they carry."""
+    parts = Segments.of(offsets)
+    before, _, log = _carried(model, symbols, parts)
+    out = np.zeros(len(offsets) - 1)
+    out[: len(log)] = log
+    last = np.flatnonzero(np.append(parts.text[1:] != parts.text[:-1], True)[: len(parts.text)])
+    order = last[np.argsort(-parts.lengths[last], kind="stable")]
+    s, m, late = parts.starts[order], parts.lengths[order], parts.nth[order] > 0
+    sums = np.zeros(len(m))
     move = model.move.T.copy()
+    a = np.where(late, move @ before[order].T, model.start[:, None])
     for t in range(int(m[0]) if len(m) else 0):
         n = int(np.searchsorted(-m, -(t + 1), side="right"))
         a = move @ a[:, :n] if t else a[:, :n]
         a = a * np.take(model.emit, symbols[s[:n] + t], axis=1, mode="clip")
         c = a.sum(0)
         a /= c
-        out[:n] += np.log10(c)
-    result = np.zeros(len(m))
-    result[order] = out
-    return result
+        sums[:n] += np.log(c)
+    out[parts.text[order]] += sums
+    return out / np.log(10)
 
 
-def score_texts(docs: DataFrame, held_out_rest: int = 1, passes: int = 3) -> DataFrame:
+def score_texts(docs: DataFrame, held_out_rest: int = 1, passes: int = 4) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. The model
@@ -334,4 +443,5 @@ def score_texts(docs: DataFrame, held_out_rest: int = 1, passes: int = 3) -> Dat
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``score_texts`` of all documents."""
     return score_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
