@@ -11,10 +11,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import crc_bucket, shuffle_width, text_bytes
+from tidelog.llm.common import crc_bucket, free_name, shuffle_width, text_bytes
 
-#: Units of each direction, and the bytes of a window; the state starts anew in each window.
-UNITS, WINDOW = 8, 128
+#: Units of each direction, the bytes of a window, and the bytes at a window's inner edges that are only read for their
+#: context: windows overlap by twice as many, so no position is labelled next to a cut.
+UNITS, WINDOW, MARGIN = 8, 128, 8
 UNKNOWN = "und"
 
 
@@ -128,17 +129,18 @@ class ByteTagger:
 
     def document_probabilities(self, flat: np.ndarray, bounds: np.ndarray, together: int = 4096) -> np.ndarray:
         """Mean over all positions of each text's label probabilities; a row of zeros for an empty text."""
-        size = np.diff(bounds)
-        n = -(-size // WINDOW)
+        size, stride = np.diff(bounds), WINDOW - 2 * MARGIN
+        n = np.where(size > WINDOW, 1 - (WINDOW - size) // stride, size > 0)
         text = np.repeat(np.arange(len(n)), n)
-        at = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
-        start, length = bounds[text] + at, np.minimum(WINDOW, size[text] - at)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+        start, length = bounds[text] + nth * stride, np.minimum(WINDOW, size[text] - nth * stride)
+        inner_start, inner_end = nth > 0, nth < n[text] - 1
         order = np.argsort(-length, kind="stable")
         total = np.zeros((len(self.labels), len(size)))
         outf, outb, bias = self.params["outf"].T.copy(), self.params["outb"].T.copy(), self.params["bias"][:, None]
         for i in range(0, len(order), together):
             own = order[i : i + together]
-            s, m = start[own], length[own]
+            s, m, cut_before, cut_after = start[own], length[own], inner_start[own], inner_end[own]
             steps = int(m[0])
             active = np.searchsorted(-m, -np.arange(1, steps + 1), side="right")
             x = flat[np.minimum(s + np.arange(steps)[:, None], len(flat) - 1)]
@@ -148,13 +150,17 @@ class ByteTagger:
             def first(t, h, z, r, new, after, logits=logits):
                 logits[t] = outb @ after
 
-            def second(t, h, z, r, new, after, logits=logits, pooled=pooled):
+            def second(t, h, z, r, new, after, logits=logits, pooled=pooled, cut_before=cut_before, cut_after=cut_after):
                 p = outf @ after
                 p += logits[t]
                 p += bias
                 p -= p.max(0)
                 np.exp(p, out=p)
                 p /= p.sum(0)
+                if t < MARGIN:
+                    p *= ~cut_before[: p.shape[1]]
+                elif t >= WINDOW - MARGIN:
+                    p *= ~cut_after[: p.shape[1]]
                 pooled[:, : p.shape[1]] += p
 
             self._states(x, active, "b", first)
@@ -164,17 +170,22 @@ class ByteTagger:
         return (total / np.maximum(size, 1)).T
 
 
-def training_windows(docs: DataFrame, per_label: int = 400, most_labels: int = 64, chars: int = 512) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Labels, byte windows and label numbers from a bounded sample: ``per_label`` labelled rows at most
-    of each of the ``most_labels`` most frequent labels, however rare beside the others, ``chars`` characters from a place that a hash picks."""
+def training_windows(docs: DataFrame, per_label: int = 400, most_rows: int = 25_600, chars: int = 512) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Labels, byte windows and label numbers from a bounded sample: ``per_label`` labelled rows at most of each label,
+    however rare beside the others, ``chars`` characters from a place that a hash picks.
+
+    Every label is learnt. With many labels each has fewer rows, so that all have ``most_rows`` together; that is
+    also the bound on the number of labels, of which the most frequent ones count.
+    """
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(crc_bucket(F.col("doc_id")) != 0).select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_labels).collect()}
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_rows).collect()
     if not counts:
         return [], np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64)
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.2 * per_label / n))])
+    per_label = max(1, min(per_label, most_rows // len(counts)))
+    share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 1.2 * per_label / r["n"])) for r in counts], "lang string, share double")
     key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), F.char_length("text") - chars)) + 1
-    chosen = rows.where(F.get(F.array(F.element_at(share, F.col("lang"))), F.lit(0)) * (1 << 30) > key)
+    chosen = rows.join(F.broadcast(share), "lang").where(F.col("share") * (1 << 30) > key)
     chosen = chosen.select("lang", key.alias("key"), F.substring("text", place.cast("int"), F.lit(chars)).alias("text"))
     # Each label has a limit of its own: a common one on the keys would cut the rarest label, whose keys reach farthest.
     nth = F.row_number().over(W.partitionBy("lang").orderBy("key", "text"))
@@ -207,8 +218,8 @@ def label_languages(docs: DataFrame, tagger: ByteTagger | None, label: str = "la
     Only ``text`` is looked at. Every byte of the whole text gets label
     probabilities; their mean decides, the first label in order on a tie. Null text,
     and text without a letter, is ``und`` with score 0, and so is all text where
-    there is no tagger. Repeated rows get equal labels; very long texts are cut into
-    windows; an empty table stays empty. If a name clashes with a column, pass another.
+    there is no tagger. Repeated rows get equal labels; very long texts are read in
+    overlapping windows; an empty table stays empty. If a name clashes with a column, pass another.
     """
     if {label, score} & set(docs.columns):
         raise ValueError(f"{label} or {score} is a column already; pass other names")
@@ -222,13 +233,13 @@ def label_languages(docs: DataFrame, tagger: ByteTagger | None, label: str = "la
             names, best = [UNKNOWN] * b.num_rows, np.zeros(b.num_rows)
             if tagger is not None and b.num_rows:
                 p = tagger.document_probabilities(*text_bytes(b.column("text")))
-                best = np.where(letters, p.max(1), 0.0)
+                best = np.where(letters, np.clip(p.max(1), 0.0, 1.0), 0.0)
                 names = [tagger.labels[k] if ok else UNKNOWN for k, ok in zip(p.argmax(1), letters, strict=True)]
             columns = [*b.columns[:-1], pa.array(names, pa.string()), pa.array(best, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     flag = F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False))
-    return docs.select("*", flag.alias("_letters")).mapInArrow(run, schema)
+    return docs.select("*", flag.alias(free_name(docs, "_letters"))).mapInArrow(run, schema)
 
 
 def score_bounds(docs: DataFrame, tagger: ByteTagger, per_label: int = 400) -> dict[str, float]:
@@ -261,14 +272,16 @@ def known_language(docs: DataFrame, tagger: ByteTagger | None = None, least: flo
     if tagger is None:
         return docs.where(docs["text"].rlike(r"\p{L}"))
     bounds = {} if least is not None or "lang" not in docs.columns else score_bounds(docs, tagger)
+    label, score = free_name(docs, "_lang_pred"), free_name(docs, "_lang_score")
     bound = F.lit(0.0 if least is None else least)
     if bounds:
-        bound = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in bounds.items() for x in kv]), F.col("_lang_pred")), bound)
-    labelled = label_languages(docs, tagger, "_lang_pred", "_lang_score")
-    return labelled.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= bound)).select(*docs.columns)
+        bound = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in bounds.items() for x in kv]), F.col(label)), bound)
+    labelled = label_languages(docs, tagger, label, score)
+    return labelled.where((F.col(label) != UNKNOWN) & (F.col(score) >= bound)).select(*docs.columns)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``label_languages`` of all documents, by a tagger that learnt from those not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = docs.select("doc_id", "text", F.coalesce(crc_bucket(docs["doc_id"]) == 0, F.lit(False)).alias("held_out"))
     return label_languages(rows, train_tagger(docs)).select("doc_id", "held_out", "lang_pred", "score")
