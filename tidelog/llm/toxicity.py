@@ -156,13 +156,25 @@ def predict(chain: list[Link], column: pa.Array) -> np.ndarray:
     return out
 
 
-def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGORIES, sample: int = 4000) -> list[Link]:
-    """A chain fitted on at most ``sample`` labelled documents, picked by a hash of their id. Of repeated labels the largest counts."""
+def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGORIES, sample: int = 4000, sample_chars: int = 64 << 20) -> list[Link]:
+    """A chain fitted on at most ``sample`` labelled documents of ``sample_chars`` characters together, picked by a hash of their id.
+
+    Of repeated labels the largest counts; of repeated ids the text that is first in
+    order. A document that would take the sample beyond its characters is left out.
+    """
     chosen = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*[F.max(F.expr(e)).cast("int").alias(c) for c, e in categories.items()])
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()  # at most ``sample`` rows
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sizes = found.groupBy("doc_id").agg(F.max(F.coalesce(F.char_length("text"), F.lit(0))).alias("chars")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # at most ``sample`` rows
+    wanted, left = [], sample_chars
+    for r in sizes:
+        if r["chars"] <= left:
+            wanted.append((r["doc_id"],))
+            left -= r["chars"]
+    wanted = docs.sparkSession.createDataFrame(wanted, "doc_id long")
+    rows = found.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", *categories).agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).collect()
     rows.sort(key=lambda r: r["doc_id"])
-    return fit_chain([r["text"] or "" for r in rows], {c: [r[c] for r in rows] for c in categories})
+    return fit_chain([r["text"] for r in rows], {c: [r[c] for r in rows] for c in categories})
 
 
 def score_toxicity(docs: DataFrame, chain: list[Link], prefix: str = "p_", flag: str = "is_") -> DataFrame:
@@ -189,10 +201,14 @@ def score_toxicity(docs: DataFrame, chain: list[Link], prefix: str = "p_", flag:
 
 def drop_toxic(docs: DataFrame, chain: list[Link], category: str = "toxic") -> DataFrame:
     """The documents not flagged as ``category``, with their own columns only."""
-    return score_toxicity(docs, chain, "_p_", "_is_").where(~F.col(f"_is_{category}")).select(*docs.columns)
+    prefix = "_"
+    while any(c.lower().startswith((f"{prefix}p_", f"{prefix}is_")) for c in docs.columns):
+        prefix += "_"
+    return score_toxicity(docs, chain, f"{prefix}p_", f"{prefix}is_").where(~F.col(f"{prefix}is_{category}")).select(*docs.columns)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probabilities of all documents, and which of them are toxic."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     scored = score_toxicity(docs.select("doc_id", "text"), train_chain(docs, labels))
     return scored.select("doc_id", *[f"p_{c}" for c in CATEGORIES], F.col("is_toxic").alias("toxic"))
