@@ -5,6 +5,9 @@ Everything here is DataFrame and SQL functions; no Python runs on the executors.
 
 from __future__ import annotations
 
+import csv
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,23 +22,8 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
-#: The small labelled URL table, unwanted (1) and wanted (0).
-BLOCKED_URLS = (
-    "https://spam-farm.example.org/en/1", "http://cheap-pills.example.com/en/77", "https://www.cheap-pills.example.com/fr/12", "http://spam-farm.example.net/de/9.html",
-    "https://casino-bonus.example.org/win/", "http://best-casino.example.net/play?ref=x", "https://adult-cams.example.org/live", "http://xxx-videos.example.com/free",
-    "https://free-pills.example.org/buy", "http://pills-online.example.net/order.html", "https://link-farm.example.com/a/b", "http://seo-spam.example.org/links/1",
-    "https://ads-track.example.org/en/5", "http://www.ads-track.example.net/de/81.html", "https://casino-win.example.org/en/14", "http://www.casino-win.example.com/es/3",
-    "https://track-ads.example.net/pixel", "http://adserver.example.com/banner/2", "https://click-tracker.example.org/c?id=1", "http://casino-online.example.com/win",
-    "https://win-money-fast.example.net/", "http://payday-loans.example.org/apply", "https://cheap-loans.example.com/now", "http://casino-spins.example.org/slots/3",
-    "https://hot-cams.example.net/x", "http://torrent-crack.example.org/keygen", "https://cheap-replica.example.net/watches", "http://spam-pills.example.org/sale/",
-)
-ALLOWED_URLS = (
-    "https://www.thereon.example.org/en/41", "http://blog.edhain.example.com/en/960", "https://m.thother.example.net/en/25", "http://oushed.example.org/de/252?page=2",
-    "https://blog.lyened.example.org/es/978", "http://news.ationer.example.org/en/3.html", "https://docs.ingore.example.com/guide/", "http://www.anthes.example.net/en/534",
-    "https://shop.erstly.example.org/item/8", "http://wiki.ndoran.example.org/page/main", "https://ththed.example.org/en/977", "http://thering.example.org/en/328/",
-    "https://library.example.org/books/12", "http://museum.example.net/visit", "https://university.example.org/courses/4", "http://weather.example.net/today",
-    "https://blog.example.org/post/a-walk", "http://ththan.example.org/fr/65.html", "https://reader.example.org/story/7", "http://www.thatre.example.org/it/9",
-)
+#: The small labelled table: unwanted (1) and wanted (0) urls under reserved top-level names.
+TABLE = Path(__file__).with_name("labelled_urls.csv")
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -54,22 +42,24 @@ def matched_rule(host: Column, path: Column, rules: tuple[tuple[str, str, str],
     return text, action
 
 
-def grams(host: Column, path: Column, dims: int, widths: tuple[int, ...] = (3, 4, 5)) -> Column:
+def grams(host: Column, path: Column, dims: int, widths: tuple[int, ...] = (3, 4)) -> Column:
     """Buckets 1 to ``dims`` of the character n-grams of ``^host path$``; repeats stay."""
     text = F.concat(F.lit("^"), host, F.lit(" "), path, F.lit("$"))
     one = lambda n: F.transform(F.sequence(F.lit(1), F.char_length(text) - n + 1), lambda i: (F.pmod(F.xxhash64(F.substring(text, i, F.lit(n))), F.lit(dims)) + 1).cast("int"))
     return F.concat(*[F.when(F.char_length(text) >= n, one(n)).otherwise(F.array().cast("array<int>")) for n in widths])
 
 
-def train(labelled: DataFrame, dims: int = 1024, rounds: int = 200, rate: float = 6.0, decay: float = 1e-3) -> list[float]:
+def train(labelled: DataFrame, dims: int = 2048, rounds: int = 200, rate: float = 6.0, decay: float = 1e-3, most_rows: int = 2_000) -> list[float]:
     """Weights of the ``dims`` buckets, then the bias, by gradient descent inside one SQL expression.
 
-    ``labelled`` (``url``, ``label`` 0/1) is a small table by contract: it is
-    gathered into one row of feature lists and posting lists, over which
-    ``aggregate`` runs the rounds. Null labels are left out.
+    ``labelled`` (``url``, ``label`` 0/1) is a small table: its rows, at most
+    ``most_rows`` that a hash picks, are gathered into one row of feature lists and
+    posting lists, over which ``aggregate`` runs the rounds. Null labels are left out;
+    without rows all weights are 0.
     """
+    labelled = labelled.where("label IS NOT NULL").orderBy(F.xxhash64("url"), "url", "label").limit(most_rows)
     host, path = url_parts(labelled["url"])
-    rows = labelled.where("label IS NOT NULL").select(F.col("label").cast("double").alias("y"), grams(host, path, dims).alias("f"), F.coalesce("url", F.lit("")).alias("u"))
+    rows = labelled.select(F.col("label").cast("double").alias("y"), grams(host, path, dims).alias("f"), F.coalesce("url", F.lit("")).alias("u"))
     examples = rows.agg(F.array_sort(F.collect_list(F.struct("u", "y", "f"))).alias("ex"))
     flat = examples.select(F.posexplode("ex").alias("i", "e")).select("i", F.explode("e.f").alias("d"), F.size("e.f").alias("n"))
     lists = flat.groupBy("d").agg(F.collect_list(F.struct("i", (1 / F.sqrt("n")).alias("c"))).alias("p"))
@@ -85,18 +75,21 @@ def train(labelled: DataFrame, dims: int = 1024, rounds: int = 200, rate: float
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    values = ", ".join([f"('{u}', 1)" for u in BLOCKED_URLS] + [f"('{u}', 0)" for u in ALLOWED_URLS])
+    """The labelled table that comes with the library: ``url, label``."""
+    with TABLE.open(newline="") as f:
+        values = ", ".join(f"('{r['url']}', {int(r['label'])})" for r in csv.DictReader(f))
     return spark.sql(f"SELECT * FROM VALUES {values} AS t(url, label)")
 
 
-def judge_urls(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES, dims: int = 1024, threshold: float = 0.5) -> DataFrame:
+def judge_urls(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES, dims: int = 2048, threshold: float = 0.5) -> DataFrame:
     """``page_id, host, path, rule, verdict, p_block`` for every row of ``pages`` (needs ``page_id``, ``url``).
 
-    The longest rule that fits decides; else the model does: block from
-    ``threshold`` on. ``p_block`` is the model's probability on every row. A null
-    url or one without ``://`` has empty host and path, fits no rule and is left to
-    the model. Repeated rows are judged alike, an empty table gives no rows, other
-    columns are ignored. The weights (``dims`` + 1 numbers) are a literal of the plan.
+    The longest rule that fits decides; else the model does: block above
+    ``threshold``. ``p_block`` is the model's probability, null where a rule decides. A
+    null url or one without ``://`` has empty host and path, fits no rule and is left
+    to the model. Without labelled rows nothing is known and the model blocks nothing.
+    Repeated rows are judged alike, an empty table gives no rows, other columns are
+    ignored. The weights (``dims`` + 1 numbers) are a literal of the plan.
     """
     weights = train(labelled if labelled is not None else labelled_urls(pages.sparkSession), dims)
     host, path = url_parts(pages["url"])
@@ -105,10 +98,12 @@ def judge_urls(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES,
     w = F.lit(weights)
     f = grams(F.col("host"), F.col("path"), dims)
     z = F.aggregate("f", F.lit(0.0), lambda s, k: s + F.element_at(w, k)) / F.sqrt(F.greatest(F.lit(1), F.size("f"))) + F.lit(weights[dims])
-    rows = rows.select("*", rule.alias("rule"), action.alias("action"), f.alias("f")).withColumn("p_block", 1 / (1 + F.exp(-z)))
-    verdict = F.coalesce("action", F.when(F.col("p_block") >= threshold, "block").otherwise("allow"))
+    rows = rows.select("*", rule.alias("rule"), action.alias("action")).withColumn("f", F.when(F.col("action").isNull(), f))
+    rows = rows.withColumn("p_block", F.when(F.col("action").isNull(), 1 / (1 + F.exp(-z))))
+    verdict = F.coalesce("action", F.when(F.col("p_block") > threshold, "block").otherwise("allow"))
     return rows.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "p_block")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``judge_urls`` of all pages by the fixed rules and the library's labelled table."""
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
