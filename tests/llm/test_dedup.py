@@ -146,6 +146,7 @@ def test_near_groups_of_odd_documents(odd_docs, no_docs):
     assert near_dedup.near_groups(no_docs).count() == 0
     kept = near_dedup.drop_near_duplicates(odd_docs, k=4)
     assert kept.columns == odd_docs.columns and {r["doc_id"] for r in kept.select("doc_id").collect()} == {1, 3, 4, 5, 6, 8, 10, 11, None}
+    assert kept.count() == 10  # the repeated row once, both rows without id
 
 
 def test_small_large_and_mixed_clusters_agree_with_brute_force(spark):

@@ -8,7 +8,6 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from tidelog.llm import mixing, sharding, warc
 
 PAGES = "page_id long, url string, html string, payload string, first string, key string"
@@ -217,27 +216,3 @@ def test_whole_documents_are_sharded(spark, odd_docs, tmp_path):
     assert sorted(map(str, sharding.sharded(docs, path).select(docs.columns).collect())) == sorted(map(str, docs.collect()))
     docs.where("false").write.parquet(f"{tmp_path}/none/documents.parquet")
     assert sharding.op10(spark, f"{tmp_path}/none").count() == 0
-
-
-def test_pipeline_stage_by_stage(spark):
-    d = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{d}/documents.parquet")
-    columns, before = docs.columns, docs.count()
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_dedup", "decontamination", "mixing", "sharding"]
-    for name, stage in corpus_pipeline.STAGES:
-        docs = corpus_pipeline.stage_table(stage(spark, docs, d), f"test-{name}")
-        if name != "sharding":
-            assert docs.columns == columns
-        if name in ("language", "near_dedup", "decontamination"):
-            assert docs.count() <= before
-        before = docs.count()
-    assert corpus_pipeline.run(spark, d).count() == before > 0
-
-
-def test_pipeline_on_odd_documents(spark, odd_docs, no_docs):
-    d = "/root/testdata/sf0.001"
-    for start in (odd_docs.select("doc_id", "text", "lang", "source", "n_chars"), no_docs.select("doc_id", "text", "lang", "source", "n_chars")):
-        docs = start
-        for name, stage in corpus_pipeline.STAGES:
-            docs = corpus_pipeline.stage_table(stage(spark, docs, d), f"odd-{name}")
-        assert docs.count() >= 0

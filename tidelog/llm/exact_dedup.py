@@ -38,7 +38,7 @@ def _combine(flush_bytes: int):
                 e = entries.get(norm)
                 if e is None:
                     entries[norm] = [h, sha, cp, doc_id, 0, [doc_id]]
-                    held += len(norm) + 100
+                    held += norm.__sizeof__() + 300
                 else:
                     if _better(cp, doc_id, e[2], e[3]):
                         e[2], e[3], e[4] = cp, doc_id, len(e[5])
@@ -172,14 +172,16 @@ def exact_groups(docs: DataFrame, capacity: int = 2_048, max_depth: int = 16, fl
 
 
 def drop_exact_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of repeated ids, one row per kept id and text."""
-    kept = exact_groups(docs, **options).where("kept").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha"))
-    own = docs.withColumn("_sha_own", F.sha2(F.translate(F.coalesce(docs["text"], F.lit("")), WHITESPACE, ""), 256))
-    joined = own.join(kept, own["doc_id"].eqNullSafe(kept["_keep"]) & (own["_sha_own"] == kept["_sha"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "_sha_own"]).select(*docs.columns)
+    """The rows of ``docs`` that stay, with all their columns; of repeated ids, one row per kept id and text. Columns may have any names."""
+    kept = exact_groups(docs, **options).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"))
+    sha = F.sha2(F.translate(F.coalesce(docs["text"], F.lit("")), WHITESPACE, ""), 256)
+    own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["doc_id"].cast("long").alias("doc_id"), sha.alias("own"), F.char_length(docs["text"]).alias("cp"))
+    joined = own.join(kept, own["doc_id"].eqNullSafe(kept["id"]) & (own["own"] == kept["sha"]), "left_semi")
+    return joined.groupBy("doc_id", "own").agg(F.max_by("doc", F.coalesce("cp", F.lit(0))).alias("doc")).select("doc.*")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``exact_groups`` of all documents."""
     return exact_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 

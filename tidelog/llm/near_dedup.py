@@ -347,12 +347,20 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, cap: int = 64, b
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The documents that stay, one of each component, with all their columns; rows of a repeated id stay together."""
-    kept = near_groups(docs, **options).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi").select(*docs.columns)
+    """The documents that stay, one row of each component, with all their columns.
+
+    Of rows of one id, repeated or not, the one whose text's hash is least stays; they
+    meet after each task has chosen among its own. Rows without ``doc_id`` all stay.
+    Columns may have any names.
+    """
+    kept = near_groups(docs, **options).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("hash"))
+    one = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min_by("doc", "hash").alias("doc")).join(kept, "doc_id", "left_semi")
+    return one.select("doc").unionByName(rows.where("doc_id IS NULL").select("doc")).select("doc.*")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``near_groups`` of all documents by four-word shingles."""
     return near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=4)
 
 

@@ -58,7 +58,7 @@ def place(df: DataFrame, shards: int | list[str] = 64, size: int = 65537, key: t
     schema = T.StructType([T.StructField(slot, T.IntegerType()), T.StructField(shard, T.IntegerType())])
     table = df.sparkSession.createDataFrame(list(enumerate(fill_table(names, size).tolist())), schema)
     hash_ = F.when(F.coalesce(*[df[k].cast("string") for k in key]).isNull(), F.xxhash64(*[df[c] for c in df.columns])).otherwise(F.xxhash64(*[df[k] for k in key]))
-    return df.withColumn(slot, F.pmod(hash_, F.lit(size)).cast("int")).join(F.broadcast(table), slot)
+    return df.withColumn(slot, F.pmod(hash_, F.lit(size)).cast("int")).join(F.broadcast(table), slot).select(*[df[c] for c in df.columns], slot, shard)
 
 
 def write_shards(df: DataFrame, path: str, shards: int = 64, files: int = 4, **options) -> None:
@@ -71,7 +71,7 @@ def write_shards(df: DataFrame, path: str, shards: int = 64, files: int = 4, **o
 def sharded(df: DataFrame, path: str, shards: int = 64) -> DataFrame:
     """``df`` written below ``path`` by ``write_shards`` and read again, with ``slot`` and ``shard``."""
     write_shards(df, path, shards)
-    return df.sparkSession.read.schema(place(df, shards).select(*df.columns, "slot", "shard").schema).parquet(path)
+    return df.sparkSession.read.schema(place(df, shards).schema).parquet(path)
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
