@@ -7,24 +7,33 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: Rows for which one range or bucket is meant.
+ROWS_PER_PART = 250_000
+
+
+def parts_for(df: DataFrame, least: int) -> int:
+    """How many ranges or buckets the rows of ``df`` are dealt into: ``least``, and more where those would be too large."""
+    return max(least, -(-df.count() // ROWS_PER_PART))
+
+
 def _cuts(df: DataFrame, by: str, parts: int) -> list:
     """Values that cut the order into about ``parts`` ranges, from a sample; they balance the work and don't change results."""
     if dict(df.dtypes)[by] != "string":
-        return sorted(set(df.approxQuantile(by, [i / parts for i in range(1, parts)], 0.01)))
-    start = F.substring(by, 1, 8)
-    sample = df.select(start.alias("s")).sample(False, min(1.0, 1000 / max(1, df.count())), 1).limit(1000).collect()
-    return sorted({r["s"] for r in sample if r["s"] is not None})[:: max(1, 1000 // parts)]
+        return sorted(set(df.approxQuantile(by, [i / parts for i in range(1, parts)], 0.2 / parts)))
+    # Whole keys, as they may begin alike; 16 of them for each range.
+    sample = df.select(F.col(by).alias("s")).where("s IS NOT NULL").orderBy(F.xxhash64("s")).limit(16 * parts).collect()
+    keys = sorted(r["s"] for r in sample)
+    return sorted(set(keys[16::16]))
 
 
-def running_sum(df: DataFrame, by: str, value: Column, name: str, parts: int = 64) -> DataFrame:
+def running_sum(df: DataFrame, by: str, value: Column, name: str, parts: int | None = None) -> DataFrame:
     """Add ``name``: the sum of ``value`` up to and including the row, in order of ``by`` (unique, numeric or string).
 
-    Sums within ranges of ``by`` run in parallel; the ranges' own sums are a few rows.
+    Sums within ranges of ``by`` run in parallel; the ranges' own sums are a row each.
+    There are 64 ranges, or more for very many rows.
     """
-    at = F.substring(by, 1, 8) if dict(df.dtypes)[by] == "string" else F.col(by)
-    part = F.lit(0)
-    for c in _cuts(df, by, parts):
-        part = part + F.coalesce((at > F.lit(c)).cast("int"), F.lit(0))
+    cuts = _cuts(df, by, parts or parts_for(df, 64))
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(by))) if cuts else F.lit(0)
     rows = df.withColumns({"_part": part, "_value": value})
     sums = rows.groupBy("_part").agg(F.sum("_value").alias("_sum"))
     before = sums.select("_part", (F.sum("_sum").over(W.orderBy("_part")) - F.col("_sum")).alias("_before"))  # a row per range
@@ -32,7 +41,7 @@ def running_sum(df: DataFrame, by: str, value: Column, name: str, parts: int = 6
     return rows.withColumn("_inside", inside).join(F.broadcast(before), "_part").withColumn(name, F.col("_inside") + F.col("_before")).drop("_part", "_value", "_inside", "_before")
 
 
-def number_in_order(keys: DataFrame, by: str, parts: int = 64) -> DataFrame:
+def number_in_order(keys: DataFrame, by: str, parts: int | None = None) -> DataFrame:
     """Add ``_rn``, counting distinct keys from 1 in their order."""
     return running_sum(keys, by, F.lit(1).cast("long"), "_rn", parts)
 
