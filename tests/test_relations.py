@@ -8,13 +8,15 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidelog.functions import spatial
-from tidelog.functions.ranges import number_in_order
+from tidelog.functions.ranges import _cuts, number_in_order, running_sum
 from tidelog.functions.temporal import validity_match
 from tidelog.operators import evolve
 from tidelog.operators.enrich import autoid
 from tidelog.operators.quality import checked_applications, current_entity
-from tidelog.operators.relate import change_ratio, match, relate, relation_events, relation_rows
+from tidelog.operators.relate import change_ratio, empty_relation, match, relate, relation_events, relation_rows, update
+from tidelog.operators.views import find_views
 from tidelog.plans import relations as plan
+from tidelog.sources.shared import written
 from tidelog.specs import AutoIdSpec, RelationSpec
 
 SF = "/root/testdata/sf0.001"
@@ -54,6 +56,63 @@ def test_incremental_equals_full_without_conflicts(spark):
     assert after["full"] == after["incremental"]
 
 
+def test_update_chooses_its_mode_and_refuses_unknown_applications(spark):
+    src, dst, at = plan.customers(spark, SF), plan.nations(spark, SF), F.lit("2024-01-01").cast("timestamp")
+    with pytest.raises(ValueError, match="no relation spec for B"):
+        update(src, dst, empty_relation(src, dst, plan.SPECS), plan.SPECS[:1], 0, at)
+    rel, modes, events = empty_relation(src, dst, plan.SPECS), [], []
+    for known, start in ((0.9, 0), (1.0, 1000), (1.0, 2000)):
+        rel, new, mode = update(src.where(F.col("_last_event") <= known * 150), dst, rel, plan.SPECS, start, at)
+        rel = written(rel, "test-relation")
+        modes.append(mode), events.append(new.count())
+    assert modes == ["full", "incremental", "incremental"] and events[0] > events[1] > 0 and events[2] == 0
+    gone = src.where("_last_event <= 20").withColumns({"_date_deleted": at, "_last_event": F.col("_last_event") + 1000})
+    rel, new, mode = update(gone.unionByName(src.where("_last_event > 20")), dst, rel, plan.SPECS, 3000, at)
+    assert mode == "incremental" and {r["event"] for r in new.collect()} == {"DELETE"}
+    ended = rel.where("_date_deleted IS NOT NULL AND _last_event > 3000").count()
+    assert ended == new.count() > 5
+
+
+def test_relation_by_location_in_rounds(spark):
+    src, dst, at = plan.places(spark, SF), plan.areas(spark, SF), F.lit("2024-01-01").cast("timestamp")
+    half = src.where("_last_event <= 100")
+    first = written(update(half, dst, empty_relation(src, dst, plan.INSIDE), plan.INSIDE, 0, at)[0], "test-relation")
+    second, _, mode = update(src, dst, first, plan.INSIDE, 1000, at)
+    want = relation_rows(match(src, dst, plan.INSIDE), plan.INSIDE)
+    pairs = lambda df: sorted((r["src_id"], r["dst_id"]) for r in df.collect())
+    assert mode == "incremental" and pairs(second) == pairs(want)
+    unmatched = match(src, dst, plan.INSIDE, keep_unmatched=True)
+    assert unmatched.count() == src.count() and unmatched.where("dst_id IS NULL AND src_id = '50'").count() == 1
+
+
+def test_large_areas_cover_few_cells(spark):
+    box = lambda a, b: f"POLYGON (({a} {a}, {b} {a}, {b} {b}, {a} {b}, {a} {a}))"
+    dst = spark.createDataFrame([("s", box(0, 0.5)), ("m", box(-3, 90)), ("l", box(-1e6, 1e6)), ("bad", "POLYGON ((0 0, 1 1))")], "_id string, g string")
+    grid = spatial.gridded(dst, F.col("g"), 1.0)
+    cells = {r["_id"]: r["count"] for r in grid.groupBy("_id").count().collect()}
+    assert set(cells) == {"s", "m", "l"} and max(cells.values()) <= 36
+    src = spark.createDataFrame([("p", "POINT (0.25 0.25)"), ("q", "POINT (80 80)"), ("r", "POINT (-999999 5)"), ("z", "POINT (3e6 0)")], "_id string, g string")
+    found = {tuple(r) for r in spatial.lies_in(src, dst, "g", "g", 1.0).collect()}
+    assert found == {("p", "s"), ("p", "m"), ("p", "l"), ("q", "m"), ("q", "l"), ("r", "l")}
+
+
+def test_keys_that_begin_alike_are_spread(spark):
+    keys = spark.range(5000).select(F.concat(F.lit("urn:object:catalogue:"), F.lpad((F.col("id") * 7919 % 5000).cast("string"), 6, "0")).alias("k"))
+    cuts = _cuts(keys, "k", 64)
+    assert len(cuts) > 40 and all(c.startswith("urn:object:catalogue:") for c in cuts)
+    rank = {r["k"]: r["_rn"] for r in number_in_order(keys, "k").collect()}
+    assert [rank[k] for k in sorted(rank)] == list(range(1, 5001))
+    assert running_sum(keys.where("false"), "k", F.lit(1), "n").count() == 0
+
+
+def test_views_are_found():
+    names = {"a_b": ("shop", "orders", "customer"), "a_c": ("shop", "orders", "part"), "d": ("web", "pages", "host")}
+    assert find_views(names, relation="d") == ["mv_d"] and find_views(names, "shop:orders", "part") == ["mv_a_c"] and len(find_views(names, "shop:orders")) == 2
+    for bad in ({"relation": "x"}, {"attribute": "part"}, {"collection": "shop:none"}):
+        with pytest.raises(ValueError, match="."):
+            find_views(names, **bad)
+
+
 times = st.one_of(st.none(), st.integers(0, 6))
 
 

@@ -59,23 +59,50 @@ def point_on_surface(polygon: Column) -> Column:
     return F.struct((widest["a"] + widest["w"] / 2).alias("x"), y.alias("y"))
 
 
+def _cell(v: Column, cell: float, level: Column) -> Column:
+    return F.floor(v / (cell * F.pow(F.lit(2.0), level))).cast("long")
+
+
+def gridded(dst: DataFrame, geo: Column, cell: float) -> DataFrame:
+    """``dst`` with ``_edges`` and the grid cells (``_level, _cx, _cy``) that each valid polygon covers, a row per cell.
+
+    A cell of level ``l`` has the side ``cell * 2**l``. Each polygon is put on the level
+    where it covers at most five cells a side, so none is repeated more than 25 times,
+    however large it is. Invalid polygons are left out.
+    """
+    areas = dst.withColumn("_rings", rings(geo)).withColumn("_edges", edges(F.col("_rings"))).where(is_valid(F.col("_rings"), F.col("_edges")))
+    axis = lambda a: F.transform(F.flatten("_rings"), lambda p: p[a])
+    areas = areas.withColumns({f"_{f}{a}": g(axis(a)) for a in "xy" for f, g in (("low", F.array_min), ("high", F.array_max))})
+    extent = F.greatest(F.col("_highx") - F.col("_lowx"), F.col("_highy") - F.col("_lowy"))
+    areas = areas.withColumn("_level", F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(extent, F.lit(1e-300)) / (4 * cell)))).cast("int"))
+    span = lambda a: F.sequence(_cell(F.col(f"_low{a}"), cell, F.col("_level")), _cell(F.col(f"_high{a}"), cell, F.col("_level")))
+    return areas.withColumn("_cx", F.explode(span("x"))).withColumn("_cy", F.explode(span("y"))).drop("_rings", "_lowx", "_highx", "_lowy", "_highy")
+
+
+def located(src: DataFrame, geo: Column, cell: float, levels: list[int]) -> DataFrame:
+    """``src`` with a point ``_p`` on each geometry's surface and its grid cell on each of ``levels``. Null, other and invalid geometries have no point and one row."""
+    outline_ = F.when(F.upper(F.ltrim(geo)).startswith("POLYGON"), rings(geo))
+    at = F.coalesce(point(geo), F.when(is_valid(outline_), point_on_surface(outline_)))
+    rows = src.withColumn("_p", at).withColumn("_level", F.explode_outer(F.when(F.col("_p.x").isNotNull(), F.array(*map(F.lit, levels)).cast("array<int>"))))
+    return rows.withColumns({"_cx": _cell(F.col("_p.x"), cell, F.col("_level")), "_cy": _cell(F.col("_p.y"), cell, F.col("_level"))})
+
+
+def levels_of(grid: DataFrame) -> list[int]:
+    """The levels in use: a few dozen numbers at most, as each doubles the cell."""
+    return sorted(r["_level"] for r in grid.select("_level").distinct().collect())
+
+
 def lies_in(src: DataFrame, dst: DataFrame, src_geo: str, dst_geo: str, cell: float) -> DataFrame:
     """Pairs ``src_id, dst_id`` where a point on the source's surface lies within the valid destination polygon.
 
-    Polygons go to the square cells of side ``cell`` that their bounding box covers,
-    sources to the one cell of their point; the join is on the cell, so nothing is
-    compared with everything. A boundary point isn't inside. Choose ``cell`` near the
-    size of a typical polygon: a large polygon is repeated for each cell it covers.
+    Polygons go to the grid cells that their bounding box covers (``gridded``), sources
+    to the cell of their point on each level in use; the join is on the cell, so nothing
+    is compared with everything. A boundary point isn't inside. ``cell`` is best near
+    the side of a small polygon.
     """
-    at = F.coalesce(point(F.col(src_geo)), F.when(F.upper(F.ltrim(src_geo)).startswith("POLYGON"), point_on_surface(rings(F.col(src_geo)))))
-    cell_of = lambda v: F.floor(v / cell).cast("long")
-    points = src.select(F.col("_id").alias("src_id"), at.alias("p")).where("p.x IS NOT NULL").select("src_id", "p", cell_of(F.col("p.x")).alias("cx"), cell_of(F.col("p.y")).alias("cy"))
-    areas = dst.select(F.col("_id").alias("dst_id"), rings(F.col(dst_geo)).alias("poly")).withColumn("edges", edges(F.col("poly")))
-    areas = areas.where(is_valid(F.col("poly"), F.col("edges")))
-    flat = F.flatten("poly")
-    span = lambda axis: F.sequence(cell_of(F.array_min(F.transform(flat, lambda p: p[axis]))), cell_of(F.array_max(F.transform(flat, lambda p: p[axis]))))
-    cells = areas.withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y"))).select("dst_id", "edges", "cx", "cy")
-    return points.join(cells, ["cx", "cy"]).where(contains(F.col("edges"), F.col("p.x"), F.col("p.y"))).select("src_id", "dst_id")
+    areas = gridded(dst.select(F.col("_id").alias("dst_id"), F.col(dst_geo).alias("_geo")), F.col("_geo"), cell)
+    points = located(src.select(F.col("_id").alias("src_id"), F.col(src_geo).alias("_geo")), F.col("_geo"), cell, levels_of(areas)).where("_p.x IS NOT NULL")
+    return points.join(areas.drop("_geo"), ["_level", "_cx", "_cy"]).where(contains(F.col("_edges"), F.col("_p.x"), F.col("_p.y"))).select("src_id", "dst_id")
 
 
 def union_points(df: DataFrame, key: str, geo: str) -> DataFrame:

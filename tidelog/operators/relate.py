@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelog.functions.spatial import contains, gridded, levels_of, located
 from tidelog.functions.temporal import validity_match
+from tidelog.sources.eventlog import assign_ids
+from tidelog.sources.shared import written
 from tidelog.specs import RelationSpec
 
 VERSION = "0.1"
@@ -61,20 +64,29 @@ def match(src: DataFrame, dst: DataFrame, specs: list[RelationSpec], many: bool
     """Each reference with the live destinations it fits, the latest fitting state of each.
 
     One equality join per application, then a union, so that no condition with OR
-    turns into a nested loop; what periods demand is a residual of the equality.
+    turns into a nested loop; what periods demand is a residual of the equality. A
+    relation by location joins on grid cells. Sources whose geometry isn't valid fit nothing.
     The destination's row of the latest state comes with the grouping, so nothing
     is joined again. ``row_number`` counts a reference's distinct destinations in
     order of their id: beyond 1 it is ambiguous. Without ``keep_unmatched``
     references that fit nothing give no row.
     """
     rows = references(_completed(src), many)
-    live = _completed(dst).where("_date_deleted IS NULL").alias("dst")
+    live = _completed(dst).where("_date_deleted IS NULL")
     parts = []
     for spec in specs:
-        s = rows.where(F.col("_application") == spec.application).alias("src")
-        wanted = F.col(f"src.{spec.source_attribute}") if spec.source_attribute else F.col("src.ref.value")
-        fits = (F.col(f"dst.{spec.destination_attribute}") == wanted) & validity_match("src", "dst", src_states, dst_states, as_of)
-        joined = s.join(live, fits, "left" if keep_unmatched else "inner")
+        s, d = rows.where(F.col("_application") == spec.application), live
+        wanted = F.col(spec.source_attribute) if spec.source_attribute else F.col("ref.value")
+        if spec.method == "lies_in":
+            d = gridded(live, F.col(spec.destination_attribute), spec.cell)
+            s = located(s, wanted, spec.cell, levels_of(d))
+            cells = [F.col(f"src.{c}") == F.col(f"dst.{c}") for c in ("_level", "_cx", "_cy")]
+            fits = reduce(Column.__and__, cells) & contains(F.col("dst._edges"), F.col("src._p.x"), F.col("src._p.y"))
+        else:
+            s = s.withColumn("_wanted", wanted)
+            fits = F.col(f"dst.{spec.destination_attribute}") == F.col("src._wanted")
+        fits &= validity_match("src", "dst", src_states, dst_states, as_of)
+        joined = s.alias("src").join(d.alias("dst"), fits, "left" if keep_unmatched else "inner")
         parts.append(joined.select(
             F.col("src._application").alias("_application"), F.col("src._id").alias("src_id"), F.col("src.seqnr").alias("src_seqnr"), F.col("src._source").alias("src_source"), F.col("src.ref.value").alias("value"),
             F.col("src.ref.begin").alias("_begin"), F.struct("src.valid_from", "src.valid_to", "src._expiration_date", "src._last_event", "src._date_deleted").alias("_src"),
@@ -82,8 +94,11 @@ def match(src: DataFrame, dst: DataFrame, specs: list[RelationSpec], many: bool
         ))
     found = reduce(DataFrame.unionByName, parts)
     key = ["_application", "src_id", "src_seqnr", "src_source", "value", "dst_id"]
-    latest = found.groupBy(*key).agg(F.max("dst_seqnr").alias("dst_seqnr"), F.max_by("_dst", F.coalesce("dst_seqnr", F.lit(0))).alias("_dst"), F.max("_begin").alias("_begin"), F.first("_src").alias("_src"))
-    order = W.partitionBy("_application", "src_id", "src_seqnr", "src_source", "value").orderBy(F.col("dst_id").asc_nulls_last())
+    latest = found.groupBy(*key).agg(F.max("dst_seqnr").alias("dst_seqnr"), F.max_by("_dst", F.coalesce("dst_seqnr", F.lit(0))).alias("_dst"), F.max("_begin").alias("_begin"), F.max_by("_src", F.col("_src._last_event")).alias("_src"))
+    reference = W.partitionBy("_application", "src_id", "src_seqnr", "src_source", "value")
+    if keep_unmatched and any(spec.method == "lies_in" for spec in specs):  # a source is looked for on each level of the grid
+        latest = latest.withColumn("_fits", F.count("dst_id").over(reference)).where("dst_id IS NOT NULL OR _fits = 0").drop("_fits")
+    order = reference.orderBy(F.col("dst_id").asc_nulls_last())
     return latest.withColumn("row_number", F.row_number().over(order))
 
 
@@ -175,6 +190,46 @@ def relation_events(rows: DataFrame, dst_states: bool = False) -> DataFrame:
     return events.select("event", F.coalesce("id", "rel_id").alias("tid"), F.when(F.col("event") != "ADD", F.col("rel__last_event")).alias("last_event"), F.lit(VERSION).alias("version"), F.when(F.col("event") == "MODIFY", F.col("modifications")).alias("modifications"))
 
 
+def fold_relation(rel: DataFrame, rows: DataFrame, events: DataFrame, at: Column) -> DataFrame:
+    """The relation table after ``events`` (of ``relation_events``, with ``eventid``) that ``rows`` (of ``relate``) led to.
+
+    ADD and MODIFY put the new row in place of the old one, DELETE ends the old one at
+    ``at``; each row they touch has the event's id as ``_last_event``.
+    """
+    change = events.select(F.col("tid").alias("_tid"), F.col("event").alias("_event"), "eventid")
+    made = rows.where("id IS NOT NULL").join(change.where("_event <> 'DELETE'"), F.col("id") == F.col("_tid"))
+    made = made.withColumns({"_last_event": F.col("eventid"), "_date_deleted": F.lit(None).cast("timestamp")}).select(*[F.col(c).cast(rel.schema[c].dataType) for c in rel.columns])
+    kept = rel.join(change, rel["id"] == F.col("_tid"), "left").where("_event IS NULL OR _event = 'DELETE'")
+    ended = F.col("_event").isNotNull()
+    kept = kept.withColumns({"_date_deleted": F.when(ended, at).otherwise(F.col("_date_deleted")), "_last_event": F.when(ended, F.col("eventid")).otherwise(F.col("_last_event"))})
+    return kept.select(*rel.columns).unionByName(made)
+
+
+def empty_relation(src: DataFrame, dst: DataFrame, specs: list[RelationSpec], **args) -> DataFrame:
+    """A relation table of these collections without rows."""
+    rows = relation_rows(match(src, dst, specs, **args), specs, args.get("src_states", False), args.get("dst_states", False))
+    return rows.drop("src_deleted", "row_number").withColumns({"_last_event": F.lit(0).cast("long"), "_date_deleted": F.lit(None).cast("timestamp")}).where("false")
+
+
+def update(src: DataFrame, dst: DataFrame, rel: DataFrame, specs: list[RelationSpec], start: int, at: Column, **args) -> tuple[DataFrame, DataFrame, str]:
+    """Bring a relation up to date: the new table, its events (ids above ``start``) and the mode of the run.
+
+    A source application without a spec is an error. The run is full where the relation
+    is empty or the changed shares of both sides come to 1 or more, else incremental
+    from the relation's high-water marks. ``args`` are those of ``match``. The matched
+    rows and the events are written to the shared folder, as both are used twice.
+    """
+    unknown = [r[0] for r in check_specs(src, specs).limit(10).collect()]
+    if unknown:
+        raise ValueError(f"no relation spec for {', '.join(map(str, unknown))}")
+    mark = marks(src, dst, rel).first()
+    full = rel.isEmpty() or change_ratio(src, dst, mark["last_src"], mark["last_dst"]).first()["full"]
+    mode = "full" if full else "incremental"
+    rows = written(relate(src, dst, rel, specs, mode, mark["last_src"], mark["last_dst"], **args), "relation-rows")
+    events = written(assign_ids(relation_events(rows, args.get("dst_states", False)), start), "relation-events")
+    return fold_relation(rel, rows, events, at), events, mode
+
+
 def conflicts(matched: DataFrame, specs: list[RelationSpec]) -> DataFrame:
     """References that fit more than one destination, where only one is allowed: the candidates beyond the first. States of one destination are no conflict."""
     single = [s.application for s in specs if not s.multiple_allowed]

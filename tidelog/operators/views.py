@@ -24,3 +24,20 @@ def refresh_views(relations: dict[str, tuple[DataFrame, bool, bool]], path: str
         view.createOrReplaceTempView(f"mv_{name}")
         out[name] = view
     return out
+
+
+def find_views(catalogue: dict[str, tuple[str, str, str]], collection: str | None = None, attribute: str | None = None, relation: str | None = None) -> list[str]:
+    """The names of the views wanted; ``catalogue`` has each relation's name with its catalogue, collection and attribute.
+
+    By relation name, or by collection (``catalogue:collection``) and attribute, or all of
+    a collection. An attribute without its collection, or what isn't known, is an error.
+    """
+    if relation is not None:
+        found = [n for n in catalogue if n == relation]
+    elif attribute is not None and collection is None:
+        raise ValueError("an attribute needs its collection")
+    else:
+        found = [n for n, (cat, coll, attr) in catalogue.items() if collection in (None, f"{cat}:{coll}") and attribute in (None, attr)]
+    if not found:
+        raise ValueError("no such relation")
+    return [f"mv_{n}" for n in found]

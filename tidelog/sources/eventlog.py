@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelog.functions.ranges import parts_for
 from tidelog.operators.diff import spread_key
 
 SCHEMA = "eventid long, timestamp timestamp, version string, action string, source_id string, contents string, application string, tid string, catalogue string, entity string, source string"
 CONTENTS = "entity map<string,string>, modifications array<struct<key:string,old_value:string,new_value:string>>, confirms array<struct<tid:string,last_event:long>>, _last_event long, _hash string"
 
 
-def assign_ids(events: DataFrame, start: int, buckets: int = 256) -> DataFrame:
+def assign_ids(events: DataFrame, start: int, buckets: int | None = None) -> DataFrame:
     """Add dense ``eventid``s above ``start``: numbers within hash buckets of the tid, plus the buckets' offsets.
 
-    No task sees more than a bucket; the offsets are sums over ``buckets`` rows. Within a tid, ids follow the event type.
+    No task sees more than a bucket; the offsets are a row per bucket. There are 256 buckets,
+    or more for very many events. Within a tid, ids follow the event type.
     """
+    buckets = buckets or parts_for(events, 256)
     rows = events.withColumn("_bucket", spread_key(F.coalesce("tid", F.lit("")), buckets))
     sizes = rows.groupBy("_bucket").agg(F.count("*").alias("_n"))
     before = sizes.select("_bucket", (F.sum("_n").over(W.orderBy("_bucket")) - F.col("_n")).alias("_before"))
@@ -82,6 +85,31 @@ def has_any(df: DataFrame, **conditions) -> bool:
     return not df.isEmpty()
 
 
+def any_row(df: DataFrame, **conditions) -> DataFrame:
+    """One row ``found``: whether a row fits all conditions; the answer as a table, for plans."""
+    for key, value in conditions.items():
+        df = df.where(F.col(key) == value)
+    return df.limit(1).agg((F.count("*") > 0).alias("found"))
+
+
+def store(log: DataFrame, events: DataFrame, state: DataFrame, path: str, catalogue: str, entity: str, source: str, application: str, timestamp: str) -> DataFrame:
+    """Store new ``events`` in the log below ``path`` and return ``update_stats`` of them.
+
+    Only a state that has all of its log may take events: one that is behind or ahead
+    is an error, as its events were made on something else. Stale and repeated events
+    are counted and not stored. Ids go on above the highest of the whole log.
+    """
+    own = log.where((F.col("catalogue") == catalogue) & (F.col("entity") == entity))
+    status = model_status(state, own).first()["status"]
+    if status != "up to date":
+        raise ValueError(f"{catalogue} {entity}: the state is {status}")
+    top = log.agg(F.coalesce(F.max("eventid"), F.lit(0))).first()[0]
+    validated = validate_events(events, state)
+    stored = assign_ids(validated.where("valid").drop("valid"), top)
+    append(log_rows(stored, catalogue, entity, source, application, timestamp), path)
+    return update_stats(validated)
+
+
 def model_status(state: DataFrame, log: DataFrame) -> DataFrame:
     """One row ``entity_max, log_max, status``: a state ahead of its log is corrupted, behind it out of date, else up to date."""
     s = state.agg(F.coalesce(F.max("_last_event"), F.lit(0)).cast("long").alias("entity_max"))

@@ -26,7 +26,9 @@ class RelationSpec:
     """How the rows of one application refer to a destination.
 
     The destination's ``destination_attribute`` equals the source's
-    ``source_attribute``, or the reference's own value where that is None. With
+    ``source_attribute``, or the reference's own value where that is None. With method
+    ``lies_in`` both are geometries in WKT, and a point on the source's surface lies in
+    the destination; ``cell`` is the side of a typical destination. With
     ``multiple_allowed`` one value may lead to several destinations; with
     ``none_allowed`` a missing value is no issue.
     """
@@ -36,6 +38,8 @@ class RelationSpec:
     source_attribute: str | None = None
     multiple_allowed: bool = False
     none_allowed: bool = False
+    method: str = "equals"
+    cell: float = 1.0
 
 
 @dataclass(frozen=True)
