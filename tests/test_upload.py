@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog.functions.keys import populate
-from tidelog.operators.apply import apply_confirms, confirmed_tids, empty_state, fold
+from tidelog.operators.apply import apply_all, apply_confirms, confirmed_tids, empty_state, first_state, fold
 from tidelog.operators.diff import diff, initial_load, pack_confirms, to_events
 from tidelog.plans.upload import ACCOUNTS
 from tidelog.sources import eventlog
@@ -112,6 +112,42 @@ def test_fold_sequences(spark):
     assert [r["eventid"] for r in out.orphans.collect()] == [5]
 
 
+def test_events_without_an_object(spark):
+    """Events without a tid are orphans; bulk confirms are left to their own step, which stamps after the fold."""
+    at = "2024-03-01"
+    events = account_events(spark, [("ADD", "1"), ("CONFIRM", "1"), ("ADD", "2"), ("MODIFY", None)]).withColumns({"catalogue": F.lit("web"), "entity": F.lit("accounts")})
+    bulk = spark.createDataFrame([(5, "BULKCONFIRM", None, '{"confirms":[{"tid":"1","last_event":2},{"tid":"2","last_event":3}]}')], "eventid long, action string, tid string, contents string")
+    bulk = bulk.withColumns({"timestamp": F.lit(at).cast("timestamp")} | {c: F.lit(v) for c, v in {"version": "0.1", "application": "site", "source": "site", "catalogue": "web", "entity": "accounts"}.items()})
+    log = events.unionByName(bulk)
+    assert [r["eventid"] for r in fold(empty_state(ACCOUNTS, spark), log, ACCOUNTS).orphans.collect()] == [4]
+    done, _ = apply_all(log, {"accounts": (ACCOUNTS, empty_state(ACCOUNTS, spark))})
+    confirmed = {r["_tid"]: r["_date_confirmed"] for r in done["accounts"].state.collect()}
+    assert confirmed["1"].isoformat()[:10] == at and confirmed["2"] is None
+
+
+def test_a_first_load_needs_no_fold(spark):
+    events = to_events(initial_load(snapshot(spark, [("1", 1, "a"), ("2", None, None)])).withColumn("current", F.col("new")), COLL)
+    log = log_of(spark, events, 0)
+    state = first_state(log, COLL)
+    assert state.schema.simpleString() == empty_state(COLL, spark).schema.simpleString()
+    assert sorted(map(str, state.collect())) == sorted(map(str, fold(empty_state(COLL, spark), log, COLL).state.select(state.columns).collect()))
+    with pytest.raises(Exception, match="ADDs only"):
+        first_state(log.withColumn("action", F.lit("DELETE")), COLL).collect()
+
+
+def test_storing_under_the_gate(spark, tmp_path):
+    path, keys = f"file://{tmp_path}/log", ("c", "things", "src", "app", "2024-01-01")
+    state, empty = empty_state(COLL, spark), spark.createDataFrame([], eventlog.SCHEMA)
+    events = to_events(initial_load(snapshot(spark, [("1", 1, "a"), ("2", 2, "b")])).withColumn("current", F.col("new")), COLL)
+    assert [(r["action"], r["stored"]) for r in eventlog.store(empty, events, state, path, *keys).collect()] == [("ADD", 2)]
+    log = eventlog.read_log(spark, path)
+    with pytest.raises(ValueError, match="out of date"):
+        eventlog.store(log, events, state, path, *keys)
+    now = spark.createDataFrame(first_state(log, COLL).collect(), state.schema)
+    again = eventlog.store(log, events, now, path, *keys).collect()
+    assert [(r["stored"], r["skipped"]) for r in again] == [(0, 2)] and eventlog.read_log(spark, path).count() == 2
+
+
 def test_fold_does_not_depend_on_batches(spark):
     rng = random.Random(3)
     actions = [(rng.choice(["ADD", "MODIFY", "DELETE", "CONFIRM"]), str(rng.randrange(6))) for _ in range(120)]

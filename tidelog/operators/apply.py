@@ -35,10 +35,14 @@ def fold(state: DataFrame, log_tail: DataFrame, coll: CollectionSpec) -> Folded:
     Each event's standing follows from the ADDs and DELETEs before it: an ADD needs
     an absent or deleted object, other events a live one; else the event is a
     violation and not applied. Events on an object that has no row and no earlier
-    ADD are orphans and are dropped. For the rest, one grouping by tid takes each
-    field's latest value since the last ADD (explicit nulls included) and the
-    metadata, and one join merges it with the old state.
+    ADD, or without a tid, are orphans and are dropped. For the rest, one grouping by
+    tid takes each field's latest value since the last ADD (explicit nulls included) and
+    the metadata, and one join merges it with the old state. Bulk confirms name many
+    objects and none as their own; they aren't events of an object and are left to
+    ``confirm_in_bulk``.
     """
+    log_tail = log_tail.where("action <> 'BULKCONFIRM'")
+    nameless, log_tail = log_tail.where("tid IS NULL"), log_tail.where("tid IS NOT NULL")
     first = state.select(F.col("_tid").alias("_old_tid"), F.when(F.col("_date_deleted").isNull(), "ADD").otherwise("DELETE").alias("_standing"), F.col("_last_event").alias("_mark"))
     events = log_tail.join(first, log_tail["tid"] == first["_old_tid"], "left").where("_mark IS NULL OR eventid > _mark")
     order = W.partitionBy("tid").orderBy("eventid")
@@ -50,7 +54,7 @@ def fold(state: DataFrame, log_tail: DataFrame, coll: CollectionSpec) -> Folded:
     live, absent, add = F.col("_before").eqNullSafe("ADD"), F.col("_before").isNull(), F.col("action") == "ADD"
     events = events.withColumn("_orphan", absent & ~add).withColumn("_violation", F.when(add, live).otherwise(~absent & ~live))
     violations = events.where("_violation").select("eventid", "tid", "action", F.coalesce("_before", F.lit("none")).alias("standing"))
-    orphans = events.where("_orphan").select("eventid", "tid", "action")
+    orphans = events.where("_orphan").select("eventid", "tid", "action").unionByName(nameless.select("eventid", "tid", "action"))
 
     good = events.where("NOT _violation AND NOT _orphan").withColumn("c", F.from_json("contents", CONTENTS))
     change = F.when(add, F.col("c.entity")).when(F.col("action") == "MODIFY", F.map_from_entries(F.transform("c.modifications", lambda m: F.struct(m["key"], m["new_value"]))))
@@ -80,6 +84,19 @@ def fold(state: DataFrame, log_tail: DataFrame, coll: CollectionSpec) -> Folded:
     return Folded(result, violations, orphans)
 
 
+def first_state(log_tail: DataFrame, coll: CollectionSpec) -> DataFrame:
+    """The state after a first load, whose events are all ADDs of different objects: a projection, without window or join.
+
+    ``fold`` on an empty state gives the same at the cost of both.
+    """
+    wrong = F.raise_error(F.concat(F.lit("a first load has ADDs only: "), F.col("action")))
+    made = F.from_json("contents", CONTENTS)
+    rows = log_tail.withColumn("c", F.when(F.col("action") == "ADD", made).when(wrong.cast("string").isNotNull(), made))
+    fields = [(F.to_timestamp(F.col("c.entity")[n]) if k == "timestamp" else F.col("c.entity")[n].cast(k)).alias(n) for n, k in coll.fields.items()]
+    meta = {"_tid": "tid", "_source": "source", "_application": "application", "_version": "version", "_hash": "c._hash", "_last_event": "eventid", "_date_created": "timestamp"}
+    return rows.select(*fields, *[(F.col(meta[n]) if n in meta else F.lit(None)).cast(k).alias(n) for n, k in META.items()])
+
+
 def empty_state(coll: CollectionSpec, spark) -> DataFrame:
     """A state without rows."""
     return spark.createDataFrame([], ", ".join(f"`{n}` {k}" for n, k in (coll.fields | META).items()))
@@ -92,18 +109,29 @@ def confirmed_tids(confirms: DataFrame) -> DataFrame:
     return confirms.select(F.explode(tids).alias("tid")).where("tid IS NOT NULL").distinct()
 
 
-def apply_confirms(state: DataFrame, confirms: DataFrame, timestamp: Column) -> DataFrame:
-    """Stamp the confirmed objects. Only rows that were confirmed before and at another moment change; ``_last_event`` doesn't."""
-    tids = confirmed_tids(confirms).withColumnRenamed("tid", "_ctid")
+def _stamp(state: DataFrame, tids: DataFrame) -> DataFrame:
+    """``state`` confirmed at ``_at`` where ``tids`` has its ``_ctid``. Only rows that were confirmed before and at another moment change; ``_last_event`` doesn't."""
     joined = state.join(tids, state["_tid"] == tids["_ctid"], "left")
-    stamped = F.when(F.col("_ctid").isNotNull() & F.coalesce(F.col("_date_confirmed") != timestamp, F.lit(False)), timestamp).otherwise(F.col("_date_confirmed"))
+    stamped = F.when(F.coalesce(F.col("_date_confirmed") != F.col("_at"), F.lit(False)), F.col("_at")).otherwise(F.col("_date_confirmed"))
     return joined.withColumn("_date_confirmed", stamped).select(*state.columns)
 
 
+def apply_confirms(state: DataFrame, confirms: DataFrame, timestamp: Column) -> DataFrame:
+    """Stamp the confirmed objects with ``timestamp``. Only rows that were confirmed before and at another moment change; ``_last_event`` doesn't."""
+    return _stamp(state, confirmed_tids(confirms).select(F.col("tid").alias("_ctid"), timestamp.alias("_at")))
+
+
+def confirm_in_bulk(state: DataFrame, log_tail: DataFrame) -> DataFrame:
+    """Stamp the objects that the log's bulk confirms name, with the latest event's timestamp, as ``apply_confirms`` does."""
+    members = log_tail.where("action = 'BULKCONFIRM'").select("timestamp", F.explode(F.from_json("contents", CONTENTS)["confirms"]).alias("m"))
+    return _stamp(state, members.groupBy(F.col("m.tid").alias("_ctid")).agg(F.max("timestamp").alias("_at")))
+
+
 def apply_all(log: DataFrame, states: dict[str, tuple[CollectionSpec, DataFrame]]) -> tuple[dict[str, Folded | None], DataFrame]:
     """Bring each collection up to date with its part of the log; also a summary by ``applied_range``.
 
-    A collection whose state is ahead of the log is an error; one that is up to date keeps its state.
+    A collection whose state is ahead of the log is an error; one that is up to date keeps
+    its state. Events of objects are folded first, then the bulk confirms are stamped.
     """
     results, rows = {}, []
     for name, (coll, state) in states.items():
@@ -111,8 +139,12 @@ def apply_all(log: DataFrame, states: dict[str, tuple[CollectionSpec, DataFrame]
         mark = model_status(state, own).first()
         if mark["status"] == "corrupted":
             raise ValueError(f"{name}: the state is ahead of the log ({mark['entity_max']} > {mark['log_max']})")
-        results[name] = None if mark["status"] == "up to date" else fold(state, own.where(F.col("eventid") > mark["entity_max"]), coll)
-        rows.append(own.where(F.col("eventid") > mark["entity_max"]).select(F.lit(name).alias("collection"), F.lit(mark["entity_max"]).cast("long").alias("before"), "eventid", "action"))
+        new = own.where(F.col("eventid") > mark["entity_max"])
+        results[name] = None
+        if mark["status"] != "up to date":
+            folded = fold(state, new, coll)
+            results[name] = Folded(confirm_in_bulk(folded.state, new), folded.violations, folded.orphans)
+        rows.append(new.select(F.lit(name).alias("collection"), F.lit(mark["entity_max"]).cast("long").alias("before"), "eventid", "action"))
     return results, applied_range(reduce(DataFrame.unionByName, rows))
 
 

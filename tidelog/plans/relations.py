@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 from tidelog.functions.keys import as_text
 from tidelog.functions.temporal import islands, latest_state
 from tidelog.operators import quality
-from tidelog.operators.relate import change_ratio, check_specs, conflicts, marks, match, obsolete_relations, relate, relate_all, relation_events, relation_rows
+from tidelog.operators.relate import change_ratio, check_specs, conflicts, empty_relation, marks, match, obsolete_relations, relate, relate_all, relation_events, relation_rows, update
 from tidelog.operators.views import refresh_views, relation_view
 from tidelog.plans.upload import table
+from tidelog.sources.shared import written
 from tidelog.specs import RelationSpec
 
 SPECS = [RelationSpec("A", "name"), RelationSpec("B", "code", none_allowed=True)]
 PART = [RelationSpec("P", "code")]
 BRAND = [RelationSpec("P", "brand", multiple_allowed=True)]
 ONE_BRAND = [RelationSpec("P", "brand")]
+INSIDE = [RelationSpec("M", "area", source_attribute="place", method="lies_in", cell=4.0)]
 CODE_BY_COLUMN = [RelationSpec("P", "code", source_attribute="nation_code")]
 
 def none():
@@ -77,11 +79,10 @@ def nation_states(spark, d) -> DataFrame:
 
 
 def relation(spark, d) -> DataFrame:
-    """An existing relation: that of the first half of the customers, with some destinations changed and some rows deleted."""
-    src = customers(spark, d)
-    half = src.where(F.col("_last_event") <= 700)
-    rows = relation_rows(match(half, nations(spark, d), SPECS), SPECS)
+    """An existing relation: that of the customers but for every 7th, with some destinations changed and some rows deleted."""
+    rows = relation_rows(match(customers(spark, d), nations(spark, d), SPECS), SPECS)
     key = F.col("src_id").cast("long")
+    rows = rows.where(key % 7 != 0)
     return rows.withColumns({"dst_id": F.when(key % 29 == 0, "999").otherwise(F.col("dst_id")), "_last_event": key + 5000, "_date_deleted": F.when(key % 31 == 0, F.lit("2021-01-01").cast("timestamp"))})
 
 
@@ -144,12 +145,53 @@ def q_marks(spark, d):
     return marks(customers(spark, d), nations(spark, d), relation(spark, d))
 
 
+def seen(spark, d) -> int:
+    """The last event of the source that the relation has taken in: half of all."""
+    return table(spark, d, "customer").agg(F.max("c_custkey")).first()[0] // 2
+
+
 def q_change_ratio(spark, d):
-    return change_ratio(customers(spark, d), nations(spark, d), 700, 10)
+    return change_ratio(customers(spark, d), nations(spark, d), seen(spark, d), 10)
 
 
 def _related(spark, d, mode):
-    return relate(customers(spark, d), nations(spark, d), relation(spark, d), SPECS, mode, 700, 10)
+    return relate(customers(spark, d), nations(spark, d), relation(spark, d), SPECS, mode, seen(spark, d), 10)
+
+
+def q_relate_update(spark, d):
+    """Two rounds of ``update``: the first on an empty table and the older sources, the second on all. The live relations that result."""
+    src, dst, at = customers(spark, d), nations(spark, d), F.lit("2024-01-01").cast("timestamp")
+    first = written(update(src.where(F.col("_last_event") <= seen(spark, d)), dst, empty_relation(src, dst, SPECS), SPECS, 0, at)[0], "relation")
+    second, _, _ = update(src, dst, first, SPECS, 1_000_000_000, at)
+    return second.where("_date_deleted IS NULL").select("id", "src_id", "dst_id", "derivation", "_last_src_event")
+
+
+def q_relate_precondition(spark, d):
+    """The applications that keep a relation from being made, for specs that know only one of them."""
+    return check_specs(order_lines(spark, d).select("_application").unionByName(customers(spark, d).select("_application")), SPECS)
+
+
+def places(spark, d) -> DataFrame:
+    """Sources with a location; every 50th customer's outline crosses itself."""
+    x, y, key = (F.col("c_custkey") * 7 % 1000) / 10, F.col("c_acctbal") / 100, F.col("c_custkey")
+    at = F.concat(F.lit("POINT ("), x.cast("string"), F.lit(" "), y.cast("string"), F.lit(")"))
+    wkt = F.when(key % 50 == 0, "POLYGON ((0 0, 8 8, 8 0, 0 8, 0 0))").otherwise(at)
+    return table(spark, d, "customer").select(key.cast("string").alias("_id"), F.lit("crm").alias("_source"), F.lit("M").alias("_application"), key.alias("_last_event"), none().alias("_date_deleted"), wkt.alias("place"), _ref(F.lit("here")).alias("ref"))
+
+
+def areas(spark, d) -> DataFrame:
+    """Destinations with outlines: rectangles of different widths, and one that is far larger."""
+    key = F.col("n_nationkey")
+    number = lambda v: v.cast("double").cast("string")
+    low, high = number(key * 4 + F.lit(0.25)), number(key * 4 + 1 + key % 3)
+    box = lambda a, b, c, e: F.concat(F.lit("POLYGON (("), a, F.lit(" "), b, F.lit(", "), c, F.lit(" "), b, F.lit(", "), c, F.lit(" "), e, F.lit(", "), a, F.lit(" "), e, F.lit(", "), a, F.lit(" "), b, F.lit("))"))
+    wkt = F.when(key == 24, box(F.lit("-1000"), F.lit("50"), F.lit("1000"), F.lit("1000"))).otherwise(box(low, F.lit("-5"), high, F.lit("50")))
+    return table(spark, d, "nation").select(key.cast("string").alias("_id"), F.lit("geo").alias("_source"), (key + 1).cast("long").alias("_last_event"), none().alias("_date_deleted"), wkt.alias("area"))
+
+
+def q_relate_spatial(spark, d):
+    rows = relation_rows(match(places(spark, d), areas(spark, d), INSIDE), INSIDE)
+    return rows.select("id", "derivation", "src_id", "dst_id")
 
 
 def q_relate_full(spark, d):
@@ -267,7 +309,8 @@ s AS (SELECT c_custkey AS key, c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 2
 n AS (SELECT n_nationkey AS key, n_nationkey::VARCHAR AS id, n_name AS name, n_nationkey + 1 AS last FROM nation WHERE n_nationkey <> 24),
 m AS (SELECT s.*, n.id AS dst_id, n.last AS dst_last FROM s JOIN n ON s.value = CASE s.app WHEN 'A' THEN n.name ELSE n.id END),
 k AS (SELECT *, id || '.crm.' || value AS rid FROM m),
-rel AS (SELECT rid, key, id, value, app, valid_to, dst_last, CASE WHEN key % 29 = 0 THEN '999' ELSE dst_id END AS dst_id, key + 5000 AS last, key % 31 = 0 AS gone FROM k WHERE key <= 700)
+rel AS (SELECT rid, key, id, value, app, valid_to, dst_last, CASE WHEN key % 29 = 0 THEN '999' ELSE dst_id END AS dst_id, key + 5000 AS last, key % 31 = 0 AS gone FROM k WHERE key % 7 <> 0),
+half AS (SELECT max(c_custkey) // 2 AS seen FROM customer)
 """
 _S = f"WITH {_SRC}"
 _STATES = """
@@ -305,9 +348,12 @@ ORACLE_SQL = {
     "relation_key": f"{_S} SELECT rid AS id, CASE app WHEN 'A' THEN 'name' ELSE 'code' END AS derivation, key AS _last_src_event, dst_last::BIGINT AS _last_dst_event, strftime(valid_to, {_TS}) AS valid_to FROM k",
     "check_specs": f"{_S} SELECT DISTINCT app AS _application FROM s WHERE app <> 'A'",
     "marks": f"{_S} SELECT (SELECT max(key) FROM rel) AS last_src, (SELECT max(dst_last) FROM rel)::BIGINT AS last_dst, (SELECT max(key) FROM s) AS max_src, (SELECT max(n_nationkey) + 1 FROM nation)::BIGINT AS max_dst",
-    "change_ratio": f"{_S}, r AS (SELECT (SELECT count(*) FILTER (key > 700) / count(*) FROM s) AS src_ratio, (SELECT count(*) FILTER (n_nationkey + 1 > 10) / count(*) FROM nation) AS dst_ratio) SELECT *, src_ratio + dst_ratio >= 1 AS \"full\" FROM r",
+    "change_ratio": f"{_S}, r AS (SELECT (SELECT count(*) FILTER (key > (SELECT seen FROM half)) / count(*) FROM s) AS src_ratio, (SELECT count(*) FILTER (n_nationkey + 1 > 10) / count(*) FROM nation) AS dst_ratio) SELECT *, src_ratio + dst_ratio >= 1 AS \"full\" FROM r",
     "relate_full": f"{_S}{_FULL} SELECT id, dst_id, rel_id, rel_dst_id FROM u",
-    "relate_incremental": f"{_S}, r AS (SELECT * FROM k WHERE key > 700 OR dst_last > 10), g AS (SELECT * FROM rel WHERE NOT gone AND (key > 700 OR dst_id IN (SELECT (n_nationkey)::VARCHAR FROM nation WHERE n_nationkey + 1 > 10)) AND rid NOT IN (SELECT rid FROM r)) SELECT r.rid AS id, r.dst_id, rel.rid AS rel_id, rel.dst_id AS rel_dst_id FROM r LEFT JOIN rel ON rel.rid = r.rid UNION ALL SELECT NULL, NULL, rid, dst_id FROM g",
+    "relate_incremental": f"{_S}, r AS (SELECT * FROM k WHERE key > (SELECT seen FROM half) OR dst_last > 10), g AS (SELECT * FROM rel WHERE NOT gone AND (key > (SELECT seen FROM half) OR dst_id IN (SELECT (n_nationkey)::VARCHAR FROM nation WHERE n_nationkey + 1 > 10)) AND rid NOT IN (SELECT rid FROM r)) SELECT r.rid AS id, r.dst_id, rel.rid AS rel_id, rel.dst_id AS rel_dst_id FROM r LEFT JOIN rel ON rel.rid = r.rid UNION ALL SELECT NULL, NULL, rid, dst_id FROM g",
+    "relate_update": f"{_S} SELECT rid AS id, id AS src_id, dst_id, CASE app WHEN 'A' THEN 'name' ELSE 'code' END AS derivation, key AS _last_src_event FROM k WHERE NOT deleted",
+    "relate_precondition": "SELECT 'P' AS _application",
+    "relate_spatial": "WITH c AS (SELECT c_custkey, (c_custkey * 7 % 1000) / 10.0::DOUBLE AS x, c_acctbal / 100 AS y FROM customer WHERE c_custkey % 50 <> 0) SELECT c_custkey::VARCHAR || '.crm.here' AS id, 'area' AS derivation, c_custkey::VARCHAR AS src_id, n_nationkey::VARCHAR AS dst_id FROM c JOIN nation ON CASE WHEN n_nationkey = 24 THEN y > 50 ELSE x > 4 * n_nationkey + 0.25 AND x < 4 * n_nationkey + 1 + n_nationkey % 3 AND y > -5 AND y < 50 END",
     "relation_events": f"{_EVENTS} SELECT event, tid, CASE WHEN event <> 'ADD' THEN rlast END AS last_event, CASE WHEN event = 'MODIFY' THEN 1 END::INTEGER AS n_changed FROM ev WHERE event IS NOT NULL",
     "obsolete_relations": f"{_S} SELECT rid AS id, dst_id FROM rel WHERE NOT gone AND rid NOT IN (SELECT rid FROM k WHERE key % 5 <> 0)",
     "relate_all": f"{_EVENTS} SELECT 'crm_customer_nation' AS relation, event, count(*) AS n FROM ev WHERE event IS NOT NULL GROUP BY event",

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.keys import as_text, normalize_timestamps, populate, staged
 from tidelog.functions.ranges import batch_boundaries
-from tidelog.operators.apply import META, applied_range, apply_all, apply_confirms, fold
+from tidelog.operators.apply import META, applied_range, apply_all, apply_confirms, confirm_in_bulk, first_state, fold
 from tidelog.operators.diff import compare_stats, diff, initial_load, pack_confirms, split_confirms, to_events
 from tidelog.sources import eventlog
+from tidelog.sources.shared import shared_path
 from tidelog.sources.state import column_values, current_tids, entities, last_column_value, last_events
 from tidelog.specs import CollectionSpec
 from tidelog.streaming.apply_stream import apply_stream, latest
@@ -185,6 +183,30 @@ def q_fold_orphans(spark, d):
     return account_fold(spark, d).orphans
 
 
+def first_log(spark, d) -> DataFrame:
+    events = to_events(initial_load(new_orders(spark, d)).withColumn("current", F.col("new")), ORDERS)
+    return eventlog.log_rows(eventlog.assign_ids(events, 0), "shop", "orders", "src_a", "shopfloor", "2024-05-01")
+
+
+def q_first_state(spark, d):
+    """The state of a first load."""
+    state = first_state(first_log(spark, d), ORDERS)
+    return state.select("_tid", "o_orderkey", F.col("o_totalprice").cast("string").alias("price"), as_text(F.col("o_orderdate"), "timestamp").alias("day"), "_hash", as_text(F.col("_date_created"), "timestamp").alias("created"))
+
+
+def q_has_any(spark, d):
+    log = order_log(spark, d)
+    return eventlog.any_row(log, entity="orders", action="DELETE").select(F.lit("orders deleted").alias("question"), "found").unionByName(eventlog.any_row(log, entity="nothing").select(F.lit("nothing").alias("question"), "found"))
+
+
+def q_confirm_in_bulk(spark, d):
+    """Bulk confirms in the log, stamped on the state."""
+    packed = pack_confirms(split_confirms(order_events(spark, d))[1], most=50, buckets=16)
+    rows = packed.withColumns({"eventid": F.lit(1).cast("long"), "version": F.lit("0.2"), "hash": F.lit(None).cast("string"), "entity": F.lit(None).cast("map<string,string>"), "modifications": F.lit(None).cast("array<struct<key:string,old_value:string,new_value:string>>")})
+    log = eventlog.log_rows(rows.where("event = 'BULKCONFIRM'"), "shop", "orders", "src_a", "shopfloor", "2024-05-01")
+    return confirm_in_bulk(current_orders(spark, d), log).select("_tid", "_last_event", as_text(F.col("_date_confirmed"), "timestamp").alias("confirmed"))
+
+
 def q_apply_confirms(spark, d):
     _, confirms = split_confirms(order_events(spark, d))
     packed = pack_confirms(confirms, most=50, buckets=16)
@@ -204,8 +226,7 @@ def q_apply_all(spark, d):
 
 def q_apply_stream(spark, d):
     """The state after following the log as a stream, in batches by event id."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-stream-")
-    base = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = shared_path(spark, "stream")
     log = account_log(spark, d)
     account_state(spark, d).write.parquet(f"{base}/state/v=-1")
     for part in range(2):
@@ -215,7 +236,7 @@ def q_apply_stream(spark, d):
 
 
 def q_entities(spark, d):
-    wanted = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("tid")).where("tid LIKE '%5'")
+    wanted = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("tid"))
     return entities(current_orders(spark, d), wanted).select("_tid", "_last_event")
 
 
@@ -326,10 +347,13 @@ ORACLE_SQL = {
     "fold_violations": f"{_ACCOUNTS} SELECT eventid, tid, action, coalesce(before, 'none') AS standing FROM g WHERE violation",
     "fold_orphans": f"{_ACCOUNTS} SELECT eventid, tid, action FROM g WHERE orphan",
     "apply_confirms": f"{_D} SELECT c.tid AS _tid, c.o_orderkey AS _last_event, CASE WHEN c.o_orderkey % 2 = 0 THEN CASE WHEN dd.tid IS NOT NULL THEN '2024-05-01T00:00:00.000000' ELSE '2020-02-02T00:00:00.000000' END END AS confirmed FROM c LEFT JOIN dd ON dd.tid = c.tid AND dd.type = 'CONFIRM'",
+    "confirm_in_bulk": f"{_PACKS}, big AS (SELECT p.tid FROM p JOIN (SELECT bucket, pack FROM p GROUP BY ALL HAVING count(*) > 1) b ON b.bucket = p.bucket AND b.pack = p.pack) SELECT c.tid AS _tid, c.o_orderkey AS _last_event, CASE WHEN c.o_orderkey % 2 = 0 THEN CASE WHEN c.tid IN (SELECT tid FROM big) THEN '2024-05-01T00:00:00.000000' ELSE '2020-02-02T00:00:00.000000' END END AS confirmed FROM c",
+    "first_state": f"WITH {_ORDERS} x AS (SELECT 1) SELECT tid AS _tid, o_orderkey, o_totalprice::VARCHAR AS price, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS day, hash AS _hash, '2024-05-01T00:00:00.000000' AS created FROM n",
+    "has_any": f"{_D} SELECT 'orders deleted' AS question, count(*) FILTER (type = 'DELETE') > 0 AS found FROM dd UNION ALL SELECT 'nothing', false",
     "applied_range": f"{_ACCOUNTS} SELECT min(eventid - eventid % 1000) AS before, max(eventid) AS after, count(*) FILTER (action = 'ADD') AS add, count(*) FILTER (action = 'MODIFY') AS modify, count(*) FILTER (action = 'DELETE') AS delete, count(*) FILTER (action = 'CONFIRM') AS confirm FROM l",
     "apply_all": f"{_ACCOUNTS} SELECT -1::BIGINT AS before, max(eventid) AS after, count(*) FILTER (action = 'ADD') AS add, count(*) FILTER (action = 'MODIFY') AS modify, count(*) FILTER (action = 'DELETE') AS delete, count(*) FILTER (action = 'CONFIRM') AS confirm FROM l",
     "apply_stream": _FOLD,
-    "entities": f"WITH {_ORDERS} x AS (SELECT 1) SELECT tid AS _tid, o_orderkey AS _last_event FROM c WHERE NOT deleted AND o_orderkey % 10 = 5 AND o_orderkey IN (SELECT l_orderkey FROM lineitem)",
+    "entities": f"WITH {_ORDERS} x AS (SELECT 1) SELECT tid AS _tid, o_orderkey AS _last_event FROM c WHERE NOT deleted AND o_orderkey IN (SELECT l_orderkey FROM lineitem)",
     "current_tids": f"WITH {_ORDERS} x AS (SELECT 1) SELECT tid AS _tid FROM c WHERE NOT deleted",
     "last_events": f"WITH {_ORDERS} x AS (SELECT 1) SELECT tid AS _tid, o_orderkey AS _last_event FROM c",
     "column_values": f"WITH {_ORDERS} x AS (SELECT 1) SELECT DISTINCT o_orderpriority FROM c WHERE source = 'src_a' AND o_orderstatus = 'F'",
