@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import hot_join, stage_table
+from tidelog.llm.common import stage_table
 
 
-def _stamp(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _least_neighbour(edges: DataFrame) -> DataFrame:
+    return edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
 
 
-def _least_neighbour(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n_left"))
+def _beside(edges: DataFrame, least: DataFrame, total: int, most: int = 1000) -> DataFrame:
+    """``edges`` with their ``a``'s ``m``. The centre of a large star is a hot key: those with more than one in ``most``
+    of all ``total`` edges, fewer than ``most`` nodes, are broadcast; the other edges meet theirs in a shuffle."""
+    hot = F.broadcast(least.where(F.col("n") * most > total).select("a", "m"))
+    return edges.join(hot, "a").unionByName(edges.join(hot, "a", "left_anti").join(least.select("a", "m"), "a"))
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether all components are stars: no node has two centres, and no centre has one."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("leaf")), F.struct(F.col("b").alias("node"), F.lit(0).alias("leaf")))).alias("e")).select("e.*")
+    nodes = ends.groupBy("node").agg(F.sum("leaf").alias("leaves"), F.min("leaf").alias("least"))
+    return nodes.where("leaves > 1 OR leaves = 1 AND least = 0").isEmpty()
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -23,21 +33,16 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     grouped minima and joins: a node is linked to the smallest node among its
     neighbours until every component is a star around its smallest node. Rounds
     grow with the logarithm of a component's size. Each round is written to the
-    shared folder. The centre of a large star is a hot key of both joins, which
-    ``hot_join`` deals out. Edges with a null end and loops are left out.
+    shared folder. Edges with a null end and loops are left out.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = stage_table(edges, name)
-    stamp = _stamp(edges)
-    while stamp[0]:
+    while (total := edges.count()) and not _settled(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = _least_neighbour(both).withColumn("m", F.least("a", "m"))
-        large = hot_join(both.where("b > a"), least, "a", 2 * stamp[0]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        small = hot_join(large, _least_neighbour(large), "a", stamp[0])  # at most as many rows as edges
+        large = _beside(both.where("b > a"), least, 2 * total).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        small = _beside(large, _least_neighbour(large), total)  # at most as many rows as edges
         small = small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
         edges = stage_table(small, name)
-        before, stamp = stamp, _stamp(edges)
-        if stamp == before:
-            break
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

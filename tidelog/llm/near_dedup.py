@@ -337,7 +337,7 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, cap: int = 64, b
     small = clusters.where("NOT large").select(F.col("label").alias("i"), F.col("label").alias("j"), "node", F.col("node").alias("component"), F.col("label").alias("block"))
     rows = small.unionByName(_block_pairs(large, total, block_shingles, block_sets)).join(sets, "node")
     links = rows.repartition(shuffle_width(docs.sparkSession), "i", "j").sortWithinPartitions("i", "j", "node").mapInArrow(_confirm(percent), "a long, b long")
-    found = components(first.unionByName(links), "near-links")
+    found = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links), "near-links")
 
     named = classes.join(found, "node", "left").select("set_key", "n_left", F.coalesce("component", "node").alias("component_id"))
     same_id = hot_join(linked.select("doc_id", "n", "set_key"), named, "set_key", linked.count())
