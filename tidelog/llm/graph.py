@@ -9,14 +9,7 @@ from tidelog.llm.common import stage_table
 
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-
-
-def _beside(edges: DataFrame, least: DataFrame, total: int, most: int = 1000) -> DataFrame:
-    """``edges`` with their ``a``'s ``m``. The centre of a large star is a hot key: those with more than one in ``most``
-    of all ``total`` edges, fewer than ``most`` nodes, are broadcast; the other edges meet theirs in a shuffle."""
-    hot = F.broadcast(least.where(F.col("n") * most > total).select("a", "m"))
-    return edges.join(hot, "a").unionByName(edges.join(hot, "a", "left_anti").join(least.select("a", "m"), "a"))
+    return edges.groupBy("a").agg(F.min("b").alias("m"))
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -33,15 +26,16 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     grouped minima and joins: a node is linked to the smallest node among its
     neighbours until every component is a star around its smallest node. Rounds
     grow with the logarithm of a component's size. Each round is written to the
-    shared folder. Edges with a null end and loops are left out.
+    shared folder. The links of one node meet in one task of a step, two numbers each.
+    Edges with a null end and loops are left out.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = stage_table(edges, name)
-    while (total := edges.count()) and not _settled(edges):
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = _least_neighbour(both).withColumn("m", F.least("a", "m"))
-        large = _beside(both.where("b > a"), least, 2 * total).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        small = _beside(large, _least_neighbour(large), total)  # at most as many rows as edges
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        small = large.join(_least_neighbour(large), "a")
         small = small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
         edges = stage_table(small, name)
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
