@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.keys import populate
 from tidelog.operators.apply import apply_all, apply_confirms, confirmed_tids, empty_state, first_state, fold
-from tidelog.operators.diff import diff, initial_load, pack_confirms, to_events
+from tidelog.operators.diff import diff, initial_load, pack_confirms, split_confirms, to_events
 from tidelog.plans.upload import ACCOUNTS
 from tidelog.sources import eventlog
 from tidelog.specs import CollectionSpec
+from tidelog.streaming.apply_stream import apply_batch, latest, write_part
 
 COLL = CollectionSpec("c", "things", "0.1", "id", {"id": "string", "a": "int", "b": "string"})
 
@@ -186,3 +187,38 @@ def test_snapshots_and_event_files(spark, tmp_path):
     state.write_events(events, f"{path}/events")
     changes, confirms = state.read_events(spark, f"{path}/events")
     assert (changes.count(), confirms.count()) == (1, 2)
+
+
+def test_stream_parts_equal_one_fold(spark, tmp_path):
+    """Deltas and merged bases give the state of one fold; a batch seen again and a part not named as complete change nothing."""
+    rng, state, logs = random.Random(11), empty_state(COLL, spark), []
+    for _ in range(5):
+        rows = [(str(i), rng.choice([None, 1, 2]), rng.choice([None, "x"])) for i in rng.sample(range(9), 6)]
+        top = state.agg(F.coalesce(F.max("_last_event"), F.lit(0))).first()[0]
+        logs.append(log_of(spark, upload(spark, state, rows)[0], top))
+        logs[-1].write.parquet(f"{tmp_path}/log{len(logs)}")
+        logs[-1] = spark.read.schema(logs[-1].schema).parquet(f"{tmp_path}/log{len(logs)}")
+        state = fold(state, logs[-1], COLL).state
+        state.write.parquet(f"{tmp_path}/state{len(logs)}")
+        state = spark.read.schema(state.schema).parquet(f"{tmp_path}/state{len(logs)}")
+    path = f"{tmp_path}/stream"
+    for epoch, log in enumerate(logs):
+        apply_batch(log, path, COLL, epoch, deltas_per_base=2)
+        apply_batch(log, path, COLL, epoch, deltas_per_base=2)
+    fold(state, logs[0], COLL).state.limit(1).write.parquet(f"{path}/delta=9")
+    found, version = latest(spark, path, COLL)
+    rows = lambda df: sorted(str([r[c] for c in sorted(df.columns)]) for r in df.collect())
+    assert version == 4 and rows(found) == rows(state)
+    assert sorted(p.name for p in (tmp_path / "stream").iterdir()) == ["base=1", "base=3", "delta=0", "delta=1", "delta=2", "delta=3", "delta=4", "delta=9", "versions"]
+
+
+def test_stream_stamps_bulk_confirms(spark, tmp_path):
+    rows = [(str(i), i, "x") for i in range(4)]
+    _, folded = upload(spark, empty_state(COLL, spark), rows)
+    base = folded.state.withColumn("_date_confirmed", F.lit("2020-01-01").cast("timestamp"))
+    write_part(base, f"{tmp_path}/s", "base", -1)
+    packed = pack_confirms(split_confirms(to_events(diff(snapshot(spark, rows[:3]), base, "src", "update"), COLL))[1], most=50, buckets=1)
+    more = {"eventid": F.lit(100).cast("long"), "version": F.lit("0.1"), "hash": F.lit(None).cast("string"), "entity": F.lit(None).cast("map<string,string>"), "modifications": F.lit(None).cast("array<struct<key:string,old_value:string,new_value:string>>")}
+    apply_batch(eventlog.log_rows(packed.withColumns(more), "c", "things", "src", "app", "2024-01-01"), f"{tmp_path}/s", COLL, 0)
+    found, _ = latest(spark, f"{tmp_path}/s", COLL)
+    assert sorted((r["_tid"], r["_date_confirmed"].year) for r in found.collect()) == [("0", 2024), ("1", 2024), ("2", 2024), ("3", 2020)]

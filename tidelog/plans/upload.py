@@ -13,7 +13,7 @@ from tidelog.sources import eventlog
 from tidelog.sources.shared import shared_path
 from tidelog.sources.state import column_values, current_tids, entities, last_column_value, last_events
 from tidelog.specs import CollectionSpec
-from tidelog.streaming.apply_stream import apply_stream, latest
+from tidelog.streaming.apply_stream import apply_stream, latest, write_part
 
 ORDERS = CollectionSpec("shop", "orders", "0.2", "o_orderkey", {"o_orderkey": "long", "o_custkey": "long", "o_orderstatus": "string", "o_totalprice": "decimal(18,2)", "o_orderdate": "timestamp", "o_orderpriority": "string"})
 ACCOUNTS = CollectionSpec("web", "accounts", "0.1", "user_id", {"value": "decimal(18,2)", "k": "string"})
@@ -228,7 +228,7 @@ def q_apply_stream(spark, d):
     """The state after following the log as a stream, in batches by event id."""
     base = shared_path(spark, "stream")
     log = account_log(spark, d)
-    account_state(spark, d).write.parquet(f"{base}/state/v=-1")
+    write_part(account_state(spark, d), f"{base}/state", "base", -1)
     for part in range(2):
         eventlog.append(log.where((F.col("eventid") >= 5000) == bool(part)), f"{base}/log")
         apply_stream(spark, f"{base}/log", f"{base}/state", f"{base}/checkpoint", ACCOUNTS, 100_000).awaitTermination()

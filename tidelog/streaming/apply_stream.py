@@ -1,39 +1,85 @@
-"""Follow the event log as a stream and keep the state up to date."""
+"""Follow the event log as a stream and keep the state up to date.
+
+The state is kept as ``base=<v>``, all objects, and ``delta=<v>``, the objects that
+batch ``v`` touched. A table ``versions`` names the folders that are complete, so a
+folder that a lost job left half written is never read. The work of a batch grows with
+the objects it touches; every ``deltas_per_base`` batches the parts are merged into a
+new base. Folders older than the newest base aren't read any more and may be removed.
+Versions are the stream's batch numbers: a state and its checkpoint belong together.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.operators.apply import empty_state, fold
-from tidelog.sources.eventlog import SCHEMA
+from tidelog.operators.apply import confirm_in_bulk, empty_state, fold
+from tidelog.sources.eventlog import CONTENTS, SCHEMA
 from tidelog.specs import CollectionSpec
 
 
+def _parts(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
+    """The version of the newest base (None without one) and those of the deltas after it, in order."""
+    try:
+        complete = spark.read.schema("kind string, version long").parquet(f"{path}/versions")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None, []
+    base = complete.where("kind = 'base'").agg(F.max("version")).first()[0]
+    after = complete.where("kind = 'delta'").where(F.lit(base is None) | (F.col("version") > F.lit(base))).select("version").distinct().collect()
+    return base, sorted(r["version"] for r in after)
+
+
+def write_part(rows: DataFrame, path: str, kind: str, version: int) -> None:
+    """Write ``rows`` as the ``base`` or ``delta`` of a version and name it as complete. What an earlier attempt left is overwritten."""
+    rows.write.mode("overwrite").parquet(f"{path}/{kind}={version}")
+    rows.sparkSession.createDataFrame([(kind, version)], "kind string, version long").coalesce(1).write.mode("append").parquet(f"{path}/versions")
+
+
 def latest(spark: SparkSession, path: str, coll: CollectionSpec) -> tuple[DataFrame, int]:
-    """The newest written state below ``path`` and its version; an empty one where there is none."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(folder) if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))] if fs.exists(folder) else []
-    if not versions:
-        return empty_state(coll, spark), -1
+    """The state below ``path`` and its version; an empty one and -1 where there is none.
+
+    Of an object's rows the one of the newest delta counts. Rows without tid can only
+    be in the base and stay as they are.
+    """
+    base, deltas = _parts(spark, path)
     empty = empty_state(coll, spark)
-    return spark.read.schema(empty.schema).parquet(f"{path}/v={max(versions)}"), max(versions)
+    read = lambda kind, v: spark.read.schema(empty.schema).parquet(f"{path}/{kind}={v}")
+    state = empty if base is None else read("base", base)
+    if deltas:
+        rows = reduce(DataFrame.unionByName, (read("delta", v).select(F.lit(v).alias("v"), F.struct("*").alias("row")) for v in deltas))
+        newest = rows.groupBy(F.col("row._tid").alias("tid")).agg(F.max_by("row", "v").alias("row"))
+        state = state.join(rows.select(F.col("row._tid").alias("_tid")).distinct(), "_tid", "left_anti").select(*empty.columns).unionByName(newest.select("row.*"))
+    return state, max([-1 if base is None else base, *deltas])
+
 
+def apply_batch(events: DataFrame, path: str, coll: CollectionSpec, epoch: int, deltas_per_base: int = 16) -> None:
+    """Fold one batch, bulk confirms after it, into the objects it names and write those as a delta.
 
-def apply_batch(events: DataFrame, state_path: str, coll: CollectionSpec, epoch: int) -> None:
-    """Fold one batch into the newest state and write the next. A batch that is seen again changes nothing:
-    events at or below an object's last event are passed over, and a version already written isn't written twice."""
+    A batch that is seen again changes nothing: a version already complete isn't written
+    twice, and events at or below an object's last event are passed over. A batch
+    without events writes an empty delta.
+    """
     spark = events.sparkSession
-    state, version = latest(spark, state_path, coll)
-    if epoch <= version:
-        return
-    fold(state, events, coll).state.write.mode("overwrite").parquet(f"{state_path}/v={epoch}")
+    state, version = latest(spark, path, coll)
+    if epoch > version:
+        confirmed = events.where("action = 'BULKCONFIRM'").select(F.explode(F.from_json("contents", CONTENTS)["confirms"]).alias("m")).select(F.col("m.tid").alias("_tid"))
+        named = events.select(F.col("tid").alias("_tid")).unionByName(confirmed).distinct()
+        touched = state.join(named, "_tid", "left_semi").select(*state.columns)
+        write_part(confirm_in_bulk(fold(touched, events, coll).state, events), path, "delta", epoch)
+    base, deltas = _parts(spark, path)
+    if len(deltas) >= deltas_per_base:
+        state, version = latest(spark, path, coll)
+        write_part(state, path, "base", version)
 
 
-def apply_stream(spark: SparkSession, log_path: str, state_path: str, checkpoint: str, coll: CollectionSpec, files_per_batch: int = 64) -> StreamingQuery:
+def apply_stream(spark: SparkSession, log_path: str, state_path: str, checkpoint: str, coll: CollectionSpec, files_per_batch: int = 64, deltas_per_base: int = 16) -> StreamingQuery:
     """Start following the log; the checkpoint is the offset. With ``availableNow`` it stops when it has caught up."""
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(log_path)
     own = stream.where((F.col("catalogue") == coll.catalogue) & (F.col("entity") == coll.name))
-    return own.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda df, epoch: apply_batch(df, state_path, coll, epoch)).start()
+    return own.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda df, epoch: apply_batch(df, state_path, coll, epoch, deltas_per_base)).start()
