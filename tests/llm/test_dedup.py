@@ -94,9 +94,18 @@ def test_components_against_plain_python(spark):
             root[max(find(a), find(b))] = min(find(a), find(b))
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root if x in got} and all(x in got for x in root if find(x) != x)
+    few = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long").repartition(16), hold=8).collect()}
+    assert few == got  # whatever a task works out at once
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_large_star_is_dealt_out(spark):
+    """A third of all links meet in one node, the largest of its component at that, and lead on to others."""
+    pairs = [(9_000, i) for i in range(600)] + [(10_000 + i, 10_001 + i) for i in range(0, 2400, 2)] + [(20_000, i) for i in range(0, 600, 7)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long").repartition(8), hold=1).collect()}
+    assert len(got) == 602 + 2400 and all(c == (0 if x < 10_000 or x == 20_000 else x - x % 2) for x, c in got.items())
+
+
 def near_brute(texts, k, percent):
     sets = {i: shingle_set(t, k) for i, t in texts.items()}
     root = {i: i for i in texts}
