@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import crc_bucket, free_name, shuffle_width, text_bytes
+from tidelog.llm.common import crc_bucket, free_name, shuffle_width, slices, text_bytes
 
 #: Units of each direction, the bytes of a window, and the bytes at a window's inner edges that are only read for their
 #: context: windows overlap by twice as many, so no position is labelled next to a cut.
@@ -228,7 +228,7 @@ def label_languages(docs: DataFrame, tagger: ByteTagger | None, label: str = "la
 
     def run(batches):
         tagger = model.value
-        for b in batches:
+        for b in slices(batches, 2 << 20):
             letters = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
             names, best = [UNKNOWN] * b.num_rows, np.zeros(b.num_rows)
             if tagger is not None and b.num_rows:

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, hot_join, shuffle_width, stage_table
+from tidelog.llm.common import batch, hot_join, shuffle_width, slices, stage_table
 from tidelog.llm.graph import components
 from tidelog.llm.words import mix, shingles_of, word_blocks
 
@@ -47,7 +47,7 @@ def _sketch(k: int, together: int = 1 << 16):
     """Sketches of a partition's texts; about ``together`` shingles are signed at once."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 4 << 20):
             n, keys, sigs, held, at = [], [], [], [], []
 
             def sign():
@@ -170,7 +170,7 @@ def _text_sets(k: int):
     schema = pa.schema([("node", pa.int64()), ("items", pa.binary())])
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 4 << 20):
             yield batch(schema, node=b.column("node"), items=[s.tobytes() for s in _sets(b.column("text"), k)])
 
     return run
