@@ -99,7 +99,7 @@ def test_components_against_plain_python(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_large_star_is_dealt_out(spark):
+def test_large_star(spark):
     """A third of all links meet in one node, the largest of its component at that, and lead on to others."""
     pairs = [(9_000, i) for i in range(600)] + [(10_000 + i, 10_001 + i) for i in range(0, 2400, 2)] + [(20_000, i) for i in range(0, 600, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long").repartition(8), hold=1).collect()}

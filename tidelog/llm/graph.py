@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, hot_join, stage_table
+from tidelog.llm.common import batch, stage_table
 
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -48,7 +48,7 @@ def _stars(hold: int):
 
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n_left"))
+    return edges.groupBy("a").agg(F.min("b").alias("m"))
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -66,18 +66,17 @@ def components(edges: DataFrame, name: str = "components", hold: int = 1 << 18)
     large-star and small-star steps (Kiveris et al., 2014), each two grouped minima
     and joins: a node is linked to the smallest node among its neighbours until every
     component is a star around its smallest node. Rounds grow with the logarithm of a
-    component's size. Each round is written to the shared folder. The centre of a
-    large star is a hot key of the joins, which ``hot_join`` deals out.
+    component's size. Each round is written to the shared folder. The links of one
+    node meet in one task of a step, two numbers each.
     Edges with a null end and loops are left out.
     """
     edges = edges.where("a <> b").select("a", "b").mapInArrow(_stars(hold), "a long, b long").distinct()
     edges = stage_table(edges, name)
     while not _settled(edges):
-        total = edges.count()
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = _least_neighbour(both).withColumn("m", F.least("a", "m"))
-        large = hot_join(both.where("b > a"), least, "a", 2 * total).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        small = hot_join(large, _least_neighbour(large), "a", total)  # at most as many rows as edges
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        small = large.join(_least_neighbour(large), "a")
         small = small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
         edges = stage_table(small, name)
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
