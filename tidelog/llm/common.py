@@ -40,6 +40,16 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Bound the bytes that Spark sends to a Python worker at once, where the session doesn't bound them already.
+
+    By default a batch has up to 64 MB, of which a worker holds several copies.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) in (None, "67108864b"):  # Spark's default
+        spark.conf.set(name, most)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidelog.llm import decontam, exact_dedup, hmm, language_id, mixing, near_dedup, sharding, toxicity, url_filter, warc
+from tidelog.llm import alignment, decontam, exact_dedup, hmm, language_id, mixing, near_dedup, sharding, toxicity, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_hmm": hmm.op8,
         "op9_url_filter": url_filter.op9,
         "op10_sharding": sharding.op10,
+        "op13_alignment": alignment.op13,
         "pipeline": corpus_pipeline.run,
     }
 
