@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidelog.llm import alignment, collocations, decontam, exact_dedup, hmm, language_id, mixing, near_dedup, sharding, toxicity, url_filter, warc
+from tidelog.llm import alignment, collocations, decontam, exact_dedup, hmm, language_id, licences, mixing, near_dedup, sharding, toxicity, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,10 +23,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_filter": url_filter.op9,
         "op10_sharding": sharding.op10,
         "op11_collocations": collocations.op11,
+        "op12_licences": licences.op12,
         "op13_alignment": alignment.op13,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op2_warc": warc.OP2_SQL, "op3_decontam": decontam.OP3_SQL, "op4_near_dedup": near_dedup.OP4_SQL, "op7_mixing": mixing.OP7_SQL, "op11_collocations": collocations.OP11_SQL}
+    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op2_warc": warc.OP2_SQL, "op3_decontam": decontam.OP3_SQL, "op4_near_dedup": near_dedup.OP4_SQL, "op7_mixing": mixing.OP7_SQL, "op11_collocations": collocations.OP11_SQL, "op12_licences": licences.OP12_SQL}
