@@ -158,6 +158,15 @@ def test_near_groups_of_odd_documents(odd_docs, no_docs):
     assert kept.count() == 10  # the repeated row once, both rows without id
 
 
+def test_repeated_ids_link_their_classes(spark):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(30))
+    rows = [(3, text("a")), (5, text("a")), (5, text("b")), (9, text("b")), (9, text("c")), (7, text("d")), (7, ""), (7, None)]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).where("n_shingles > 0").collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 3, False), (7, 7, True), (9, 3, False), (9, 3, False)]
+    many = [(1, text(f"x{i}")) for i in range(300)] + [(2, text("x7")), (0, text("x299"))]
+    assert {r.component_id for r in near_dedup.near_groups(spark.createDataFrame(many, "doc_id long, text string")).collect()} == {0}
+
+
 def test_small_large_and_mixed_clusters_agree_with_brute_force(spark):
     """One crowded cluster that must be compared block against block, with members on both sides of the bound."""
     rng = random.Random(14)

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -106,6 +107,27 @@ def test_no_label_is_left_out(spark):
     assert len(labels) == 300 and len(y) <= 3000 and np.bincount(y, minlength=300).min() >= 1
 
 
+def test_a_label_of_one_id_is_learnt(spark):
+    rows = [(1, f"zz zzz {i}", "zz") for i in range(2000)] + [(i, f"some words {i}", "en") for i in range(3000)] + [(1, "qqqq", "qq")] * 900
+    labels, _, y = language_id.training_windows(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert labels == ["en", "qq", "zz"] and (np.bincount(y) > 0).all()
+    assert np.bincount(y)[2] > 300  # texts of one id are drawn one by one
+
+
+def test_memory_does_not_grow_with_the_labels():
+    text = np.random.default_rng(1).integers(97, 123, 40_000).astype(np.uint8)
+    bounds = np.arange(0, 40_001, 100)
+    peaks = []
+    for n in (4, 400):
+        tagger = language_id.ByteTagger.fresh([f"l{i:03}" for i in range(n)])
+        tracemalloc.start()
+        p = tagger.document_probabilities(text, bounds)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert np.allclose(p.sum(1), 1, atol=1e-3) and np.allclose(p, tagger.document_probabilities(text, bounds, together=7), atol=1e-4)
+    assert peaks[1] < 12 * max(peaks[0], 8 << 20)
+
+
 def test_languages_of_odd_documents(odd_docs, no_docs):
     tagger = language_id.train_tagger(odd_docs, steps=3)
     rows = language_id.label_languages(odd_docs, tagger).collect()

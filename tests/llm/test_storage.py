@@ -216,3 +216,18 @@ def test_whole_documents_are_sharded(spark, odd_docs, tmp_path):
     assert sorted(map(str, sharding.sharded(docs, path).select(docs.columns).collect())) == sorted(map(str, docs.collect()))
     docs.where("false").write.parquet(f"{tmp_path}/none/documents.parquet")
     assert sharding.op10(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_writers_follow_the_bytes(spark, tmp_path):
+    """A shard's files grow with its bytes, not with a fixed number."""
+    docs = spark.range(0, 40_000, 1, 16).select(F.col("id").alias("doc_id"), F.repeat(F.md5(F.col("id").cast("string")), 8).alias("text"))
+    files = {}
+    for size in ("64k", "64m"):
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+        try:
+            sharding.write_shards(docs, str(tmp_path / size), 2)
+        finally:
+            spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        files[size] = len(list((tmp_path / size).rglob("part-*.parquet")))
+        assert spark.read.parquet(str(tmp_path / size)).count() == 40_000
+    assert files["64m"] <= 4 < 8 < files["64k"]

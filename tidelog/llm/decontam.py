@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, stage_table
+from tidelog.llm.common import batch, small_batches, stage_table
 from tidelog.llm.words import shingles_of, word_blocks
 
 #: Hash orders; one value of each is compared (bands of one row).
@@ -169,6 +169,7 @@ class ItemIndex:
 
 def _blocks(benchmark: DataFrame, block_items: int, block_chars: int) -> tuple[DataFrame, int]:
     """The items with the number of their block, and how many blocks there are."""
+    small_batches(benchmark.sparkSession)
     items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"])
     n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()
     blocks = max(1, math.ceil(n / block_items), math.ceil(chars / block_chars))

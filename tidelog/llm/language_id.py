@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import crc_bucket, free_name, shuffle_width, slices, text_bytes
+from tidelog.llm.common import crc_bucket, free_name, shuffle_width, slices, small_batches, text_bytes
 
 #: Units of each direction, the bytes of a window, and the bytes at a window's inner edges that are only read for their
 #: context: windows overlap by twice as many, so no position is labelled next to a cut.
@@ -127,8 +127,12 @@ class ByteTagger:
             grads[f"u{d}"], grads[f"v{d}"], grads[f"out{d}"] = du, dv, dout
         return grads
 
-    def document_probabilities(self, flat: np.ndarray, bounds: np.ndarray, together: int = 4096) -> np.ndarray:
-        """Mean over all positions of each text's label probabilities; a row of zeros for an empty text."""
+    def document_probabilities(self, flat: np.ndarray, bounds: np.ndarray, together: int | None = None) -> np.ndarray:
+        """Mean over all positions of each text's label probabilities; a row of zeros for an empty text.
+
+        ``together`` windows go side by side: 4096, and fewer with more than 8 labels, as every step of theirs holds a number a label.
+        """
+        together = together or max(8, 4096 * 8 // max(8, len(self.labels)))
         size, stride = np.diff(bounds), WINDOW - 2 * MARGIN
         n = np.where(size > WINDOW, 1 - (WINDOW - size) // stride, size > 0)
         text = np.repeat(np.arange(len(n)), n)
@@ -171,22 +175,23 @@ class ByteTagger:
 
 
 def training_windows(docs: DataFrame, per_label: int = 400, most_rows: int = 25_600, chars: int = 512) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Labels, byte windows and label numbers from a bounded sample: ``per_label`` labelled rows at most of each label,
-    however rare beside the others, ``chars`` characters from a place that a hash picks.
+    """Labels, byte windows and label numbers from a bounded sample: ``per_label`` labelled texts at most of each label,
+    however rare beside the others, ``chars`` characters from a place that a hash of id and text picks. Equal rows count once.
 
     Every label is learnt. With many labels each has fewer rows, so that all have ``most_rows`` together; that is
     also the bound on the number of labels, of which the most frequent ones count.
     """
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(crc_bucket(F.col("doc_id")) != 0).select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_rows).collect()
+    rows = rows.withColumn("key", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("key").alias("least")).orderBy(F.desc("n"), "lang").limit(most_rows).collect()
     if not counts:
         return [], np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64)
     per_label = max(1, min(per_label, most_rows // len(counts)))
-    share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 1.2 * per_label / r["n"])) for r in counts], "lang string, share double")
-    key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    # Keys below the bound are drawn; the label's least key always is, so that no label is left out.
+    bound = docs.sparkSession.createDataFrame([(r["lang"], max(r["least"] + 1, int(min(1.0, 1.2 * per_label / r["n"]) * (1 << 30)))) for r in counts], "lang string, bound long")
     place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), F.char_length("text") - chars)) + 1
-    chosen = rows.join(F.broadcast(share), "lang").where(F.col("share") * (1 << 30) > key)
-    chosen = chosen.select("lang", key.alias("key"), F.substring("text", place.cast("int"), F.lit(chars)).alias("text"))
+    chosen = rows.join(F.broadcast(bound), "lang").where("key < bound")
+    chosen = chosen.groupBy("lang", "key").agg(F.min(F.substring("text", place.cast("int"), F.lit(chars))).alias("text"))
     # Each label has a limit of its own: a common one on the keys would cut the rarest label, whose keys reach farthest.
     nth = F.row_number().over(W.partitionBy("lang").orderBy("key", "text"))
     sample = chosen.withColumn("nth", nth).where(F.col("nth") <= per_label).orderBy("key", "lang", "text").collect()
@@ -224,6 +229,7 @@ def label_languages(docs: DataFrame, tagger: ByteTagger | None, label: str = "la
     if {label, score} & set(docs.columns):
         raise ValueError(f"{label} or {score} is a column already; pass other names")
     schema = T.StructType([*docs.schema.fields, T.StructField(label, T.StringType()), T.StructField(score, T.DoubleType())])
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(tagger)
 
     def run(batches):

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, hot_join, shuffle_width, slices, stage_table
+from tidelog.llm.common import batch, hot_join, shuffle_width, slices, small_batches, stage_table
 from tidelog.llm.graph import components
 from tidelog.llm.words import mix, shingles_of, word_blocks
 
@@ -290,6 +290,19 @@ def _block_pairs(large: DataFrame, total: int, block_shingles: int, block_sets:
     return rows.join(met, "block").select("i", "j", "node", "component", "block")
 
 
+def _same_id_links(linked: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``a, b`` of each id that has texts of several classes to those classes' nodes."""
+    texts = linked.groupBy("doc_id", "set_key").agg(F.count("*").alias("rows"))
+    several = texts.groupBy("doc_id").agg(F.count("*").alias("n_left")).where("n_left > 1")
+    several = stage_table(several.select("doc_id", "n_left", F.lit(True).alias("several")), "near-repeated-ids")
+    total = several.agg(F.coalesce(F.sum("n_left"), F.lit(0))).first()[0]
+    if not total:
+        return linked.sparkSession.createDataFrame([], "a long, b long")
+    texts = stage_table(hot_join(texts.drop("rows"), several, "doc_id", total).where("several").select("doc_id", "set_key"), "near-repeated-texts")
+    nodes = texts.groupBy("set_key").agg(F.count("*").alias("n_left")).join(classes.select("set_key", "node"), "set_key")
+    return hot_join(texts, nodes, "set_key", total).select(F.col("doc_id").alias("a"), F.col("node").alias("b")).where("a <> b")
+
+
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, cap: int = 64, block_shingles: int = 1 << 20, block_sets: int = 128) -> DataFrame:
     """Components of documents linked where their sets of ``k``-word shingles are at least ``percent`` % similar (Jaccard).
 
@@ -312,9 +325,10 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, cap: int = 64, b
 
     A text without words (null, empty, blank) has no shingles and is a component of
     its own; a row without ``doc_id`` too, with null component. Repeated ids count
-    as one document that has the links of all its rows. Ties and repeated texts
+    as one document that has the links of all its rows, and link their classes. Ties and repeated texts
     have the smallest id as component. An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     sketch = stage_table(chosen.mapInArrow(_sketch(k), "doc_id long, n long, set_key string, sig array<long>"), "near-sketch")
     linked = sketch.where("n > 0 AND doc_id IS NOT NULL")
@@ -337,7 +351,8 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, cap: int = 64, b
     small = clusters.where("NOT large").select(F.col("label").alias("i"), F.col("label").alias("j"), "node", F.col("node").alias("component"), F.col("label").alias("block"))
     rows = small.unionByName(_block_pairs(large, total, block_shingles, block_sets)).join(sets, "node")
     links = rows.repartition(shuffle_width(docs.sparkSession), "i", "j").sortWithinPartitions("i", "j", "node").mapInArrow(_confirm(percent), "a long, b long")
-    found = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links), "near-links")
+    links = known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links).unionByName(_same_id_links(linked, classes))
+    found = components(links, "near-links")
 
     named = classes.join(found, "node", "left").select("set_key", "n_left", F.coalesce("component", "node").alias("component_id"))
     same_id = hot_join(linked.select("doc_id", "n", "set_key"), named, "set_key", linked.count())

@@ -61,11 +61,15 @@ def place(df: DataFrame, shards: int | list[str] = 64, size: int = 65537, key: t
     return df.withColumn(slot, F.pmod(hash_, F.lit(size)).cast("int")).join(F.broadcast(table), slot).select(*[df[c] for c in df.columns], slot, shard)
 
 
-def write_shards(df: DataFrame, path: str, shards: int = 64, files: int = 4, **options) -> None:
-    """Write ``df`` as Parquet below ``path``, one folder per shard, ``files`` tasks to a shard."""
-    placed = place(df, shards, **options)
-    spread = F.pmod(F.xxhash64(*[placed[c] for c in df.columns]), F.lit(files))
-    placed.repartition(shards * files, "shard", spread).write.partitionBy("shard").parquet(path)
+def write_shards(df: DataFrame, path: str, shards: int = 64, **options) -> None:
+    """Write ``df`` as Parquet below ``path``, one folder per shard.
+
+    The rows are brought together by shard and rebalanced by their bytes: adaptive
+    execution splits a large shard over as many tasks as
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` calls for and joins small ones,
+    so that neither files nor tasks grow with the data.
+    """
+    place(df, shards, **options).hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
 
 
 def sharded(df: DataFrame, path: str, shards: int = 64) -> DataFrame:
