@@ -88,8 +88,10 @@ def test_relation_by_location_in_rounds(spark):
 def test_large_areas_cover_few_cells(spark):
     box = lambda a, b: f"POLYGON (({a} {a}, {b} {a}, {b} {b}, {a} {b}, {a} {a}))"
     dst = spark.createDataFrame([("s", box(0, 0.5)), ("m", box(-3, 90)), ("l", box(-1e6, 1e6)), ("bad", "POLYGON ((0 0, 1 1))")], "_id string, g string")
-    grid = spatial.gridded(dst, F.col("g"), 1.0)
-    cells = {r["_id"]: r["count"] for r in grid.groupBy("_id").count().collect()}
+    areas = spatial.area_edges(dst, F.col("g"))
+    grid = spatial.gridded(areas, 1.0)
+    assert grid.columns == ["_area", "_level", "_cx", "_cy"]  # edges stay with their area
+    cells = {r["_id"]: r["count"] for r in grid.join(areas, "_area").groupBy("_id").count().collect()}
     assert set(cells) == {"s", "m", "l"} and max(cells.values()) <= 36
     src = spark.createDataFrame([("p", "POINT (0.25 0.25)"), ("q", "POINT (80 80)"), ("r", "POINT (-999999 5)"), ("z", "POINT (3e6 0)")], "_id string, g string")
     found = {tuple(r) for r in spatial.lies_in(src, dst, "g", "g", 1.0).collect()}

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.ranges import number_in_order
-from tidelog.functions.spatial import union_coverage, union_points
+from tidelog.functions.overlay import union_areas
+from tidelog.functions.spatial import union_points
 from tidelog.functions.temporal import latest_state
 from tidelog.specs import AutoIdSpec
 
@@ -84,16 +85,27 @@ def _autoid(df: DataFrame, column: str, on: str, template: str, stored: DataFram
     return autoid(df, stored, AutoIdSpec(column, on, template))[0]
 
 
+def _referenced(df: DataFrame, column: str, on: str, other: DataFrame, key: str, geo: str) -> DataFrame:
+    """``_id, _geo``: the geometries that rows without one refer to."""
+    latest = latest_state(other, [key]) if "seqnr" in other.columns else other
+    pairs = df.where(F.col(column).isNull()).select("_id", F.explode(F.col(on)).alias("_ref")).distinct()
+    return pairs.join(latest.select(F.col(key).alias("_ref"), F.col(geo).alias("_geo")), "_ref").select("_id", "_geo")
+
+
+def geounion_problems(df: DataFrame, column: str, on: str, other: DataFrame, key: str, geo: str) -> DataFrame:
+    """``_id, problem, n``: areas that ``geounion`` leaves out, and rows whose union it can't make."""
+    return union_areas(_referenced(df, column, on, other, key, geo), "_id", "_geo").problems
+
+
 @enricher("geounion")
 def geounion(df: DataFrame, column: str, on: str, other: DataFrame, key: str, geo: str, kind: str = "points") -> DataFrame:
     """Set a missing geometry to the union of the referenced rows' geometries.
 
     ``on`` is an array of references (a path such as ``refs.value``), ``other`` has
     ``key``, ``geo`` and, with states, ``seqnr``: the latest state counts, deleted
-    rows too. ``kind``: points, or coverage for adjacent polygons.
+    rows too. ``kind``: points, or coverage for areas, which may overlap, touch or lie
+    apart; what couldn't be united is in ``geounion_problems``.
     """
-    latest = latest_state(other, [key]) if "seqnr" in other.columns else other
-    pairs = df.where(F.col(column).isNull()).select("_id", F.explode(F.col(on)).alias("_ref")).distinct()
-    found = pairs.join(latest.select(F.col(key).alias("_ref"), F.col(geo).alias("_geo")), "_ref").select("_id", "_geo")
-    united = (union_points if kind == "points" else union_coverage)(found, "_id", "_geo").select(F.col("_id").alias("_gid"), "wkt")
+    found = _referenced(df, column, on, other, key, geo)
+    united = (union_points(found, "_id", "_geo") if kind == "points" else union_areas(found, "_id", "_geo").areas).select(F.col("_id").alias("_gid"), "wkt")
     return df.join(united, df["_id"] == united["_gid"], "left").withColumn(column, F.coalesce(column, "wkt")).select(*df.columns)

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidelog.functions.spatial import contains, gridded, levels_of, located
+from tidelog.functions.skew import spread_join
+from tidelog.functions.spatial import inside
 from tidelog.functions.temporal import validity_match
 from tidelog.sources.eventlog import assign_ids
 from tidelog.sources.shared import written
@@ -60,11 +61,12 @@ def references(src: DataFrame, many: bool) -> DataFrame:
     return src.withColumn("ref", F.explode("ref")).where("ref.value IS NOT NULL") if many else src
 
 
-def match(src: DataFrame, dst: DataFrame, specs: list[RelationSpec], many: bool = False, src_states: bool = False, dst_states: bool = False, as_of: Column | None = None, keep_unmatched: bool = False) -> DataFrame:
+def match(src: DataFrame, dst: DataFrame, specs: list[RelationSpec], many: bool = False, src_states: bool = False, dst_states: bool = False, as_of: Column | None = None, keep_unmatched: bool = False, spread: bool = False) -> DataFrame:
     """Each reference with the live destinations it fits, the latest fitting state of each.
 
     One equality join per application, then a union, so that no condition with OR
-    turns into a nested loop; what periods demand is a residual of the equality. A
+    turns into a nested loop; what periods demand is a residual of the equality. With
+    ``spread`` values that very many references share are split over all tasks. A
     relation by location joins on grid cells. Sources whose geometry isn't valid fit nothing.
     The destination's row of the latest state comes with the grouping, so nothing
     is joined again. ``row_number`` counts a reference's distinct destinations in
@@ -77,16 +79,18 @@ def match(src: DataFrame, dst: DataFrame, specs: list[RelationSpec], many: bool
     for spec in specs:
         s, d = rows.where(F.col("_application") == spec.application), live
         wanted = F.col(spec.source_attribute) if spec.source_attribute else F.col("ref.value")
+        s = s.withColumn("_wanted", wanted)
+        valid, how = validity_match("src", "dst", src_states, dst_states, as_of), "left" if keep_unmatched else "inner"
         if spec.method == "lies_in":
-            d = gridded(live, F.col(spec.destination_attribute), spec.cell)
-            s = located(s, wanted, spec.cell, levels_of(d))
-            cells = [F.col(f"src.{c}") == F.col(f"dst.{c}") for c in ("_level", "_cx", "_cy")]
-            fits = reduce(Column.__and__, cells) & contains(F.col("dst._edges"), F.col("src._p.x"), F.col("src._p.y"))
+            pairs = inside(s, live, F.col("_wanted"), F.col(spec.destination_attribute), spec.cell).select(F.col("_s").alias("src"), F.col("_d").alias("dst")).where(valid)
+            if keep_unmatched:
+                missed = s.select(F.struct("*").alias("src")).join(pairs.select(F.col("src").alias("_src")).distinct(), F.col("src").eqNullSafe(F.col("_src")), "left_anti")
+                pairs = pairs.unionByName(missed, allowMissingColumns=True)
+            joined = pairs
+        elif spread:
+            joined = spread_join(s, d, [("_wanted", spec.destination_attribute)], how, valid)
         else:
-            s = s.withColumn("_wanted", wanted)
-            fits = F.col(f"dst.{spec.destination_attribute}") == F.col("src._wanted")
-        fits &= validity_match("src", "dst", src_states, dst_states, as_of)
-        joined = s.alias("src").join(d.alias("dst"), fits, "left" if keep_unmatched else "inner")
+            joined = s.alias("src").join(d.alias("dst"), (F.col(f"dst.{spec.destination_attribute}") == F.col("src._wanted")) & valid, how)
         parts.append(joined.select(
             F.col("src._application").alias("_application"), F.col("src._id").alias("src_id"), F.col("src.seqnr").alias("src_seqnr"), F.col("src._source").alias("src_source"), F.col("src.ref.value").alias("value"),
             F.col("src.ref.begin").alias("_begin"), F.struct("src.valid_from", "src.valid_to", "src._expiration_date", "src._last_event", "src._date_deleted").alias("_src"),
@@ -96,8 +100,6 @@ def match(src: DataFrame, dst: DataFrame, specs: list[RelationSpec], many: bool
     key = ["_application", "src_id", "src_seqnr", "src_source", "value", "dst_id"]
     latest = found.groupBy(*key).agg(F.max("dst_seqnr").alias("dst_seqnr"), F.max_by("_dst", F.coalesce("dst_seqnr", F.lit(0))).alias("_dst"), F.max("_begin").alias("_begin"), F.max_by("_src", F.col("_src._last_event")).alias("_src"))
     reference = W.partitionBy("_application", "src_id", "src_seqnr", "src_source", "value")
-    if keep_unmatched and any(spec.method == "lies_in" for spec in specs):  # a source is looked for on each level of the grid
-        latest = latest.withColumn("_fits", F.count("dst_id").over(reference)).where("dst_id IS NOT NULL OR _fits = 0").drop("_fits")
     order = reference.orderBy(F.col("dst_id").asc_nulls_last())
     return latest.withColumn("row_number", F.row_number().over(order))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.spatial import lies_in
 from tidelog.operators import evolve
-from tidelog.operators.enrich import autoid, enrich
+from tidelog.operators.enrich import autoid, enrich, geounion_problems
 from tidelog.plans.upload import _D, _IDS, account_log, current_orders, order_log, table
 from tidelog.specs import AutoIdSpec, ColumnChange
 
@@ -63,6 +63,29 @@ def q_geounion_coverage(spark, d):
     return enrich(rows, [spec]).select("_id", "geometry")
 
 
+def _staircase(spark, d):
+    """Squares of side 2 on a diagonal, one per customer, of which neighbours overlap; and the rows that refer to five of them each."""
+    c, key = table(spark, d, "customer"), F.col("c_custkey")
+    text = lambda v: v.cast("long").cast("string")
+    x, y = F.floor(key / 5) * 10 + key % 5, key % 5
+    corners = [(x, y), (x + 2, y), (x + 2, y + 2), (x, y + 2), (x, y)]
+    square = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *[F.concat(text(a), F.lit(" "), text(b)) for a, b in corners]), F.lit("))"))
+    squares = c.select(key.alias("key"), F.when(key % 7 == 0, "POLYGON ((0 0, 2 2, 2 0, 0 2, 0 0))").otherwise(square).alias("geo"))
+    rows = c.groupBy(F.floor(key / 5).cast("string").alias("_id")).agg(F.collect_list("c_custkey").alias("refs")).withColumn("geometry", F.lit(None).cast("string"))
+    return rows, {"column": "geometry", "on": "refs", "other": squares, "key": "key", "geo": "geo"}
+
+
+def q_geounion_overlap(spark, d):
+    """Overlapping squares become one staircase; where a square isn't valid the staircase falls apart into several."""
+    rows, spec = _staircase(spark, d)
+    return enrich(rows, [{"name": "geounion", "kind": "coverage", **spec}]).select("_id", "geometry")
+
+
+def q_geounion_problems(spark, d):
+    rows, spec = _staircase(spark, d)
+    return geounion_problems(rows, **spec)
+
+
 def q_lies_in(spark, d):
     c, n = table(spark, d, "customer"), F.col("n_nationkey")
     point = F.concat(F.lit("POINT ("), ((F.col("c_custkey") * 7 % 1000) / 10).cast("string"), F.lit(" "), (F.col("c_acctbal") / 100).cast("string"), F.lit(")"))
@@ -147,6 +170,22 @@ ORACLE_SQL = {
     "enrich_dry_run": f"{_CODES} SELECT s_suppkey::VARCHAR AS _id, 'code' AS \"column\", given AS value, code AS proposed FROM r WHERE given IS NULL",
     "geounion_points": "WITH p AS (SELECT DISTINCT c_nationkey, floor(c_acctbal) AS x, c_custkey % 3 AS y FROM customer) SELECT c_nationkey::VARCHAR AS _id, 'MULTIPOINT (' || string_agg('(' || x::DECIMAL(18,3)::VARCHAR || ' ' || y::DECIMAL(18,3)::VARCHAR || ')', ', ' ORDER BY x, y) || ')' AS geometry FROM p GROUP BY c_nationkey",
     "geounion_coverage": "WITH g AS (SELECT c_custkey // 5 AS y, min(c_custkey % 5) AS a, max(c_custkey % 5) + 1 AS b FROM customer GROUP BY 1), p AS (SELECT y, 0 AS part, x AS x, y + 1 AS py, x AS o FROM g, range(0, 7) r(x) WHERE x BETWEEN a AND b UNION ALL SELECT y, 1, x, y, -x FROM g, range(0, 7) r(x) WHERE x BETWEEN a AND b) SELECT p.y::BIGINT::VARCHAR AS _id, 'POLYGON ((' || any_value(g.a)::DECIMAL(18,3)::VARCHAR || ' ' || p.y::DECIMAL(18,3)::VARCHAR || ', ' || string_agg(x::DECIMAL(18,3)::VARCHAR || ' ' || py::DECIMAL(18,3)::VARCHAR, ', ' ORDER BY part, o) || '))' AS geometry FROM p JOIN g ON g.y = p.y GROUP BY p.y",
+    "geounion_overlap": """
+      WITH c AS (SELECT c_custkey // 5 AS g, c_custkey % 5 AS i FROM customer WHERE c_custkey % 7 <> 0),
+      s AS (SELECT g, i, i - row_number() OVER (PARTITION BY g ORDER BY i) AS run FROM c),
+      r AS (SELECT g, min(i) AS a, max(i) AS b FROM s GROUP BY g, run),
+      p AS (
+        SELECT g, a, a AS x, a AS y, 0 AS part, 0 AS o FROM r
+        UNION ALL SELECT g, a, i, i + 2, 1, 2 * i FROM r, range(0, 5) t(i) WHERE i BETWEEN a AND b
+        UNION ALL SELECT g, a, i + 1, i + 2, 1, 2 * i + 1 FROM r, range(0, 5) t(i) WHERE i BETWEEN a AND b - 1
+        UNION ALL SELECT g, a, b + 2, b + 2, 2, 0 FROM r
+        UNION ALL SELECT g, a, i + 2, i, 3, -2 * i FROM r, range(0, 5) t(i) WHERE i BETWEEN a AND b
+        UNION ALL SELECT g, a, i + 1, i, 3, 1 - 2 * i FROM r, range(0, 5) t(i) WHERE i BETWEEN a + 1 AND b
+        UNION ALL SELECT g, a, a, a, 4, 0 FROM r),
+      ring AS (SELECT g, a, '((' || string_agg((10 * g + x)::DECIMAL(18,3)::VARCHAR || ' ' || y::DECIMAL(18,3)::VARCHAR, ', ' ORDER BY part, o) || '))' AS t FROM p GROUP BY g, a),
+      u AS (SELECT g, CASE WHEN count(*) = 1 THEN 'POLYGON ' || min(t) ELSE 'MULTIPOLYGON (' || string_agg(t, ', ' ORDER BY a) || ')' END AS geometry FROM ring GROUP BY g)
+      SELECT k.g::BIGINT::VARCHAR AS _id, geometry FROM (SELECT DISTINCT c_custkey // 5 AS g FROM customer) k LEFT JOIN u USING (g)""",
+    "geounion_problems": "SELECT (c_custkey // 5)::BIGINT::VARCHAR AS _id, 'not a valid area' AS problem, count(DISTINCT 1) AS n FROM customer WHERE c_custkey % 7 = 0 GROUP BY 1",
     "lies_in": "WITH c AS (SELECT c_custkey::VARCHAR AS src_id, (c_custkey * 7 % 1000) / 10.0::DOUBLE AS x, c_acctbal / 100 AS y FROM customer) SELECT src_id, n_nationkey::VARCHAR AS dst_id FROM c JOIN nation ON CASE WHEN n_nationkey % 2 = 1 THEN x > 4 * n_nationkey + 0.5 AND x < 4 * n_nationkey + 3.5 AND y > 0 AND y < 50 ELSE y > -20 AND 2 * (y + 20) < 120 * (x - 4 * n_nationkey) AND 2 * (y + 20) < 120 * (4 * n_nationkey + 4 - x) END",
     "split_json": "SELECT event_id, (props->>'$.k')::INTEGER AS props_k FROM events",
     "merge_json": "SELECT event_id, '{\"user\":' || user_id || ',\"type\":\"' || event_type || '\"}' AS merged FROM events",

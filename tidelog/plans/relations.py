@@ -194,6 +194,30 @@ def q_relate_spatial(spark, d):
     return rows.select("id", "derivation", "src_id", "dst_id")
 
 
+def q_relate_spatial_multi(spark, d):
+    """Lines, groups of points and single points in areas of two parts."""
+    x, y, key = (F.col("c_custkey") * 7 % 1000) / 10, F.col("c_acctbal") / 100, F.col("c_custkey")
+    pair = lambda a: F.concat(a.cast("string"), F.lit(" "), y.cast("string"))
+    place = F.when(key % 3 == 1, F.concat(F.lit("LINESTRING ("), pair(x - 1), F.lit(", "), pair(x), F.lit(", "), pair(x + 1), F.lit(")")))
+    place = place.when(key % 3 == 2, F.concat(F.lit("MULTIPOINT (("), pair(x), F.lit("), ("), pair(x + 1), F.lit("), ("), pair(x - 1), F.lit("))"))).otherwise(F.concat(F.lit("POINT ("), pair(x), F.lit(")")))
+    src = places(spark, d).drop("place").join(table(spark, d, "customer").select(key.cast("string").alias("_id"), place.alias("place")), "_id")
+    n, number = F.col("n_nationkey"), lambda v: v.cast("double").cast("string")
+    low, high = number(n * 4 + F.lit(0.25)), number(n * 4 + 1 + n % 3)
+    box = lambda b, e: F.concat(F.lit("(("), F.concat_ws(", ", *[F.concat(p, F.lit(f" {q}")) for p, q in ((low, b), (high, b), (high, e), (low, e), (low, b))]), F.lit("))"))
+    parts = table(spark, d, "nation").select(n.cast("string").alias("_id"), F.lit("geo").alias("_source"), (n + 1).cast("long").alias("_last_event"), none().alias("_date_deleted"), F.concat(F.lit("MULTIPOLYGON ("), box(-5, 20), F.lit(", "), box(30, 50), F.lit(")")).alias("area"))
+    return relation_rows(match(src, parts, INSIDE), INSIDE).select("id", "derivation", "src_id", "dst_id")
+
+
+def q_match_hot(spark, d):
+    """Half of all lines refer to one part; such a value's rows are split over all tasks. Lines of one number count once."""
+    value = F.when(F.col("l_linenumber") % 2 == 1, F.lit("1")).otherwise(F.col("l_partkey").cast("string"))
+    lines = table(spark, d, "lineitem").select(F.concat_ws(".", "l_orderkey", "l_linenumber").alias("_id"), F.lit("shop").alias("_source"), F.lit("P").alias("_application"), F.col("l_orderkey").alias("_last_event"), none().alias("_date_deleted"), _ref(value).alias("ref"))
+    p = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("_id"), F.lit("erp").alias("_source"), F.col("p_partkey").alias("_last_event"), none().alias("_date_deleted"), F.col("p_partkey").cast("string").alias("code"))
+    spec = [RelationSpec("P", "code")]
+    rows = relation_rows(match(lines, p, spec, spread=True), spec)
+    return rows.groupBy("dst_id").agg(F.count("*").alias("n"), F.min("src_id").alias("least"), F.max("src_id").alias("greatest"))
+
+
 def q_relate_full(spark, d):
     return _related(spark, d, "full").select("id", "dst_id", "rel_id", "rel_dst_id")
 
@@ -354,6 +378,8 @@ ORACLE_SQL = {
     "relate_update": f"{_S} SELECT rid AS id, id AS src_id, dst_id, CASE app WHEN 'A' THEN 'name' ELSE 'code' END AS derivation, key AS _last_src_event FROM k WHERE NOT deleted",
     "relate_precondition": "SELECT 'P' AS _application",
     "relate_spatial": "WITH c AS (SELECT c_custkey, (c_custkey * 7 % 1000) / 10.0::DOUBLE AS x, c_acctbal / 100 AS y FROM customer WHERE c_custkey % 50 <> 0) SELECT c_custkey::VARCHAR || '.crm.here' AS id, 'area' AS derivation, c_custkey::VARCHAR AS src_id, n_nationkey::VARCHAR AS dst_id FROM c JOIN nation ON CASE WHEN n_nationkey = 24 THEN y > 50 ELSE x > 4 * n_nationkey + 0.25 AND x < 4 * n_nationkey + 1 + n_nationkey % 3 AND y > -5 AND y < 50 END",
+    "relate_spatial_multi": "WITH c AS (SELECT c_custkey, (c_custkey * 7 % 1000) / 10.0::DOUBLE AS x, c_acctbal / 100 AS y FROM customer) SELECT c_custkey::VARCHAR || '.crm.here' AS id, 'area' AS derivation, c_custkey::VARCHAR AS src_id, n_nationkey::VARCHAR AS dst_id FROM c JOIN nation ON x > 4 * n_nationkey + 0.25 AND x < 4 * n_nationkey + 1 + n_nationkey % 3 AND (y > -5 AND y < 20 OR y > 30 AND y < 50)",
+    "match_hot": "WITH r AS (SELECT l_orderkey || '.' || l_linenumber AS src, CASE WHEN l_linenumber % 2 = 1 THEN 1 ELSE l_partkey END AS part FROM lineitem) SELECT part::VARCHAR AS dst_id, count(DISTINCT src) AS n, min(src) AS least, max(src) AS greatest FROM r JOIN part ON p_partkey = part GROUP BY part",
     "relation_events": f"{_EVENTS} SELECT event, tid, CASE WHEN event <> 'ADD' THEN rlast END AS last_event, CASE WHEN event = 'MODIFY' THEN 1 END::INTEGER AS n_changed FROM ev WHERE event IS NOT NULL",
     "obsolete_relations": f"{_S} SELECT rid AS id, dst_id FROM rel WHERE NOT gone AND rid NOT IN (SELECT rid FROM k WHERE key % 5 <> 0)",
     "relate_all": f"{_EVENTS} SELECT 'crm_customer_nation' AS relation, event, count(*) AS n FROM ev WHERE event IS NOT NULL GROUP BY event",
