@@ -1,6 +1,8 @@
 """Facts and properties of relations, periods, geometry, enrichment and evolution."""
 
 import datetime as dt
+import subprocess
+import sys
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidelog.functions import spatial
-from tidelog.functions.ranges import _cuts, number_in_order, running_sum
+from tidelog.functions.ranges import in_ranges, number_in_order, running_sum
 from tidelog.functions.temporal import validity_match
 from tidelog.operators import evolve
 from tidelog.operators.enrich import autoid
@@ -100,13 +102,27 @@ def test_large_areas_cover_few_cells(spark):
 
 def test_keys_that_begin_alike_are_spread(spark):
     keys = spark.range(5000).select(F.concat(F.lit("urn:object:catalogue:"), F.lpad((F.col("id") * 7919 % 5000).cast("string"), 6, "0")).alias("k"))
-    cuts = _cuts(keys, "k", 64)
-    assert len(cuts) > 40 and all(c.startswith("urn:object:catalogue:") for c in cuts)
+    sizes = [r["count"] for r in in_ranges(keys, "k", 64).groupBy("_part").count().collect()]
+    assert len(sizes) > 40 and max(sizes) < 3 * 5000 / 64
     rank = {r["k"]: r["_rn"] for r in number_in_order(keys, "k").collect()}
     assert [rank[k] for k in sorted(rank)] == list(range(1, 5001))
     assert running_sum(keys.where("false"), "k", F.lit(1), "n").count() == 0
 
 
+def test_numbering_is_the_first_thing_in_a_session(tmp_path):
+    """A string key as the first frame of a fresh session; many ranges cost no more than few."""
+    code = """
+import time
+from pyspark.sql import SparkSession, functions as F
+from tidelog.functions.ranges import number_in_order
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate()
+keys = spark.createDataFrame([(c,) for c in "dbca"], "k string")
+assert sorted(map(tuple, number_in_order(keys, "k").collect())) == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 def test_views_are_found():
     names = {"a_b": ("shop", "orders", "customer"), "a_c": ("shop", "orders", "part"), "d": ("web", "pages", "host")}
     assert find_views(names, relation="d") == ["mv_d"] and find_views(names, "shop:orders", "part") == ["mv_a_c"] and len(find_views(names, "shop:orders")) == 2

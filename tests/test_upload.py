@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog.functions.keys import populate
-from tidelog.operators.apply import apply_all, apply_confirms, confirmed_tids, empty_state, first_state, fold
+from tidelog.operators.apply import applied_range, apply_all, apply_confirms, confirmed_tids, empty_state, first_state, fold, judged, marks
 from tidelog.operators.diff import diff, initial_load, pack_confirms, split_confirms, to_events
 from tidelog.plans.upload import ACCOUNTS
 from tidelog.sources import eventlog
 from tidelog.specs import CollectionSpec
-from tidelog.streaming.apply_stream import apply_batch, latest, write_part
+from tidelog.streaming.apply_stream import apply_batch, latest, touched_state, write_part
 
 COLL = CollectionSpec("c", "things", "0.1", "id", {"id": "string", "a": "int", "b": "string"})
 
@@ -103,6 +103,26 @@ def account_events(spark, actions):
     return spark.createDataFrame([(i + 1, a, t, body[a]) for i, (a, t) in enumerate(actions)], "eventid long, action string, tid string, contents string").withColumns({"timestamp": F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, CAST(eventid AS INT))"), "version": F.lit("0.1"), "application": F.lit("site"), "source": F.lit("site")})
 
 
+def test_bulk_confirms_leave_the_gate_open(spark, tmp_path):
+    """A bulk confirm at the log's head marks no row: the mark beside the state says that it is applied."""
+    events = account_events(spark, [("ADD", "1"), ("CONFIRM", "1")]).withColumns({"catalogue": F.lit("web"), "entity": F.lit("accounts")})
+    bulk = events.where("eventid = 1").withColumns({"eventid": F.lit(3).cast("long"), "action": F.lit("BULKCONFIRM"), "tid": F.lit(None).cast("string"), "contents": F.lit('{"confirms":[{"tid":"1","last_event":2},{"tid":"9","last_event":1}]}')})
+    log = events.unionByName(bulk)
+    results, summary = apply_all(log, {"accounts": (ACCOUNTS, empty_state(ACCOUNTS, spark))})
+    assert summary.first().asDict() == {"before": 0, "after": 3, "add": 1, "modify": 0, "delete": 0, "confirm": 3}
+    state = results["accounts"].state
+    assert eventlog.model_status(state, log).first()["status"] == "out of date"
+    eventlog.write_marks(marks(spark, results), f"{tmp_path}/marks")
+    mark = {r["collection"]: r["applied"] for r in eventlog.read_marks(spark, f"{tmp_path}/marks").collect()}
+    assert mark == {"accounts": 3} and eventlog.model_status(state, log, 3).first()["status"] == "up to date"
+    again, summary = apply_all(log, {"accounts": (ACCOUNTS, state)}, mark)
+    assert again == {"accounts": None} and summary.first()["confirm"] == 0
+    with pytest.raises(ValueError, match="ahead"):
+        apply_all(log, {"accounts": (ACCOUNTS, state)}, {"accounts": 4})
+    plain = spark.createDataFrame([(0, 1, "CONFIRM"), (0, 2, "ADD")], "before long, eventid long, action string")
+    assert applied_range(plain).first()["confirm"] == 1
+
+
 def test_fold_sequences(spark):
     actions = [("ADD", "1"), ("DELETE", "1"), ("ADD", "1"), ("MODIFY", "1"), ("MODIFY", "2"), ("ADD", "3"), ("ADD", "3"), ("DELETE", "3"), ("MODIFY", "3")]
     out = fold(empty_state(ACCOUNTS, spark), account_events(spark, actions), ACCOUNTS)
@@ -149,6 +169,45 @@ def test_storing_under_the_gate(spark, tmp_path):
     assert [(r["stored"], r["skipped"]) for r in again] == [(0, 2)] and eventlog.read_log(spark, path).count() == 2
 
 
+def plain_fold(actions):
+    """Standing, violations and orphans one event after another."""
+    standing, k, last, bad, lost = {}, {}, {}, [], []
+    for i, (action, tid) in enumerate(actions, 1):
+        now = standing.get(tid)
+        if now is None and action != "ADD":
+            lost.append(i)
+        elif (now == "live") if action == "ADD" else (now == "deleted"):
+            bad.append(i)
+        else:
+            standing[tid] = {"ADD": "live", "DELETE": "deleted"}.get(action, now)
+            k[tid] = {"ADD": "x", "MODIFY": None}.get(action, k.get(tid))
+            last[tid] = i
+    return {t: (standing[t], k[t], last[t]) for t in standing}, bad, lost
+
+
+@pytest.mark.parametrize("pieces", [1, 3, 16])
+def test_a_busy_object_is_folded_in_stretches(spark, pieces):
+    rng = random.Random(8)
+    actions = [(rng.choice(["MODIFY", "ADD", "DELETE", "CONFIRM"]), "hot" if rng.random() < 0.9 else str(rng.randrange(9))) for _ in range(600)]
+    actions = [("MODIFY", "hot"), ("DELETE", "hot")] * 40 + actions  # orphans over several stretches
+    events = account_events(spark, actions)
+    out = fold(empty_state(ACCOUNTS, spark), events, ACCOUNTS, pieces)
+    want, bad, lost = plain_fold(actions)
+    assert {r["_tid"]: ("deleted" if r["_date_deleted"] else "live", r["k"], r["_last_event"]) for r in out.state.collect()} == want
+    assert sorted(r["eventid"] for r in out.violations.collect()) == bad and sorted(r["eventid"] for r in out.orphans.collect()) == lost
+
+
+def test_a_busy_object_spreads(spark):
+    """Nine tenths of the log are one object's: no task of its windows gets more than twice the mean."""
+    log = spark.range(1, 40_001).select(F.col("id").alias("eventid"), F.when(F.col("id") == 1, "ADD").otherwise("CONFIRM").alias("action"), F.when(F.col("id") % 10 != 0, "hot").otherwise((F.col("id") % 977).cast("string")).alias("tid"), F.lit("{}").alias("contents"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = judged(empty_state(ACCOUNTS, spark), log, pieces=64).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 2 * 40_000 / len(parts)
+
+
 def test_fold_does_not_depend_on_batches(spark):
     rng = random.Random(3)
     actions = [(rng.choice(["ADD", "MODIFY", "DELETE", "CONFIRM"]), str(rng.randrange(6))) for _ in range(120)]
@@ -209,7 +268,30 @@ def test_stream_parts_equal_one_fold(spark, tmp_path):
     found, version = latest(spark, path, COLL)
     rows = lambda df: sorted(str([r[c] for c in sorted(df.columns)]) for r in df.collect())
     assert version == 4 and rows(found) == rows(state)
-    assert sorted(p.name for p in (tmp_path / "stream").iterdir()) == ["base=1", "base=3", "delta=0", "delta=1", "delta=2", "delta=3", "delta=4", "delta=9", "versions"]
+    # What came before the newest base but one is gone; a part not named as complete is passed over.
+    assert sorted(p.name for p in (tmp_path / "stream").iterdir()) == ["base=1", "base=3", "delta=2", "delta=3", "delta=4", "delta=9", "versions"]
+
+
+def test_a_batch_opens_the_buckets_it_touches(spark, tmp_path):
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("a"), F.lit("x").alias("b"))
+    log = log_of(spark, to_events(initial_load(populate(rows, COLL, "app", "src")).withColumn("current", F.col("new")), COLL), 0)
+    path = f"{tmp_path}/s"
+    write_part(first_state(log, COLL), path, "base", -1, buckets=128)
+    named = [str(i) for i in range(0, 20_000, 2000)]
+    change = log.where(F.col("tid").isin(named)).withColumns({"eventid": F.col("eventid") + 100_000, "action": F.lit("CONFIRM")})
+    buckets = {r[0] for r in change.select(F.pmod(F.xxhash64("tid"), F.lit(128))).collect()}
+    folders = list((tmp_path / "s" / "base=-1").glob("_bucket=*"))
+    assert len(buckets) <= 10 and len(folders) == 128
+    for folder in folders:
+        if int(folder.name.partition("=")[2]) not in buckets:
+            for file in folder.glob("*.parquet"):
+                file.write_bytes(b"not to be opened")
+    for epoch in range(2):
+        assert touched_state(change, path, COLL).count() == 10
+        apply_batch(change.withColumn("eventid", F.col("eventid") + epoch), path, COLL, epoch)
+    assert latest(spark, path, COLL, sorted(buckets))[0].where("_last_event > 100000").count() == 10
+    with pytest.raises(Exception, match="."):
+        latest(spark, path, COLL)[0].collect()
 
 
 def test_stream_stamps_bulk_confirms(spark, tmp_path):

@@ -6,35 +6,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidelog.sources.shared import written
 
-#: Rows for which one range or bucket is meant.
+#: Rows for which one bucket is meant.
 ROWS_PER_PART = 250_000
 
 
-def parts_for(df: DataFrame, least: int) -> int:
-    """How many ranges or buckets the rows of ``df`` are dealt into: ``least``, and more where those would be too large."""
-    return max(least, -(-df.count() // ROWS_PER_PART))
+def parts_for(table: DataFrame, least: int) -> int:
+    """How many buckets the rows of a written table are dealt into: ``least``, and more where those would be too large. The count comes from the files' footers."""
+    return max(least, -(-table.count() // ROWS_PER_PART))
 
 
-def _cuts(df: DataFrame, by: str, parts: int) -> list:
-    """Values that cut the order into about ``parts`` ranges, from a sample; they balance the work and don't change results."""
-    if dict(df.dtypes)[by] != "string":
-        return sorted(set(df.approxQuantile(by, [i / parts for i in range(1, parts)], 0.2 / parts)))
-    # Whole keys, as they may begin alike; 16 of them for each range.
-    sample = df.select(F.col(by).alias("s")).where("s IS NOT NULL").orderBy(F.xxhash64("s")).limit(16 * parts).collect()
-    keys = sorted(r["s"] for r in sample)
-    return sorted(set(keys[16::16]))
+def in_ranges(df: DataFrame, by: str, parts: int | None = None) -> DataFrame:
+    """``df`` written to the shared folder in ranges of ``by``, with the number of the range as ``_part``: values of a lower range come first, nulls before all.
+
+    The width is the session's number of shuffle partitions, or ``parts``. A row finds
+    its range by a search in Spark's own bounds, so many ranges cost no more than few.
+    """
+    dealt = df.repartitionByRange(F.col(by)) if parts is None else df.repartitionByRange(parts, F.col(by))
+    return written(dealt.withColumn("_part", F.spark_partition_id()), "ranges")
 
 
 def running_sum(df: DataFrame, by: str, value: Column, name: str, parts: int | None = None) -> DataFrame:
     """Add ``name``: the sum of ``value`` up to and including the row, in order of ``by`` (unique, numeric or string).
 
-    Sums within ranges of ``by`` run in parallel; the ranges' own sums are a row each.
-    There are 64 ranges, or more for very many rows.
+    Sums within ranges of ``by`` run in parallel, once ``df`` is written in ranges; the
+    ranges' own sums are a row each.
     """
-    cuts = _cuts(df, by, parts or parts_for(df, 64))
-    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(by))) if cuts else F.lit(0)
-    rows = df.withColumns({"_part": part, "_value": value})
+    rows = in_ranges(df.withColumn("_value", value), by, parts)
     sums = rows.groupBy("_part").agg(F.sum("_value").alias("_sum"))
     before = sums.select("_part", (F.sum("_sum").over(W.orderBy("_part")) - F.col("_sum")).alias("_before"))  # a row per range
     inside = F.sum("_value").over(W.partitionBy("_part").orderBy(by).rowsBetween(W.unboundedPreceding, 0))

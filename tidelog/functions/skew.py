@@ -11,20 +11,20 @@ def frequent(df: DataFrame, key: Column, pieces: int) -> list[int]:
     return df.select(F.xxhash64(key).alias("h")).stat.freqItems(["h"], 1 / (2 * pieces)).first()[0]
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], how: str = "inner", residual: Column | None = None, pieces: int | None = None) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], how: str = "inner", residual: Column | None = None, pieces: int | None = None, hot: list[int] | None = None) -> DataFrame:
     """``left`` joined with ``right`` where the pairs of columns in ``on`` are equal and ``residual`` holds, each aliased ``src`` and ``dst`` for it.
 
     Rows of ``left`` with a frequent value are dealt into ``pieces`` (the number of
     shuffle partitions) by a hash of the whole row, and the rows of ``right`` with that
     value repeated for each piece, so that no task gets more than a piece of one value.
     All other rows have one piece. ``how`` may be inner or left; what the values are is
-    looked up in one pass over ``left``.
+    looked up in one pass over ``left``, unless ``hot`` names their hashes (of ``frequent``).
     """
     if how not in ("inner", "left"):
         raise ValueError("rows of the left side are split: only inner and left joins keep their meaning")
     pieces = pieces or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = lambda i: F.struct(*[F.col(pair[i]) for pair in on])
-    hot = frequent(left, key(0), pieces) if pieces > 1 else []
+    hot = (frequent(left, key(0), pieces) if pieces > 1 else []) if hot is None else hot
     one = F.lit(0).cast("long")
     if not hot:
         s, d = left.withColumn("_piece", one), right.withColumn("_piece", one)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.keys import as_text, text_map
 from tidelog.functions.ranges import parts_for
+from tidelog.sources.shared import written
 from tidelog.specs import CollectionSpec
 
 MODES = ("full", "delete", "update")
@@ -87,9 +88,11 @@ def pack_confirms(confirms: DataFrame, most: int = 10_000, buckets: int | None =
     """CONFIRMs packed into BULKCONFIRMs of at most ``most`` members; a lone one stays a CONFIRM.
 
     Packs are made within hash buckets of the tid, in tid order, so packing is parallel and repeatable;
-    there are 64 buckets, or more for very many confirms. Returns ``event, tid, last_event, confirms``.
+    there are 64 buckets, or more for very many confirms, which are written first then. Returns ``event, tid, last_event, confirms``.
     """
-    buckets = buckets or parts_for(confirms, 64)
+    if buckets is None:
+        confirms = written(confirms, "confirms")
+        buckets = parts_for(confirms, 64)
     numbered = confirms.withColumn("_bucket", spread_key(F.col("tid"), buckets))
     numbered = numbered.withColumn("_pack", F.floor((F.row_number().over(W.partitionBy("_bucket").orderBy("tid", "last_event")) - 1) / most))
     packed = numbered.groupBy("_bucket", "_pack").agg(F.array_sort(F.collect_list(F.struct("tid", "last_event"))).alias("confirms"))

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.keys import as_text, normalize_timestamps, populate, staged
 from tidelog.functions.ranges import batch_boundaries
-from tidelog.operators.apply import META, applied_range, apply_all, apply_confirms, confirm_in_bulk, first_state, fold
+from tidelog.operators.apply import META, applied_range, apply_all, apply_confirms, confirm_in_bulk, empty_state, first_state, fold, marks
 from tidelog.operators.diff import compare_stats, diff, initial_load, pack_confirms, split_confirms, to_events
 from tidelog.sources import eventlog
-from tidelog.sources.shared import shared_path
+from tidelog.sources.shared import shared_path, written
 from tidelog.sources.state import column_values, current_tids, entities, last_column_value, last_events
 from tidelog.specs import CollectionSpec
 from tidelog.streaming.apply_stream import apply_stream, latest, write_part
@@ -183,6 +183,33 @@ def q_fold_orphans(spark, d):
     return account_fold(spark, d).orphans
 
 
+def q_fold_hot(spark, d):
+    """One object has nine tenths of all events."""
+    log = account_log(spark, d).withColumn("tid", F.when(F.col("eventid") % 10 != 0, "0").otherwise(F.col("tid")))
+    return shown(fold(account_state(spark, d), log, ACCOUNTS).state)
+
+
+def q_store_cycle(spark, d):
+    """Store a first load, apply it, store the bulk confirms of the same snapshot and apply those: the summary of the last run, and whether the gate is open again."""
+    base, keys = shared_path(spark, "cycle"), ("shop", "orders", "src_a", "shopfloor", "2024-05-01")
+    new, empty = new_orders(spark, d), spark.createDataFrame([], eventlog.SCHEMA)
+    load = to_events(initial_load(new).withColumn("current", F.col("new")), ORDERS)
+    eventlog.store(empty, load, empty_state(ORDERS, spark), f"{base}/log", *keys)
+    log = eventlog.read_log(spark, f"{base}/log")
+    results, _ = apply_all(log, {"orders": (ORDERS, empty_state(ORDERS, spark))})
+    state = written(results["orders"].state, "state")
+    eventlog.write_marks(marks(spark, results), f"{base}/marks")
+    packed = pack_confirms(split_confirms(to_events(diff(new, state, "src_a"), ORDERS))[1])
+    packed = packed.withColumns({"version": F.lit("0.2"), "hash": F.lit(None).cast("string"), "entity": F.lit(None).cast("map<string,string>"), "modifications": F.lit(None).cast("array<struct<key:string,old_value:string,new_value:string>>")})
+    mark = lambda: {r["collection"]: r["applied"] for r in eventlog.read_marks(spark, f"{base}/marks").collect()}
+    eventlog.store(log, packed, state, f"{base}/log", *keys, applied=mark()["orders"])
+    log = eventlog.read_log(spark, f"{base}/log")
+    results, summary = apply_all(log, {"orders": (ORDERS, state)}, mark())
+    eventlog.write_marks(marks(spark, results), f"{base}/marks")
+    status = eventlog.model_status(results["orders"].state, log, mark()["orders"])
+    return summary.select("*", F.lit(1).alias("k")).join(status.select("status", F.lit(1).alias("k")), "k").drop("k")
+
+
 def first_log(spark, d) -> DataFrame:
     events = to_events(initial_load(new_orders(spark, d)).withColumn("current", F.col("new")), ORDERS)
     return eventlog.log_rows(eventlog.assign_ids(events, 0), "shop", "orders", "src_a", "shopfloor", "2024-05-01")
@@ -344,6 +371,8 @@ ORACLE_SQL = {
     "update_stats": f"{_STATS} SELECT * FROM us2",
     "needs_analysis": f"{_STATS}, na AS (SELECT round(1 - coalesce(sum(share) FILTER (action = 'CONFIRM'), 0), 6) AS changed_share FROM us2) SELECT changed_share, changed_share > 0.3 AS analyze FROM na".replace("AS analyze", 'AS "analyze"'),
     "fold": _FOLD,
+    "fold_hot": _FOLD.replace("user_id::VARCHAR AS tid, event_id % 6", "CASE WHEN event_id % 10 <> 0 THEN '0' ELSE user_id::VARCHAR END AS tid, event_id % 6", 1),
+    "store_cycle": f"WITH {_ORDERS} b AS (SELECT count(*) AS n, count(DISTINCT ('0x' || substr(md5(tid), 1, 8))::BIGINT % 64) AS packs FROM n) SELECT n AS before, n + packs AS after, 0::BIGINT AS add, 0::BIGINT AS modify, 0::BIGINT AS delete, n AS confirm, 'up to date' AS status FROM b",
     "fold_violations": f"{_ACCOUNTS} SELECT eventid, tid, action, coalesce(before, 'none') AS standing FROM g WHERE violation",
     "fold_orphans": f"{_ACCOUNTS} SELECT eventid, tid, action FROM g WHERE orphan",
     "apply_confirms": f"{_D} SELECT c.tid AS _tid, c.o_orderkey AS _last_event, CASE WHEN c.o_orderkey % 2 = 0 THEN CASE WHEN dd.tid IS NOT NULL THEN '2024-05-01T00:00:00.000000' ELSE '2020-02-02T00:00:00.000000' END END AS confirmed FROM c LEFT JOIN dd ON dd.tid = c.tid AND dd.type = 'CONFIRM'",

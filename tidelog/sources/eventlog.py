@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.ranges import parts_for
 from tidelog.operators.diff import spread_key
+from tidelog.sources.shared import written
 
 SCHEMA = "eventid long, timestamp timestamp, version string, action string, source_id string, contents string, application string, tid string, catalogue string, entity string, source string"
 CONTENTS = "entity map<string,string>, modifications array<struct<key:string,old_value:string,new_value:string>>, confirms array<struct<tid:string,last_event:long>>, _last_event long, _hash string"
@@ -17,9 +18,12 @@ def assign_ids(events: DataFrame, start: int, buckets: int | None = None) -> Dat
     """Add dense ``eventid``s above ``start``: numbers within hash buckets of the tid, plus the buckets' offsets.
 
     No task sees more than a bucket; the offsets are a row per bucket. There are 256 buckets,
-    or more for very many events. Within a tid, ids follow the event type.
+    or more for very many events, which are written first then, so that they are computed
+    once. Within a tid, ids follow the event type.
     """
-    buckets = buckets or parts_for(events, 256)
+    if buckets is None:
+        events = written(events, "events")
+        buckets = parts_for(events, 256)
     rows = events.withColumn("_bucket", spread_key(F.coalesce("tid", F.lit("")), buckets))
     sizes = rows.groupBy("_bucket").agg(F.count("*").alias("_n"))
     before = sizes.select("_bucket", (F.sum("_n").over(W.orderBy("_bucket")) - F.col("_n")).alias("_before"))
@@ -92,27 +96,46 @@ def any_row(df: DataFrame, **conditions) -> DataFrame:
     return df.limit(1).agg((F.count("*") > 0).alias("found"))
 
 
-def store(log: DataFrame, events: DataFrame, state: DataFrame, path: str, catalogue: str, entity: str, source: str, application: str, timestamp: str) -> DataFrame:
+def store(log: DataFrame, events: DataFrame, state: DataFrame, path: str, catalogue: str, entity: str, source: str, application: str, timestamp: str, applied: int | None = None) -> DataFrame:
     """Store new ``events`` in the log below ``path`` and return ``update_stats`` of them.
 
     Only a state that has all of its log may take events: one that is behind or ahead
-    is an error, as its events were made on something else. Stale and repeated events
-    are counted and not stored. Ids go on above the highest of the whole log.
+    is an error, as its events were made on something else. ``applied`` says up to which
+    event the state has its log, where its last events (bulk confirms, say) left no
+    mark in a row of it. Stale and repeated events are counted and not stored. Ids go
+    on above the highest of the whole log.
     """
     own = log.where((F.col("catalogue") == catalogue) & (F.col("entity") == entity))
-    status = model_status(state, own).first()["status"]
+    status = model_status(state, own, applied).first()["status"]
     if status != "up to date":
         raise ValueError(f"{catalogue} {entity}: the state is {status}")
     top = log.agg(F.coalesce(F.max("eventid"), F.lit(0))).first()[0]
     validated = validate_events(events, state)
-    stored = assign_ids(validated.where("valid").drop("valid"), top)
+    validated = written(validated, "validated")  # stored and counted from one evaluation
+    stored = assign_ids(validated.where("valid").drop("valid"), top, parts_for(validated, 256))
     append(log_rows(stored, catalogue, entity, source, application, timestamp), path)
     return update_stats(validated)
 
 
-def model_status(state: DataFrame, log: DataFrame) -> DataFrame:
-    """One row ``entity_max, log_max, status``: a state ahead of its log is corrupted, behind it out of date, else up to date."""
-    s = state.agg(F.coalesce(F.max("_last_event"), F.lit(0)).cast("long").alias("entity_max"))
+def read_marks(spark: SparkSession, path: str) -> DataFrame:
+    """``collection, applied``: up to which event each collection's state has its log."""
+    return spark.read.schema("collection string, applied long").parquet(path).groupBy("collection").agg(F.max("applied").alias("applied"))
+
+
+def write_marks(marks: DataFrame, path: str) -> None:
+    """Add marks (``collection, applied``), after the states they speak of are written; earlier ones of a collection count no more."""
+    marks.select("collection", F.col("applied").cast("long").alias("applied")).coalesce(1).write.mode("append").parquet(path)
+
+
+def model_status(state: DataFrame, log: DataFrame, applied: int | None = None) -> DataFrame:
+    """One row ``entity_max, log_max, status``: a state ahead of its log is corrupted, behind it out of date, else up to date.
+
+    ``entity_max`` is the state's greatest last event, or ``applied`` where that is more:
+    bulk confirms, orphans and violations raise the log's head and no row's last event.
+    """
+    top = F.coalesce(F.max("_last_event"), F.lit(0))
+    top = top if applied is None else F.greatest(top, F.lit(applied))
+    s = state.agg(top.cast("long").alias("entity_max"))
     e = log.agg(F.coalesce(F.max("eventid"), F.lit(0)).cast("long").alias("log_max"))
     status = F.when(F.col("entity_max") > F.col("log_max"), "corrupted").when(F.col("entity_max") == F.col("log_max"), "up to date").otherwise("out of date")
     both = s.withColumn("_k", F.lit(1)).join(e.withColumn("_k", F.lit(1)), "_k").drop("_k")
