@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, small_batches, stage_table
+from tidelog.llm.common import batch, lean, small_batches, stage_table
 from tidelog.llm.words import shingles_of, word_blocks
 
 #: Hash orders; one value of each is compared (bands of one row).
@@ -231,7 +231,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: float
                 size = [int(index.sizes[h[1]]) for h in hits]
                 yield batch(_PAIR, doc_id=ids, item_id=[index.ids[h[1]] for h in hits], item_shingles=size, shared=[h[2] for h in hits], containment=[h[2] / s for h, s in zip(hits, size, strict=True)])
 
-        return chosen.mapInArrow(run, "doc_id long, item_id long, item_shingles long, shared long, containment double")
+        return chosen.mapInArrow(lean(run), "doc_id long, item_id long, item_shingles long, shared long, containment double")
 
     return _by_block(find, *_blocks(benchmark, block_items, block_chars), k, least)
 
@@ -251,7 +251,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: floa
                 hit = {row for row, _, _ in shared.value.matches(b.column("text"), k)}
                 yield b.take(pa.array([i for i in range(b.num_rows) if i not in hit], pa.int64())) if hit else b
 
-        return docs.mapInArrow(keep, docs.schema)
+        return docs.mapInArrow(lean(keep), docs.schema)
     row = F.xxhash64(docs["doc_id"], docs["text"])
     chosen = docs.select(row.alias("row"), docs["text"])
 
@@ -261,7 +261,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: floa
                 hit = sorted({row for row, _, _ in shared.value.matches(b.column("text"), k)})
                 yield batch(_HIT, row=b.column("row").take(pa.array(hit, pa.int64())))
 
-        return chosen.mapInArrow(run, "row long")
+        return chosen.mapInArrow(lean(run), "row long")
 
     found = _by_block(find, items, blocks, k, least).distinct()
     return docs.join(found, row == found["row"], "left_anti").select(*[docs[c] for c in docs.columns])

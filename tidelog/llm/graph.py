@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, stage_table
+from tidelog.llm.common import batch, lean, stage_table
 
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -70,7 +70,7 @@ def components(edges: DataFrame, name: str = "components", hold: int = 1 << 18)
     node meet in one task of a step, two numbers each.
     Edges with a null end and loops are left out.
     """
-    edges = edges.where("a <> b").select("a", "b").mapInArrow(_stars(hold), "a long, b long").distinct()
+    edges = edges.where("a <> b").select("a", "b").mapInArrow(lean(_stars(hold)), "a long, b long").distinct()
     edges = stage_table(edges, name)
     while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

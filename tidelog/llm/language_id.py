@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import crc_bucket, free_name, shuffle_width, slices, small_batches, text_bytes
+from tidelog.llm.common import crc_bucket, free_name, lean, shuffle_width, slices, small_batches, text_bytes
 
 #: Units of each direction, the bytes of a window, and the bytes at a window's inner edges that are only read for their
 #: context: windows overlap by twice as many, so no position is labelled next to a cut.
@@ -245,7 +245,7 @@ def label_languages(docs: DataFrame, tagger: ByteTagger | None, label: str = "la
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     flag = F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False))
-    return docs.select("*", flag.alias(free_name(docs, "_letters"))).mapInArrow(run, schema)
+    return docs.select("*", flag.alias(free_name(docs, "_letters"))).mapInArrow(lean(run), schema)
 
 
 def score_bounds(docs: DataFrame, tagger: ByteTagger, per_label: int = 400) -> dict[str, float]:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, shuffle_width, stage_table
+from tidelog.llm.common import batch, lean, shuffle_width, stage_table
 from tidelog.llm.words import word_blocks
 
 _SIZED = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("row", pa.int64()), ("size", pa.int64())])
@@ -29,7 +29,7 @@ def _row(docs: DataFrame) -> Column:
 def word_sizes(docs: DataFrame) -> DataFrame:
     """``doc_id, source, row, size``: the number of words of each whole text, 0 for null; ``row`` tells rows of one id apart."""
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"), _row(docs).alias("row"), docs["text"])
-    return chosen.mapInArrow(_sizes, "doc_id long, source string, row long, size long")
+    return chosen.mapInArrow(lean(_sizes), "doc_id long, source string, row long, size long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:

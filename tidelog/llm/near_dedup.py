@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, hot_join, shuffle_width, slices, small_batches, stage_table
+from tidelog.llm.common import batch, hot_join, lean, shuffle_width, slices, small_batches, stage_table
 from tidelog.llm.graph import components
 from tidelog.llm.words import mix, shingles_of, word_blocks
 
@@ -156,7 +156,7 @@ def candidate_links(nodes: DataFrame, cap: int = 64) -> DataFrame:
     turn = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("tree"), F.get("sig", t).alias("k1"), F.get("sig", F.pmod(t + 1, F.lit(TREES))).alias("k2")))
     rows = nodes.select("node", F.explode(turn).alias("t")).select("node", "t.*")
     ordered = rows.repartitionByRange(shuffle_width(nodes.sparkSession), "tree", "k1", "k2", "node").sortWithinPartitions("tree", "k1", "k2", "node")
-    found = stage_table(ordered.mapInArrow(_neighbours(cap), "a long, b long, part int, last boolean, tree int, k1 long"), "forest-links")
+    found = stage_table(ordered.mapInArrow(lean(_neighbours(cap)), "a long, b long, part int, last boolean, tree int, k1 long"), "forest-links")
     ends = found.where("part IS NOT NULL")  # two rows per partition
     after = ends.where("NOT last").alias("y")
     before = ends.where("last").alias("x")
@@ -264,7 +264,7 @@ def _first_links(candidates: DataFrame, large: DataFrame, sets: DataFrame, perce
     pairs = candidates.where(F.col("tree") < FIRST_TREES).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = pairs.join(large.select(F.col("node").alias("a")), "a", "left_semi")
     one, two = sets.select(F.col("node").alias("a"), F.col("items").alias("x")), sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    return pairs.join(one, "a").join(two, "b").mapInArrow(_verify(percent), "a long, b long")
+    return pairs.join(one, "a").join(two, "b").mapInArrow(lean(_verify(percent)), "a long, b long")
 
 
 def _block_pairs(large: DataFrame, total: int, block_shingles: int, block_sets: int) -> DataFrame:
@@ -330,7 +330,7 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, cap: int = 64, b
     """
     small_batches(docs.sparkSession)
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    sketch = stage_table(chosen.mapInArrow(_sketch(k), "doc_id long, n long, set_key string, sig array<long>"), "near-sketch")
+    sketch = stage_table(chosen.mapInArrow(lean(_sketch(k)), "doc_id long, n long, set_key string, sig array<long>"), "near-sketch")
     linked = sketch.where("n > 0 AND doc_id IS NOT NULL")
     classes = stage_table(linked.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.count("*").alias("n_left")), "near-classes")
     nodes = linked.join(classes, (linked["set_key"] == classes["set_key"]) & (linked["doc_id"] == classes["node"])).select("node", "n", "sig")
@@ -342,7 +342,7 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, cap: int = 64, b
     per_cluster = sized.groupBy("label").agg(F.count("*").alias("n_left"), ((F.count("*") > block_sets) | (F.sum("n") > block_shingles)).alias("large"))
     clusters = stage_table(hot_join(sized, per_cluster, "label", total), "near-cluster-of")
     texts = chosen.join(clusters.select("node"), chosen["doc_id"] == F.col("node")).select("node", "text")
-    sets = stage_table(texts.mapInArrow(_text_sets(k), "node long, items binary"), "near-sets")
+    sets = stage_table(texts.mapInArrow(lean(_text_sets(k)), "node long, items binary"), "near-sets")
 
     large = clusters.where("large").drop("large")
     first = stage_table(_first_links(candidates, large, sets, percent), "near-first-links")
@@ -350,7 +350,8 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, cap: int = 64, b
     large = stage_table(large.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")), "near-large")
     small = clusters.where("NOT large").select(F.col("label").alias("i"), F.col("label").alias("j"), "node", F.col("node").alias("component"), F.col("label").alias("block"))
     rows = small.unionByName(_block_pairs(large, total, block_shingles, block_sets)).join(sets, "node")
-    links = rows.repartition(shuffle_width(docs.sparkSession), "i", "j").sortWithinPartitions("i", "j", "node").mapInArrow(_confirm(percent), "a long, b long")
+    # Written before they are connected: a task that ran both steps would hold two Python workers.
+    links = stage_table(rows.repartition(shuffle_width(docs.sparkSession), "i", "j").sortWithinPartitions("i", "j", "node").mapInArrow(lean(_confirm(percent)), "a long, b long"), "near-confirmed")
     links = known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links).unionByName(_same_id_links(linked, classes))
     found = components(links, "near-links")
 
