@@ -1,6 +1,7 @@
 """Facts and properties of relations, periods, geometry, enrichment and evolution."""
 
 import datetime as dt
+import random
 import subprocess
 import sys
 
@@ -11,11 +12,11 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import spatial
 from tidelog.functions.ranges import in_ranges, number_in_order, running_sum
-from tidelog.functions.temporal import validity_match
+from tidelog.functions.temporal import validity_match, with_periods
 from tidelog.operators import evolve
 from tidelog.operators.enrich import autoid
 from tidelog.operators.quality import checked_applications, current_entity
-from tidelog.operators.relate import change_ratio, empty_relation, match, relate, relation_events, relation_rows, update
+from tidelog.operators.relate import change_ratio, empty_relation, match, relate, relation_events, relation_rows, update, update_all
 from tidelog.operators.views import find_views
 from tidelog.plans import relations as plan
 from tidelog.sources.shared import written
@@ -147,6 +148,47 @@ def test_validity_against_plain_python(spark, periods):
         assert got[i] == (regular or collapsed)
 
 
+@pytest.mark.parametrize("days", [1, 3, 1000])
+def test_states_met_by_stretches_fit_as_all_with_all(spark, days):
+    rng = random.Random(days)
+    day = lambda x: None if x is None else dt.datetime(2020, 1, 1) + dt.timedelta(hours=x)
+    times = lambda: rng.choice([None, *range(0, 240, 7)])
+    src = spark.createDataFrame([(str(i), day(times()), day(times()), (rng.choice("ab"), None)) for i in range(120)], "_id string, valid_from timestamp, valid_to timestamp, ref struct<value:string,begin:timestamp>")
+    dst = spark.createDataFrame([(rng.choice("ab"), i, day(times()), day(times())) for i in range(120)], "_id string, seqnr int, valid_from timestamp, valid_to timestamp")
+    src = src.withColumns({"seqnr": F.lit(1), "_source": F.lit("s"), "_application": F.lit("A"), "_last_event": F.lit(1).cast("long"), "_date_deleted": F.lit(None).cast("timestamp")})
+    dst = dst.withColumns({"_source": F.lit("s"), "_last_event": F.lit(1).cast("long"), "_date_deleted": F.lit(None).cast("timestamp")})
+    spec = [RelationSpec("A", "_id")]
+    rows = lambda **more: sorted(map(str, match(src, dst, spec, src_states=True, dst_states=True, keep_unmatched=True, **more).select("src_id", "value", "dst_id", "dst_seqnr").collect()))
+    assert rows() == rows(period_days=days) == rows(period_days=days, spread=True)
+
+
+def test_many_states_of_one_key_meet_few(spark):
+    """10,000 states of one key on both sides: each source meets a stretch of states."""
+    begin = lambda i: F.timestamp_micros(i * F.lit(86_400_000_000))
+    states = spark.range(10_000).select(F.lit("k").alias("key"), F.col("id").cast("int").alias("seqnr"), begin(F.col("id")).alias("valid_from"), begin(F.col("id") + 1).alias("valid_to"))
+    s, d = with_periods(states, states, 20)
+    assert d.count() < 2 * 10_000 and s.alias("src").join(d.alias("dst"), ["key", "_period"]).count() < 30 * 10_000
+
+
+def test_unknown_applications_end_a_run(spark):
+    src = spark.createDataFrame([("1", "X", ("v", None))], "_id string, _application string, ref struct<value:string,begin:timestamp>").withColumns({"_source": F.lit("s"), "_last_event": F.lit(1).cast("long"), "_date_deleted": F.lit(None).cast("timestamp")})
+    dst = spark.createDataFrame([("v",)], "_id string").withColumns({"_source": F.lit("s"), "_last_event": F.lit(1).cast("long"), "_date_deleted": F.lit(None).cast("timestamp")})
+    spec = [RelationSpec("A", "_id")]
+    rel = empty_relation(src, dst, spec)
+    with pytest.raises(Exception, match="no relation spec for X"):
+        relate(src, dst, rel, spec).collect()
+    with pytest.raises(ValueError, match="no relation spec for X"):
+        update_all({"r": {"src": src, "dst": dst, "rel": rel, "specs": spec}}, 0, F.current_timestamp())
+
+
+def test_ids_of_other_sources_are_not_used(spark):
+    rows = spark.createDataFrame([("a", None), ("b", None)], "k string, code string")
+    stored = spark.createDataFrame([("a", "C005", "s"), ("b", "C009", "t")], "k string, code string, _source string")
+    spec = AutoIdSpec("code", "k", "CXXX")
+    assert {r.k: r.code for r in autoid(rows, stored, spec, "s")[0].collect()} == {"a": "C005", "b": "C006"}
+    assert {r.k: r.code for r in autoid(rows, stored, spec)[0].collect()} == {"a": "C005", "b": "C009"}
+
+
 def test_geometry(spark):
     wkt = "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))"
     points = {(3.0, 3.0): True, (1.5, 1.5): False, (0.0, 2.0): False, (4.0, 4.0): False, (5.0, 1.0): False, (0.5, 1.0): True, (1.0, 1.5): False}

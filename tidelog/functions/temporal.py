@@ -26,6 +26,28 @@ def validity_match(src: str, dst: str, src_states: bool, dst_states: bool, as_of
     return F.lit(True)
 
 
+def with_periods(src: DataFrame, dst: DataFrame, days: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_period``, to be equal where ``validity_match`` of two sides with states can hold.
+
+    A destination state fits a source that ends within it: the source goes to the
+    stretch of ``days`` that holds its end, the destination to each stretch that it
+    covers. Sources without an end fit destinations without one, in a stretch of
+    their own. So a source meets the states of its key around its end and not all of
+    them; stretches near the usual length of a state are best.
+    """
+    at = lambda c: F.floor(F.unix_micros(c.cast("timestamp")) / (86_400_000_000 * days)).cast("long")
+    none = F.lit(None).cast("long")
+    last = src.agg(F.max(at(F.col("valid_to")))).first()[0]
+    s = src.withColumn("_period", at(F.col("valid_to")))
+    open_ = F.when(F.col("valid_to").isNull(), F.array(F.struct(none.alias("p")))).otherwise(F.array().cast("array<struct<p:bigint>>"))
+    if last is None:
+        return s, dst.withColumn("_p", F.explode(open_)).withColumn("_period", F.col("_p.p")).drop("_p")
+    end = F.least(F.coalesce(at(F.col("valid_to")), F.lit(last)), F.lit(last))
+    begin = at(F.col("valid_from"))
+    covered = F.when(begin <= end, F.transform(F.sequence(begin, F.greatest(begin, end)), lambda p: F.struct(p.alias("p")))).otherwise(F.array().cast("array<struct<p:bigint>>"))
+    return s, dst.withColumn("_p", F.explode(F.concat(covered, open_))).withColumn("_period", F.col("_p.p")).drop("_p")
+
+
 def latest_state(df: DataFrame, key: list[str], seqnr: str = "seqnr") -> DataFrame:
     """The rows of each key's highest state number."""
     return df.withColumn("_latest", F.max(seqnr).over(W.partitionBy(*key))).where(F.col(seqnr) == F.col("_latest")).drop("_latest")

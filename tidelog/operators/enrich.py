@@ -46,12 +46,13 @@ def enrich(df: DataFrame, specs: list[dict], dry_run: bool = False) -> DataFrame
     return proposals if dry_run and proposals is not None else out
 
 
-def autoid(df: DataFrame, stored: DataFrame, spec: AutoIdSpec) -> tuple[DataFrame, DataFrame]:
+def autoid(df: DataFrame, stored: DataFrame, spec: AutoIdSpec, source: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Give rows without ``spec.column`` an id; also a DataFrame of ``problem, key, value``, empty when all is well.
 
     A given value stays. Else the value stored for the same key is used again, else
     a new one is issued per distinct key: the largest stored or given value that fits
     the template, plus a number in order of the key, padded to the template's length.
+    With ``source`` only that source's rows of ``stored`` (by ``_source``) count.
     Problems: a given value on several keys, a key with several stored values, and
     numbers beyond the template.
     """
@@ -62,6 +63,7 @@ def autoid(df: DataFrame, stored: DataFrame, spec: AutoIdSpec) -> tuple[DataFram
         raise ValueError("the X of a template must be at its end")
     fits = lambda c: F.regexp_like(c, F.lit(f"^{prefix}[0-9]{{{digits}}}$"))
     counter = lambda c: F.substring(c, len(prefix) + 1, digits).cast("long")
+    stored = stored if source is None else stored.where(F.col("_source") == source)
     values = stored.where(F.col(col).isNotNull()).select(on, col)
     known = values.groupBy(on).agg(F.min(col).alias("_stored"), F.count_distinct(col).alias("_n"))
     last = values.unionByName(df.where(F.col(col).isNotNull()).select(on, col)).where(fits(F.col(col))).agg(F.coalesce(F.max(counter(F.col(col))), F.lit(-1)).alias("_last")).withColumn("_k", F.lit(1))
@@ -81,8 +83,8 @@ def autoid(df: DataFrame, stored: DataFrame, spec: AutoIdSpec) -> tuple[DataFram
 
 
 @enricher("autoid")
-def _autoid(df: DataFrame, column: str, on: str, template: str, stored: DataFrame) -> DataFrame:
-    return autoid(df, stored, AutoIdSpec(column, on, template))[0]
+def _autoid(df: DataFrame, column: str, on: str, template: str, stored: DataFrame, source: str | None = None) -> DataFrame:
+    return autoid(df, stored, AutoIdSpec(column, on, template), source)[0]
 
 
 def _referenced(df: DataFrame, column: str, on: str, other: DataFrame, key: str, geo: str) -> DataFrame:

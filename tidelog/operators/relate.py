@@ -9,6 +9,7 @@ valid_from, valid_to``.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.skew import spread_join
 from tidelog.functions.spatial import inside
-from tidelog.functions.temporal import validity_match
+from tidelog.functions.temporal import validity_match, with_periods
 from tidelog.sources.eventlog import assign_ids
 from tidelog.sources.shared import written
 from tidelog.specs import RelationSpec
@@ -35,6 +36,13 @@ def check_specs(src: DataFrame, specs: list[RelationSpec]) -> DataFrame:
     return src.select("_application").distinct().where(~F.col("_application").isin([s.application for s in specs]))
 
 
+def precondition(src: DataFrame, specs: list[RelationSpec]) -> None:
+    """An error that names the applications of ``src`` for which there is no spec, if there are any."""
+    unknown = [r[0] for r in check_specs(src, specs).limit(10).collect()]
+    if unknown:
+        raise ValueError(f"no relation spec for {', '.join(map(str, unknown))}")
+
+
 def by_application(specs: list[RelationSpec], value) -> Column:
     """A column that depends on the row's application; no switch where all specs agree."""
     values = [value(s) for s in specs]
@@ -61,13 +69,14 @@ def references(src: DataFrame, many: bool) -> DataFrame:
     return src.withColumn("ref", F.explode("ref")).where("ref.value IS NOT NULL") if many else src
 
 
-def match(src: DataFrame, dst: DataFrame, specs: list[RelationSpec], many: bool = False, src_states: bool = False, dst_states: bool = False, as_of: Column | None = None, keep_unmatched: bool = False, spread: bool = False) -> DataFrame:
+def match(src: DataFrame, dst: DataFrame, specs: list[RelationSpec], many: bool = False, src_states: bool = False, dst_states: bool = False, as_of: Column | None = None, keep_unmatched: bool = False, spread: bool = False, period_days: int | None = None) -> DataFrame:
     """Each reference with the live destinations it fits, the latest fitting state of each.
 
     One equality join per application, then a union, so that no condition with OR
     turns into a nested loop; what periods demand is a residual of the equality. With
-    ``spread`` values that very many references share are split over all tasks. A
-    relation by location joins on grid cells. Sources whose geometry isn't valid fit nothing.
+    ``spread`` values that very many references share are split over all tasks. Where
+    both sides have many states to a key, ``period_days`` lets them meet by stretches of
+    that length and not all with all (``with_periods``). A relation by location joins on grid cells. Sources whose geometry isn't valid fit nothing.
     The destination's row of the latest state comes with the grouping, so nothing
     is joined again. ``row_number`` counts a reference's distinct destinations in
     order of their id: beyond 1 it is ambiguous. Without ``keep_unmatched``
@@ -87,10 +96,14 @@ def match(src: DataFrame, dst: DataFrame, specs: list[RelationSpec], many: bool
                 missed = s.select(F.struct("*").alias("src")).join(pairs.select(F.col("src").alias("_src")).distinct(), F.col("src").eqNullSafe(F.col("_src")), "left_anti")
                 pairs = pairs.unionByName(missed, allowMissingColumns=True)
             joined = pairs
-        elif spread:
-            joined = spread_join(s, d, [("_wanted", spec.destination_attribute)], how, valid)
         else:
-            joined = s.alias("src").join(d.alias("dst"), (F.col(f"dst.{spec.destination_attribute}") == F.col("src._wanted")) & valid, how)
+            if period_days and src_states and dst_states:
+                s, d = with_periods(s, d, period_days)
+                valid &= F.col("src._period").eqNullSafe(F.col("dst._period"))
+            if spread:
+                joined = spread_join(s, d, [("_wanted", spec.destination_attribute)], how, valid)
+            else:
+                joined = s.alias("src").join(d.alias("dst"), (F.col(f"dst.{spec.destination_attribute}") == F.col("src._wanted")) & valid, how)
         parts.append(joined.select(
             F.col("src._application").alias("_application"), F.col("src._id").alias("src_id"), F.col("src.seqnr").alias("src_seqnr"), F.col("src._source").alias("src_source"), F.col("src.ref.value").alias("value"),
             F.col("src.ref.begin").alias("_begin"), F.struct("src.valid_from", "src.valid_to", "src._expiration_date", "src._last_event", "src._date_deleted").alias("_src"),
@@ -157,8 +170,10 @@ def relate(src: DataFrame, dst: DataFrame, rel: DataFrame, specs: list[RelationS
     ``full`` relates all sources. ``incremental`` relates the sources changed after
     ``last_src`` to all destinations, then the unchanged sources to the destinations
     changed after ``last_dst``. One row per key remains, then the existing relation
-    is joined by key.
+    is joined by key. A source of an application without a spec ends the run.
     """
+    unknown = F.raise_error(F.concat(F.lit("no relation spec for "), F.col("_application"))).cast("boolean")
+    src = src.where(F.when(F.col("_application").isin([s.application for s in specs]) | F.col("_application").isNull(), True).otherwise(unknown))
     args = {"many": many, "src_states": src_states, "dst_states": dst_states, "as_of": as_of, "keep_unmatched": keep_unmatched}
     make = lambda s, d: relation_rows(match(s, d, specs, **args), specs, src_states, dst_states)
     if mode == "full":
@@ -213,19 +228,20 @@ def empty_relation(src: DataFrame, dst: DataFrame, specs: list[RelationSpec], **
     return rows.drop("src_deleted", "row_number").withColumns({"_last_event": F.lit(0).cast("long"), "_date_deleted": F.lit(None).cast("timestamp")}).where("false")
 
 
-def update(src: DataFrame, dst: DataFrame, rel: DataFrame, specs: list[RelationSpec], start: int, at: Column, **args) -> tuple[DataFrame, DataFrame, str]:
+def update(src: DataFrame, dst: DataFrame, rel: DataFrame, specs: list[RelationSpec], start: int, at: Column, last: tuple[int, int] | None = None, **args) -> tuple[DataFrame, DataFrame, str]:
     """Bring a relation up to date: the new table, its events (ids above ``start``) and the mode of the run.
 
     A source application without a spec is an error. The run is full where the relation
     is empty or the changed shares of both sides come to 1 or more, else incremental
-    from the relation's high-water marks. ``args`` are those of ``match``. The matched
-    rows and the events are written to the shared folder, as both are used twice.
+    from ``last``, the last events of source and destination that an earlier run has
+    seen. Without it the relation's own high-water marks count, in which changes that
+    had no effect left no trace, so that they are related again. ``args`` are those
+    of ``match``. The matched rows and the events are written to the shared folder, as
+    both are used twice.
     """
-    unknown = [r[0] for r in check_specs(src, specs).limit(10).collect()]
-    if unknown:
-        raise ValueError(f"no relation spec for {', '.join(map(str, unknown))}")
-    mark = marks(src, dst, rel).first()
-    full = rel.isEmpty() or change_ratio(src, dst, mark["last_src"], mark["last_dst"]).first()["full"]
+    precondition(src, specs)
+    mark = marks(src, dst, rel).first().asDict() if last is None else {"last_src": last[0], "last_dst": last[1]}
+    full = (last is None and rel.isEmpty()) or change_ratio(src, dst, mark["last_src"], mark["last_dst"]).first()["full"]
     mode = "full" if full else "incremental"
     rows = written(relate(src, dst, rel, specs, mode, mark["last_src"], mark["last_dst"], **args), "relation-rows")
     events = written(assign_ids(relation_events(rows, args.get("dst_states", False)), start), "relation-events")
@@ -245,3 +261,33 @@ def relate_all(catalogue: dict[str, dict]) -> dict[str, DataFrame]:
         if args.get("specs") and not args.get("very_many"):
             out[name] = relation_events(relate(**{k: v for k, v in args.items() if k != "very_many"}), args.get("dst_states", False))
     return out
+
+
+@dataclass
+class Related:
+    """A relation after a run: its table, the run's events and mode, and the last events of source and destination that it has seen."""
+
+    table: DataFrame
+    events: DataFrame
+    mode: str
+    last: tuple[int, int]
+
+
+def update_all(catalogue: dict[str, dict], start: int, at: Column, seen: dict[str, tuple[int, int]] | None = None) -> dict[str, Related]:
+    """``update`` of every relation of a catalogue, as ``relate_all`` picks them; ids go on from relation to relation.
+
+    ``seen`` has each relation's ``last`` of the run before, which is to be kept with the
+    tables: a run without changes relates nothing. Every relation is checked
+    before the first is made.
+    """
+    chosen = {name: {k: v for k, v in args.items() if k != "very_many"} for name, args in catalogue.items() if args.get("specs") and not args.get("very_many")}
+    for args in chosen.values():
+        precondition(args["src"], args["specs"])
+    out = {}
+    for name, args in chosen.items():
+        top = lambda df: df.agg(F.coalesce(F.max("_last_event"), F.lit(0)).cast("long")).first()[0]
+        last = (top(args["src"]), top(args["dst"]))
+        table, events, mode = update(start=start, at=at, last=(seen or {}).get(name), **args)
+        start += events.count()
+        out[name] = Related(table, events, mode, last)
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.keys import as_text
 from tidelog.functions.temporal import islands, latest_state
 from tidelog.operators import quality
-from tidelog.operators.relate import change_ratio, check_specs, conflicts, empty_relation, marks, match, obsolete_relations, relate, relate_all, relation_events, relation_rows, update
+from tidelog.operators.relate import change_ratio, check_specs, conflicts, empty_relation, marks, match, obsolete_relations, relate, relate_all, relation_events, relation_rows, update, update_all
 from tidelog.operators.views import refresh_views, relation_view
 from tidelog.plans.upload import table
 from tidelog.sources.shared import written
@@ -123,6 +123,12 @@ def q_match_states(spark, d):
     return state_rows(spark, d).select("id", "src_id", "src_seqnr", "dst_id", "dst_seqnr", as_text(F.col("valid_from"), "timestamp").alias("valid_from"), as_text(F.col("valid_to"), "timestamp").alias("valid_to"))
 
 
+def q_match_many_states(spark, d):
+    """As ``match_states``, met by stretches of 200 days, of each source's values split over all tasks."""
+    rows = match(order_states(spark, d), nation_states(spark, d), PART, src_states=True, dst_states=True, period_days=200, spread=True)
+    return relation_rows(rows, PART, True, True).select("id", "src_id", "src_seqnr", "dst_id", "dst_seqnr", as_text(F.col("valid_from"), "timestamp").alias("valid_from"), as_text(F.col("valid_to"), "timestamp").alias("valid_to"))
+
+
 def q_match_collapsed(spark, d):
     collapsed = order_states(spark, d).where("valid_from = valid_to")
     return match(collapsed, nation_states(spark, d), PART, src_states=True, dst_states=True).select("src_id", "src_seqnr", "dst_id", "dst_seqnr")
@@ -166,6 +172,17 @@ def q_relate_update(spark, d):
     return second.where("_date_deleted IS NULL").select("id", "src_id", "dst_id", "derivation", "_last_src_event")
 
 
+def q_update_all(spark, d):
+    """Two runs over a catalogue: the second, with the marks of the first, relates nothing again."""
+    at = F.lit("2024-01-01").cast("timestamp")
+    one = {"src": customers(spark, d), "dst": nations(spark, d), "specs": SPECS}
+    first = update_all({"crm_customer_nation": one | {"rel": empty_relation(one["src"], one["dst"], SPECS)}, "crm_none": {"specs": []}}, 0, at)
+    done = first["crm_customer_nation"]
+    again = update_all({"crm_customer_nation": one | {"rel": written(done.table, "relation")}}, 1_000_000_000, at, {"crm_customer_nation": done.last})["crm_customer_nation"]
+    rows = lambda run, r: r.events.agg(F.lit(run).alias("run"), F.lit(r.mode).alias("mode"), F.count("*").alias("events"), F.coalesce(F.max("eventid"), F.lit(0)).alias("top"), F.lit(r.last[0]).cast("long").alias("last_src"), F.lit(r.last[1]).cast("long").alias("last_dst"))
+    return rows(1, done).unionByName(rows(2, again))
+
+
 def q_relate_precondition(spark, d):
     """The applications that keep a relation from being made, for specs that know only one of them."""
     return check_specs(order_lines(spark, d).select("_application").unionByName(customers(spark, d).select("_application")), SPECS)
@@ -367,6 +384,7 @@ ORACLE_SQL = {
     "match_many": "SELECT DISTINCT l_orderkey::VARCHAR AS src_id, l_partkey::VARCHAR AS value, p_partkey::VARCHAR AS dst_id FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_partkey % 10 <> 0 AND p_partkey % 7 <> 0",
     "match_multiple_allowed": f"{_BRANDS} SELECT src_id || '.erp.' || value || '.' || dst_id AS id, 'brand' AS derivation, src_id, dst_id, row_number FROM m",
     "match_states": f"{_STATES} SELECT src_id || '.' || src_seqnr || '.crm.' || value AS id, src_id, src_seqnr::INTEGER AS src_seqnr, dst_id, dst_seqnr::INTEGER AS dst_seqnr, strftime(greatest(sf, df), {_TS}) AS valid_from, strftime(least(st, dt), {_TS}) AS valid_to FROM j",
+    "match_many_states": f"{_STATES} SELECT src_id || '.' || src_seqnr || '.crm.' || value AS id, src_id, src_seqnr::INTEGER AS src_seqnr, dst_id, dst_seqnr::INTEGER AS dst_seqnr, strftime(greatest(sf, df), {_TS}) AS valid_from, strftime(least(st, dt), {_TS}) AS valid_to FROM j",
     "match_collapsed": f"{_STATES} SELECT src_id, src_seqnr::INTEGER AS src_seqnr, dst_id, dst_seqnr::INTEGER AS dst_seqnr FROM j WHERE sf = st",
     "match_valid_now": "SELECT c_custkey::VARCHAR AS src_id, c_nationkey::VARCHAR AS dst_id, 8::INTEGER AS dst_seqnr FROM customer",
     "relation_key": f"{_S} SELECT rid AS id, CASE app WHEN 'A' THEN 'name' ELSE 'code' END AS derivation, key AS _last_src_event, dst_last::BIGINT AS _last_dst_event, strftime(valid_to, {_TS}) AS valid_to FROM k",
@@ -376,6 +394,7 @@ ORACLE_SQL = {
     "relate_full": f"{_S}{_FULL} SELECT id, dst_id, rel_id, rel_dst_id FROM u",
     "relate_incremental": f"{_S}, r AS (SELECT * FROM k WHERE key > (SELECT seen FROM half) OR dst_last > 10), g AS (SELECT * FROM rel WHERE NOT gone AND (key > (SELECT seen FROM half) OR dst_id IN (SELECT (n_nationkey)::VARCHAR FROM nation WHERE n_nationkey + 1 > 10)) AND rid NOT IN (SELECT rid FROM r)) SELECT r.rid AS id, r.dst_id, rel.rid AS rel_id, rel.dst_id AS rel_dst_id FROM r LEFT JOIN rel ON rel.rid = r.rid UNION ALL SELECT NULL, NULL, rid, dst_id FROM g",
     "relate_update": f"{_S} SELECT rid AS id, id AS src_id, dst_id, CASE app WHEN 'A' THEN 'name' ELSE 'code' END AS derivation, key AS _last_src_event FROM k WHERE NOT deleted",
+    "update_all": f"{_S}, e AS (SELECT count(DISTINCT rid) AS n FROM k WHERE NOT deleted), t AS (SELECT (SELECT max(c_custkey) FROM customer) AS a, (SELECT max(n_nationkey) + 1 FROM nation) AS b) SELECT 1 AS run, 'full' AS mode, n AS events, n AS top, a AS last_src, b::BIGINT AS last_dst FROM e, t UNION ALL SELECT 2, 'incremental', 0, 0, a, b FROM t",
     "relate_precondition": "SELECT 'P' AS _application",
     "relate_spatial": "WITH c AS (SELECT c_custkey, (c_custkey * 7 % 1000) / 10.0::DOUBLE AS x, c_acctbal / 100 AS y FROM customer WHERE c_custkey % 50 <> 0) SELECT c_custkey::VARCHAR || '.crm.here' AS id, 'area' AS derivation, c_custkey::VARCHAR AS src_id, n_nationkey::VARCHAR AS dst_id FROM c JOIN nation ON CASE WHEN n_nationkey = 24 THEN y > 50 ELSE x > 4 * n_nationkey + 0.25 AND x < 4 * n_nationkey + 1 + n_nationkey % 3 AND y > -5 AND y < 50 END",
     "relate_spatial_multi": "WITH c AS (SELECT c_custkey, (c_custkey * 7 % 1000) / 10.0::DOUBLE AS x, c_acctbal / 100 AS y FROM customer) SELECT c_custkey::VARCHAR || '.crm.here' AS id, 'area' AS derivation, c_custkey::VARCHAR AS src_id, n_nationkey::VARCHAR AS dst_id FROM c JOIN nation ON x > 4 * n_nationkey + 0.25 AND x < 4 * n_nationkey + 1 + n_nationkey % 3 AND (y > -5 AND y < 20 OR y > 30 AND y < 50)",
