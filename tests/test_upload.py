@@ -123,6 +123,29 @@ def test_bulk_confirms_leave_the_gate_open(spark, tmp_path):
     assert applied_range(plain).first()["confirm"] == 1
 
 
+def test_a_tail_opens_few_files_and_a_purge_touches_its_own(spark, tmp_path):
+    path = f"file://{tmp_path}/log"
+    row = lambda n, entity: spark.range(n * 100, n * 100 + 100, 1, 1).select(F.col("id").alias("eventid"), *[F.lit(v).cast(t).alias(c) for c, t, v in (("timestamp", "timestamp", "2024-01-01"), ("version", "string", "1"), ("action", "string", "ADD"), ("source_id", "string", None), ("contents", "string", "{}"), ("application", "string", "a"), ("tid", "string", "t"), ("catalogue", "string", "c"), ("entity", "string", entity), ("source", "string", "s"))])
+    for n in range(20):
+        eventlog.append(row(n, "even" if n % 2 == 0 else "odd"), path)
+    assert eventlog.index_files(spark, path).agg(F.sum("events"), F.count("*")).first()[:] == (2000, 20)
+    end = eventlog.tail_of_files(spark, path, 1899)
+    assert len(end.inputFiles()) == 1 and end.count() == 100
+    eventlog.append(row(20, "even"), path)
+    end = eventlog.tail_of_files(spark, path, 1950, entity="even")
+    assert len(end.inputFiles()) == 2 and end.count() == 100
+    assert eventlog.tail_of_files(spark, path, 10_000).count() == 0
+    stamp = lambda entity: {p: p.stat().st_mtime_ns for p in (tmp_path / "log").rglob("*.parquet") if f"entity={entity}/" in str(p)}
+    odd = stamp("odd")
+    eventlog.rename_files(spark, path, "c", "even", "paired")
+    assert stamp("odd") == odd and not stamp("even") and eventlog.read_log(spark, path).where("entity = 'paired'").count() == 1100
+    with pytest.raises(ValueError, match="events of its own"):
+        eventlog.rename_files(spark, path, "c", "odd", "paired")
+    assert eventlog.purge_files(spark, path, "c", "paired") and not eventlog.purge_files(spark, path, "c", "none")
+    assert stamp("odd") == odd and eventlog.read_log(spark, path).count() == 1000
+    assert eventlog.index_files(spark, path).count() == 10 and eventlog.tail_of_files(spark, path, -1).count() == 1000
+
+
 def test_fold_sequences(spark):
     actions = [("ADD", "1"), ("DELETE", "1"), ("ADD", "1"), ("MODIFY", "1"), ("MODIFY", "2"), ("ADD", "3"), ("ADD", "3"), ("DELETE", "3"), ("MODIFY", "3")]
     out = fold(empty_state(ACCOUNTS, spark), account_events(spark, actions), ACCOUNTS)

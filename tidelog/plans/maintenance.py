@@ -9,6 +9,8 @@ from tidelog.functions.spatial import lies_in
 from tidelog.operators import evolve
 from tidelog.operators.enrich import autoid, enrich, geounion_problems
 from tidelog.plans.upload import _D, _IDS, account_log, current_orders, order_log, table
+from tidelog.sources import eventlog
+from tidelog.sources.shared import shared_path
 from tidelog.specs import AutoIdSpec, ColumnChange
 
 CODES = AutoIdSpec("code", "s_suppkey", "9XXXXXX")
@@ -156,6 +158,31 @@ def q_purge(spark, d):
     return evolve.purge(order_log(spark, d).unionByName(account_log(spark, d)), "web", "accounts").groupBy("catalogue", "entity").agg(F.count("*").alias("n"))
 
 
+def _log_on_disk(spark, d):
+    """Both collections' events in one log, appended in three parts."""
+    path = f"{shared_path(spark, 'log')}/log"
+    eventlog.append(order_log(spark, d), path)
+    for part in range(2):
+        eventlog.append(account_log(spark, d).where((F.col("eventid") >= 500) == bool(part)), path)
+    return path
+
+
+def q_purge_files(spark, d):
+    path = _log_on_disk(spark, d)
+    eventlog.purge_files(spark, path, "web", "accounts")
+    return eventlog.read_log(spark, path).groupBy("catalogue", "entity").agg(F.count("*").alias("n"))
+
+
+def q_rename_files(spark, d):
+    path = _log_on_disk(spark, d)
+    eventlog.rename_files(spark, path, "shop", "orders", "purchases")
+    return eventlog.read_log(spark, path).where("catalogue = 'shop'").groupBy("entity", "action").agg(F.count("*").alias("n"))
+
+
+def q_tail_of_files(spark, d):
+    return eventlog.tail_of_files(spark, _log_on_disk(spark, d), 499, "web").select("eventid", "tid", "action")
+
+
 QUERIES = {name.removeprefix("q_"): f for name, f in list(globals().items()) if name.startswith("q_")}
 
 _CODES = """
@@ -197,4 +224,7 @@ ORACLE_SQL = {
     "change_columns": "SELECT c_custkey::INTEGER AS key, try_cast(c_name AS INTEGER) AS c_name, c_acctbal::DECIMAL(12,1)::VARCHAR AS balance, '{\"value\":\"' || c_mktsegment || '\"}' AS c_mktsegment FROM customer",
     "change_columns_failed": "SELECT 'c_custkey' AS \"column\", 0::BIGINT AS failed UNION ALL SELECT 'c_name', count(*) FROM customer UNION ALL SELECT 'c_acctbal', 0 UNION ALL SELECT 'c_mktsegment', 0",
     "purge": f"{_D} SELECT 'shop' AS catalogue, 'orders' AS entity, count(*) AS n FROM dd",
+    "purge_files": f"{_D} SELECT 'shop' AS catalogue, 'orders' AS entity, count(*) AS n FROM dd",
+    "rename_files": f"{_D} SELECT 'purchases' AS entity, type AS action, count(*) AS n FROM dd GROUP BY type",
+    "tail_of_files": "SELECT event_id AS eventid, user_id::VARCHAR AS tid, CASE event_id % 6 WHEN 0 THEN 'ADD' WHEN 4 THEN 'DELETE' WHEN 5 THEN 'CONFIRM' ELSE 'MODIFY' END AS action FROM events WHERE event_id > 499",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -52,6 +53,71 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path)
 
 
+def _files(spark: SparkSession, path: str, files: list[str]) -> DataFrame:
+    """Some of the log's files, with the columns that their folders stand for."""
+    return spark.read.schema(SCHEMA).option("basePath", path).parquet(*files)
+
+
+def index_files(spark: SparkSession, path: str) -> DataFrame:
+    """The log's manifest, ``file, least, last, events``: brought up to date from the files that it doesn't have yet, and without those that are gone.
+
+    It lies in ``_manifest`` below the log, which readers of the log pass over. Files
+    never change once written, so each is read once, its ids only.
+    """
+    present = set(read_log(spark, path).inputFiles())
+    empty = spark.createDataFrame([], "file string, least long, last long, events long")
+    try:
+        known = spark.read.schema(empty.schema).parquet(f"{path}/_manifest").dropDuplicates(["file"])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = empty
+    missing = sorted(present - {r["file"] for r in known.select("file").collect()})
+    if missing:
+        found = _files(spark, path, missing).select(F.input_file_name().alias("file"), "eventid").groupBy("file")
+        found = found.agg(F.min("eventid").alias("least"), F.max("eventid").alias("last"), F.count("*").alias("events"))
+        found.coalesce(1).write.mode("append").parquet(f"{path}/_manifest")
+        known = spark.read.schema(empty.schema).parquet(f"{path}/_manifest").dropDuplicates(["file"])
+    return known.join(F.broadcast(spark.createDataFrame([(f,) for f in present], "file string")), "file", "left_semi")
+
+
+def tail_of_files(spark: SparkSession, path: str, after: int, catalogue: str | None = None, entity: str | None = None, source: str | None = None) -> DataFrame:
+    """``tail`` of the log below ``path``, of which only the files are opened that have events after id ``after`` by the manifest."""
+    files = [r["file"] for r in index_files(spark, path).where(F.col("last") > after).select("file").collect()]
+    log = _files(spark, path, sorted(files)) if files else spark.createDataFrame([], SCHEMA)
+    return tail(log, after, catalogue, entity, source)
+
+
+def _folder(spark: SparkSession, path: str, catalogue: str, entity: str):
+    """The file system and the folder of a collection's events."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/catalogue={catalogue}/entity={entity}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def purge_files(spark: SparkSession, path: str, catalogue: str, entity: str) -> bool:
+    """Remove a collection's folder from the log; no other file is touched. Whether there was one."""
+    files, folder = _folder(spark, path, catalogue, entity)
+    return files.delete(folder, True)
+
+
+def rename_files(spark: SparkSession, path: str, catalogue: str, old: str, new: str) -> None:
+    """Give a collection's events a new entity: its folder is written anew under the new name, then removed; no other file is touched.
+
+    If it ends midway it can be run again: the new folder is overwritten until the
+    old one is gone. A new name that has other events already is an error.
+    """
+    rows = read_log(spark, path).where((F.col("catalogue") == catalogue) & (F.col("entity").isin(old, new)))
+    ids = rows.groupBy("entity").agg(F.count("*").alias("n"), F.min("eventid").alias("least"), F.max("eventid").alias("last")).collect()
+    by = {r["entity"]: r for r in ids}
+    if old not in by:
+        return
+    if new in by and (by[new]["n"] > by[old]["n"] or by[new]["least"] < by[old]["least"] or by[new]["last"] > by[old]["last"]):
+        raise ValueError(f"{catalogue} {new} has events of its own")
+    moved = rows.where(F.col("entity") == old).withColumn("entity", F.lit(new))
+    moved.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("catalogue", "entity", "source").parquet(path)
+    purge_files(spark, path, catalogue, old)
+
+
 def _chosen(log: DataFrame, catalogue: str | None, entity: str | None, source: str | None) -> DataFrame:
     for name, value in (("catalogue", catalogue), ("entity", entity), ("source", source)):
         if value is not None:
