@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, read_table, slices, small_batches, stage_table
+from tidelog.llm.common import batch, lean, read_table, slices, small_batches, stage_table
 
 #: Folder of the vocabulary files; a parameter of every function here.
 TOKENIZERS = "/opt/tokenizers"
@@ -266,13 +266,13 @@ def token_overlaps(docs: DataFrame, folder: str = TOKENIZERS, a: str = "byte_bpe
                 start=np.maximum(left.start[ia], right.start[ib]) - base[ia], end=np.minimum(left.end[ia], right.end[ib]) - base[ia], together=found["together"].to_numpy(), groups_before=before[ia] - before[first(left)][ia],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, a_at long, b_at long, a_id long, b_id long, start long, end long, together boolean, groups_before long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(run), "doc_id long, a_at long, b_at long, a_id long, b_id long, start long, end long, together boolean, groups_before long")
 
 
 _ROW = pa.schema([("doc_id", pa.int64()), *[(c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")], ("groups_sha256", pa.string()), ("pair", pa.list_(pa.int64())), ("times", pa.list_(pa.int32()))])
 
 
-def aligned(docs: DataFrame, folder: str = TOKENIZERS, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model", block_bytes: int = 2 << 20) -> DataFrame:
+def aligned(docs: DataFrame, folder: str = TOKENIZERS, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model", block_bytes: int = 1 << 20) -> DataFrame:
     """One row per document: ``doc_id, n_a, n_b, n_groups, n_links, groups_sha256``, and its linked id pairs as ``pair`` (the B id above the A id's 20 bits) with their ``times``."""
     small_batches(docs.sparkSession)
     files = _files(docs.sparkSession, folder, a, b)
@@ -287,7 +287,7 @@ def aligned(docs: DataFrame, folder: str = TOKENIZERS, a: str = "byte_bpe_50k.js
             yield batch(_ROW, doc_id=x.column("doc_id"), **made)
 
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair array<long>, times array<int>"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(run), schema)
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, hot_join, read_table, slices, small_batches, stage_table, text_bytes
+from tidelog.llm.common import batch, hot_join, lean, read_table, slices, small_batches, stage_table, text_bytes
 from tidelog.llm.words import mix, words_of
 
 _BREAK = np.zeros(256, bool)
@@ -97,7 +97,7 @@ def _mine(longest: int, block_bytes: int, hold: int):
     def run(batches):
         held: dict[int, list] = {}
         size = 0
-        for x in slices(batches):
+        for x in slices(batches, 4 << 20):
             lang, shard = x.column("lang_hash").to_numpy(), x.column("shard").to_numpy()
             for flat, bounds, first in _blocks(x.column("text"), block_bytes):
                 grams = Grams(flat, bounds, lang[first : first + len(bounds) - 1], longest)
@@ -117,7 +117,7 @@ def _mine(longest: int, block_bytes: int, hold: int):
     return run
 
 
-def locally_frequent(docs: DataFrame, support: int = 10, shards: int = 4, longest: int = 3, block_bytes: int = 2 << 20, hold: int = 4_000_000) -> DataFrame:
+def locally_frequent(docs: DataFrame, support: int = 10, shards: int = 4, longest: int = 3, block_bytes: int = 1 << 20, hold: int = 3_000_000) -> DataFrame:
     """``shard, hash, n``: the phrases (as hashes with their language) that a shard holds ``support / shards`` times or more.
 
     Shards are large, each mined by all tasks together: a task counts about ``hold``
@@ -125,7 +125,7 @@ def locally_frequent(docs: DataFrame, support: int = 10, shards: int = 4, longes
     in different shards as their ids do; the shares needn't be equal for the result.
     """
     small_batches(docs.sparkSession)
-    mined = _inputs(docs, shards).mapInArrow(_mine(longest, block_bytes, hold), "shard long, hash long, n long")
+    mined = _inputs(docs, shards).mapInArrow(lean(_mine(longest, block_bytes, hold)), "shard long, hash long, n long")
     return mined.groupBy("shard", "hash").agg(F.sum("n").alias("n")).where(F.col("n") * shards >= support)
 
 
@@ -145,7 +145,7 @@ _COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("width",
 def _count(filter_, bits: int, longest: int, block_bytes: int):
     def run(batches):
         allowed = filter_.value
-        for x in slices(batches):
+        for x in slices(batches, 4 << 20):
             lang_hash, lang = x.column("lang_hash").to_numpy(), x.column("lang")
             words = np.zeros(x.num_rows, np.int64)
             for flat, bounds, first in _blocks(x.column("text"), block_bytes):
@@ -161,14 +161,14 @@ def _count(filter_, bits: int, longest: int, block_bytes: int):
     return run
 
 
-def counted_phrases(docs: DataFrame, frequent: DataFrame, support: int = 10, longest: int = 3, bits: int = 27, block_bytes: int = 2 << 20) -> DataFrame:
+def counted_phrases(docs: DataFrame, frequent: DataFrame, support: int = 10, longest: int = 3, bits: int = 27, block_bytes: int = 1 << 20) -> DataFrame:
     """``lang, phrase, width, f``: exact counts, over all documents, of the phrases of 1 to ``longest`` words that occur ``support`` times or more; and with ``width`` 0 and no phrase each language's words.
 
     Within a block phrases are told apart by 64-bit hashes, between blocks by themselves.
     """
     small_batches(docs.sparkSession)
     filter_ = docs.sparkSession.sparkContext.broadcast(bitmap(frequent, bits))
-    rows = _inputs(docs, 1).mapInArrow(_count(filter_, bits, longest, block_bytes), "lang string, phrase string, width long, n long")
+    rows = _inputs(docs, 1).mapInArrow(lean(_count(filter_, bits, longest, block_bytes)), "lang string, phrase string, width long, n long")
     return rows.groupBy("lang", "phrase", "width").agg(F.sum("n").alias("f")).where(f"f >= {support} OR width = 0")
 
 
