@@ -86,47 +86,48 @@ def _inputs(docs: DataFrame, shards: int) -> DataFrame:
     return docs.select(F.col("text").cast("string").alias("text"), lang.alias("lang"), F.xxhash64(lang).alias("lang_hash"), shard.alias("shard")).where("text IS NOT NULL")
 
 
-_MINED = pa.schema([("shard", pa.int64()), ("hash", pa.int64()), ("n", pa.int64())])
+_MINED = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+_SHARD_BITS = 6  # the low bits of a mined phrase's key are its shard, the others those of its hash
 
 
 def _mine(longest: int, block_bytes: int, hold: int):
-    def emitted(held):
-        hashes, counts = np.unique(np.concatenate(held), return_counts=True)
-        return hashes.view(np.int64), counts
+    shards = np.uint64((1 << _SHARD_BITS) - 1)
+
+    def counted(held):
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        return batch(_MINED, key=keys.view(np.int64), n=counts)
 
     def run(batches):
-        held: dict[int, list] = {}
-        size = 0
+        held, size = [], 0
         for x in slices(batches, 4 << 20):
-            lang, shard = x.column("lang_hash").to_numpy(), x.column("shard").to_numpy()
+            lang, shard = x.column("lang_hash").to_numpy(), x.column("shard").to_numpy().astype(np.uint64)
             for flat, bounds, first in _blocks(x.column("text"), block_bytes):
                 grams = Grams(flat, bounds, lang[first : first + len(bounds) - 1], longest)
-                own = shard[first + grams.text[grams.at]]
-                for s in np.unique(own).tolist():
-                    held.setdefault(s, []).append(grams.hash[own == s])
+                held.append(grams.hash & ~shards | shard[first + grams.text[grams.at]])
                 size += len(grams.hash)
                 if size >= hold:
-                    for s, h in held.items():
-                        hashes, counts = emitted(h)
-                        yield batch(_MINED, shard=np.full(len(hashes), s), hash=hashes, n=counts)
-                    held, size = {}, 0
-        for s, h in held.items():
-            hashes, counts = emitted(h)
-            yield batch(_MINED, shard=np.full(len(hashes), s), hash=hashes, n=counts)
+                    yield counted(held)
+                    held, size = [], 0
+        if held:
+            yield counted(held)
 
     return run
 
 
 def locally_frequent(docs: DataFrame, support: int = 10, shards: int = 4, longest: int = 3, block_bytes: int = 1 << 20, hold: int = 3_000_000) -> DataFrame:
-    """``shard, hash, n``: the phrases (as hashes with their language) that a shard holds ``support / shards`` times or more.
+    """``shard, hash, n``: the phrases (as 58 bits of a hash with their language) that a shard holds ``support / shards`` times or more.
 
     Shards are large, each mined by all tasks together: a task counts about ``hold``
     phrases at once, then counts are added up by shard and phrase. Equal documents lie
     in different shards as their ids do; the shares needn't be equal for the result.
     """
     small_batches(docs.sparkSession)
-    mined = _inputs(docs, shards).mapInArrow(lean(_mine(longest, block_bytes, hold)), "shard long, hash long, n long")
-    return mined.groupBy("shard", "hash").agg(F.sum("n").alias("n")).where(F.col("n") * shards >= support)
+    if not 0 < shards <= 1 << _SHARD_BITS:
+        raise ValueError(f"1 to {1 << _SHARD_BITS} shards")
+    mined = _inputs(docs, shards).mapInArrow(lean(_mine(longest, block_bytes, hold)), "key long, n long")
+    # Tasks have counted already: adding up before the shuffle would fill memory with phrases that occur once.
+    found = mined.repartition("key").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") * shards >= support)
+    return found.select(F.col("key").bitwiseAND(F.lit((1 << _SHARD_BITS) - 1)).alias("shard"), F.shiftright("key", _SHARD_BITS).alias("hash"), "n")
 
 
 def bitmap(hashes: DataFrame, bits: int = 27) -> np.ndarray:
@@ -151,7 +152,7 @@ def _count(filter_, bits: int, longest: int, block_bytes: int):
             for flat, bounds, first in _blocks(x.column("text"), block_bytes):
                 grams = Grams(flat, bounds, lang_hash[first : first + len(bounds) - 1], longest)
                 words[first : first + len(bounds) - 1] += np.bincount(grams.text, minlength=len(bounds) - 1)
-                low = grams.hash & np.uint64((1 << bits) - 1)
+                low = grams.hash >> np.uint64(_SHARD_BITS) & np.uint64((1 << bits) - 1)
                 kept = np.flatnonzero(allowed[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8) & 1)
                 _, one, times = np.unique(grams.hash[kept], return_index=True, return_counts=True)
                 one = kept[one]
