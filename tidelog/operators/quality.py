@@ -71,7 +71,7 @@ def very_many_checks(src: DataFrame, rel: DataFrame, attribute: str, kind: str)
 
 
 def ambiguous(conflict_rows: DataFrame, attribute: str) -> DataFrame:
-    """Issues from ``relate.conflicts``: one per reference that fits several destinations."""
+    """Issues from ``relate.conflicts`` (of a ``match`` with ``last`` the references needn't be expanded): one per reference that fits several destinations."""
     rows = conflict_rows.groupBy("src_id", "src_seqnr", "src_source", "value").agg(F.max("row_number").alias("n"))
     return rows.select(F.lit("ambiguous").alias("check"), F.lit(attribute).alias("attribute"), "src_id", "src_seqnr", "value", F.col("src_source").alias("source"), F.col("n").cast("long").alias("destinations"))
 
