@@ -370,3 +370,13 @@ def test_url_model_tells_unwanted_hosts(spark):
     assert [r["verdict"] for r in rows] == ["block", "block", "allow", "allow"]
     text = url_filter.op9(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_bounds_come_from_all_held_out_documents(spark):
+    """6000 held-out documents or so of two labels: the least score of all counts, whichever document has it."""
+    text = F.concat_ws(" ", F.md5(F.col("id").cast("string")), F.substring(F.sha1(F.col("id").cast("string")), 1, 9))
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), text.alias("text"), F.when(F.col("id") % 2 == 0, "de").otherwise("en").alias("lang"))
+    tagger = language_id.ByteTagger.fresh(["de", "en"])
+    held = language_id.label_languages(docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0), tagger)
+    want = {r.lang: r.least / 2 for r in held.where("lang = lang_pred").groupBy("lang").agg(F.min("score").alias("least")).collect()}
+    assert want and language_id.score_bounds(docs, tagger) == pytest.approx(want, abs=1e-12)

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import crc_bucket, free_name, lean, shuffle_width, slices, small_batches, text_bytes
+from tidelog.llm.common import crc_bucket, free_name, lean, slices, small_batches, text_bytes
 
 #: Units of each direction, the bytes of a window, and the bytes at a window's inner edges that are only read for their
 #: context: windows overlap by twice as many, so no position is labelled next to a cut.
@@ -248,21 +248,13 @@ def label_languages(docs: DataFrame, tagger: ByteTagger | None, label: str = "la
     return docs.select("*", flag.alias(free_name(docs, "_letters"))).mapInArrow(lean(run), schema)
 
 
-def score_bounds(docs: DataFrame, tagger: ByteTagger, per_label: int = 400) -> dict[str, float]:
-    """Half the lowest score among a label's held-out documents that get that label, ``per_label`` at most of each.
+def score_bounds(docs: DataFrame, tagger: ByteTagger) -> dict[str, float]:
+    """Half the lowest score among a label's held-out documents that get that label: all of them are scored.
 
     Held-out rows are those ``train_tagger`` leaves out. A label without such documents has no bound.
     """
-    rows = docs.where(F.col("lang").isin(tagger.labels) & F.col("text").isNotNull() & (crc_bucket(F.col("doc_id")) == 0)).select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
-    if not counts:
-        return {}
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.2 * per_label / r["n"]))])
-    key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    nth = F.row_number().over(W.partitionBy("lang").orderBy("key", "text"))
-    chosen = rows.withColumn("key", key).where(F.element_at(share, F.col("lang")) * (1 << 30) > F.col("key"))
-    sample = chosen.withColumn("nth", nth).where(F.col("nth") <= per_label).select("lang", "text")
-    scored = label_languages(sample.repartition(shuffle_width(docs.sparkSession)), tagger, "_pred", "_score").where("_pred = lang")
+    rows = docs.where(F.col("lang").isin(tagger.labels) & F.col("text").isNotNull() & (crc_bucket(F.col("doc_id")) == 0)).select(F.col("lang").cast("string").alias("lang"), "text")
+    scored = label_languages(rows, tagger, "_pred", "_score").where("_pred = lang")
     return {r["lang"]: r["least"] / 2 for r in scored.groupBy("lang").agg(F.min("_score").alias("least")).collect()}
 
 
