@@ -327,3 +327,10 @@ def test_stream_stamps_bulk_confirms(spark, tmp_path):
     apply_batch(eventlog.log_rows(packed.withColumns(more), "c", "things", "src", "app", "2024-01-01"), f"{tmp_path}/s", COLL, 0)
     found, _ = latest(spark, f"{tmp_path}/s", COLL)
     assert sorted((r["_tid"], r["_date_confirmed"].year) for r in found.collect()) == [("0", 2024), ("1", 2024), ("2", 2024), ("3", 2020)]
+
+
+def test_a_bucket_may_be_one_pack(spark):
+    """More confirms to a bucket than a pack usually has: the store cycle's SQL knows buckets only."""
+    rows = spark.range(25_000).select(F.lit("CONFIRM").alias("event"), F.col("id").cast("string").alias("tid"), F.col("id").alias("last_event"))
+    assert sorted(len(r["confirms"]) for r in pack_confirms(rows, None, 2).collect()) == sorted([r["count"] for r in rows.groupBy(F.pmod(F.conv(F.substring(F.md5("tid"), 1, 8), 16, 10).cast("long"), F.lit(2))).count().collect()])
+    assert pack_confirms(rows, buckets=2).count() == 4

@@ -84,17 +84,19 @@ def spread_key(column: Column, buckets: int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(column), 1, 8), 16, 10).cast("long"), F.lit(buckets))
 
 
-def pack_confirms(confirms: DataFrame, most: int = 10_000, buckets: int | None = None) -> DataFrame:
+def pack_confirms(confirms: DataFrame, most: int | None = 10_000, buckets: int | None = None) -> DataFrame:
     """CONFIRMs packed into BULKCONFIRMs of at most ``most`` members; a lone one stays a CONFIRM.
 
     Packs are made within hash buckets of the tid, in tid order, so packing is parallel and repeatable;
-    there are 64 buckets, or more for very many confirms, which are written first then. Returns ``event, tid, last_event, confirms``.
+    there are 64 buckets, or more for very many confirms, which are written first then. Without
+    ``most`` a bucket is one pack. Returns ``event, tid, last_event, confirms``.
     """
     if buckets is None:
         confirms = written(confirms, "confirms")
         buckets = parts_for(confirms, 64)
     numbered = confirms.withColumn("_bucket", spread_key(F.col("tid"), buckets))
-    numbered = numbered.withColumn("_pack", F.floor((F.row_number().over(W.partitionBy("_bucket").orderBy("tid", "last_event")) - 1) / most))
+    nth = F.row_number().over(W.partitionBy("_bucket").orderBy("tid", "last_event"))
+    numbered = numbered.withColumn("_pack", F.floor((nth - 1) / most) if most else F.lit(0).cast("long"))
     packed = numbered.groupBy("_bucket", "_pack").agg(F.array_sort(F.collect_list(F.struct("tid", "last_event"))).alias("confirms"))
     one = F.size("confirms") == 1
     first = F.get("confirms", F.lit(0))
