@@ -143,3 +143,21 @@ def test_hot_values_are_split_and_lose_nothing(spark, how):
     assert sorted(map(str, split.select("src.i", "src.k", "dst.v").collect())) == sorted(map(str, plain.collect()))
     hot = split.where("src.k = 'hot'").groupBy("src._piece").count().collect()
     assert len(hot) == 16 and max(r["count"] for r in hot) < 2 * sum(r["count"] for r in hot) / 16
+
+
+def test_one_file_is_worked_on_by_all_tasks(spark):
+    """Geometries are dealt out before they are parsed, and a point is worked out once and not again in a filter."""
+    rows = spark.range(400, numPartitions=1).select("id", F.concat(F.lit("POINT ("), "id", F.lit(" 1)")).alias("g"))
+    found = spatial.located(rows, F.col("g"), 1.0, [0]).where("_p.x IS NOT NULL")
+    assert found.count() == 400 and found.select(F.spark_partition_id()).distinct().count() == 4
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MULTI)?POINT") == 1
+    squares = spark.range(400, numPartitions=1).select("id", F.lit(wkt(box(0, 0, 1, 1))).alias("g"))
+    assert spatial.area_edges(squares, F.col("g")).select(F.input_file_name()).distinct().count() == 4
+
+
+def test_problems_need_no_rings(spark, monkeypatch):
+    rows = [("a", wkt(box(0, 0, 1, 1))), ("a", "POLYGON ((0 0, 2 2, 2 0, 0 2, 0 0))"), ("b", wkt(box(0, 0, 1, 1))), ("c", "nonsense")]
+    df = spark.createDataFrame(rows, "k string, g string")
+    want = sorted(map(tuple, overlay.union_areas(df, "k", "g").problems.collect()))
+    monkeypatch.setattr(overlay, "ranked_cycles", None)
+    assert sorted(map(tuple, overlay.union_problems(df, "k", "g").collect())) == want == [("a", "not a valid area", 1), ("c", "not a valid area", 1)]

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.spatial import is_valid, polygons
+from tidelog.functions.spatial import dealt, is_valid, once, polygons
 from tidelog.sources.shared import written
 
 #: The plane is sheared by this slope where sides are counted, so that no edge of ordinary data lies along a ray.
@@ -54,8 +54,10 @@ def directed_edges(df: DataFrame, key: str, geo: str) -> tuple[DataFrame, DataFr
 
     Equal areas of a group count once.
     """
-    areas = df.where(F.col(geo).isNotNull()).select(F.col(key).alias("key"), F.col(geo).alias("geo")).distinct().withColumn("parts", polygons(F.col("geo")))
-    valid = is_valid(F.flatten("parts"))
+    areas = dealt(df.where(F.col(geo).isNotNull()).select(F.col(key).alias("key"), F.col(geo).alias("geo")), "key", "geo").distinct()
+    areas = areas.withColumn("parts", once(polygons(F.col("geo")))).withColumn("rings", once(F.flatten("parts")))
+    areas = written(areas.select("key", "parts", is_valid(F.col("rings")).alias("valid")), "overlay-areas")
+    valid = F.col("valid")
     bad = areas.where(~valid).groupBy("key").agg(F.count("*").alias("n")).select("key", F.lit("not a valid area").alias("problem"), "n")
     rings = areas.where(valid).select("key", F.explode("parts").alias("part")).select("key", F.posexplode("part").alias("nth", "ring"))
     turned = rings.select("key", _turned(F.col("ring"), F.col("nth") > 0).alias("r"))
@@ -248,6 +250,20 @@ def _text(r: Column) -> Column:
     return F.concat(F.lit("("), F.array_join(F.transform(F.concat(r, F.array(F.get(r, F.lit(0)))), lambda p: F.concat(number(p["x"]), F.lit(" "), number(p["y"]))), ", "), F.lit(")"))
 
 
+def _outlined(df: DataFrame, key: str, geo: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The outline of each group's union, the successors of its pieces, and ``key, problem, n`` of what can't be united."""
+    edges, invalid = directed_edges(df, key, geo)
+    border = written(outline(pieces(edges)), "overlay-border")
+    links, open_ = successors(border)
+    open_ = written(open_, "overlay-open")
+    return border, links.join(open_.select("key"), "key", "left_anti"), invalid.unionByName(open_)
+
+
+def union_problems(df: DataFrame, key: str, geo: str) -> DataFrame:
+    """The ``problems`` of ``union_areas``: its outlines are made, but not put in order."""
+    return _outlined(df, key, geo)[2].withColumnRenamed("key", key)
+
+
 def union_areas(df: DataFrame, key: str, geo: str) -> Union:
     """The union of each group's areas (POLYGON or MULTIPOLYGON in WKT), overlapping, adjacent or apart.
 
@@ -258,11 +274,8 @@ def union_areas(df: DataFrame, key: str, geo: str) -> Union:
     area. Null geometries are ignored. A finished ring is one row, the work before
     it is dealt out by edge, whatever the size of a group or ring.
     """
-    edges, invalid = directed_edges(df, key, geo)
-    border = written(outline(pieces(edges)), "overlay-border")
-    links, open_ = successors(border)
-    open_ = written(open_, "overlay-open")
-    whole = written(links.join(open_.select("key"), "key", "left_anti"), "overlay-links")
+    border, links, problems = _outlined(df, key, geo)
+    whole = written(links, "overlay-links")
     ranked = ranked_cycles(whole).withColumnRenamed("leader", "ring")
     placed = written(border.join(ranked, "piece"), "overlay-placed")
     rings = placed.groupBy("key", F.col("ring").alias("leader")).agg(F.array_sort(F.collect_list(F.struct(F.col("steps"), F.col("x1").alias("x"), F.col("y1").alias("y")))).alias("r"))
@@ -278,4 +291,4 @@ def union_areas(df: DataFrame, key: str, geo: str) -> Union:
     parts = polygons_.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("low", "text"))).alias("p"))
     many = F.concat(F.lit("MULTIPOLYGON ("), F.array_join(F.transform("p", lambda p: p["text"]), ", "), F.lit(")"))
     wkt = F.when(F.size("p") == 1, F.concat(F.lit("POLYGON "), F.get("p", F.lit(0))["text"])).otherwise(many)
-    return Union(parts.select(F.col("key").alias(key), wkt.alias("wkt")), invalid.unionByName(open_).withColumnRenamed("key", key))
+    return Union(parts.select(F.col("key").alias(key), wkt.alias("wkt")), problems.withColumnRenamed("key", key))

@@ -134,12 +134,25 @@ def point_on_lines(parts: Column) -> Column:
 
 def surface_point(wkt: Column) -> Column:
     """A point on any geometry's surface: inside a valid area, on a line, or one of the points. Null for all else."""
-    areas, drawn, single = polygons(wkt), lines(wkt), points(wkt)
-    mean = lambda a: F.aggregate(single, F.lit(0.0), lambda s, p: s + p[a]) / F.size(single)
+    mean = lambda single, a: F.aggregate(single, F.lit(0.0), lambda s, p: s + p[a]) / F.size(single)
+    middle = lambda single: F.struct(mean(single, "x").alias("x"), mean(single, "y").alias("y"))
+    of_area = lambda parts: F.when(is_valid(F.flatten(parts)), point_on_surface(parts))
+    of_lines = lambda drawn: F.when(F.size(F.flatten(drawn)) > 1, point_on_lines(drawn))
+    of_points = lambda single: F.when(F.size(single) > 0, _bound(middle(single), lambda m: _nearest(single, m["x"], m["y"])))
     kind = F.upper(F.ltrim(wkt))
-    at = F.when(kind.contains("POLYGON"), F.when(is_valid(F.flatten(areas)), point_on_surface(areas)))
-    at = at.when(kind.contains("LINESTRING") & (F.size(F.flatten(drawn)) > 1), point_on_lines(drawn))
-    return at.when(kind.contains("POINT") & (F.size(single) > 0), _nearest(single, mean("x"), mean("y")))
+    at = F.when(kind.contains("POLYGON"), _bound(polygons(wkt), of_area))
+    at = at.when(kind.contains("LINESTRING"), _bound(lines(wkt), of_lines))
+    return at.when(kind.contains("POINT"), _bound(points(wkt), of_points))
+
+
+def once(value: Column) -> Column:
+    """``value`` as a row of its own, so that what is asked of it later (filters above all) doesn't work it out again."""
+    return F.explode(F.array(value))
+
+
+def dealt(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` dealt out to all tasks: geometries cost far more to work on than to read, and one small file is one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
 def _cell(v: Column, cell: float, level: Column) -> Column:
@@ -148,7 +161,7 @@ def _cell(v: Column, cell: float, level: Column) -> Column:
 
 def area_edges(dst: DataFrame, geo: Column) -> DataFrame:
     """``dst`` with its ``_edges`` and their number ``_area``, each valid area once, written to the shared folder; others are left out."""
-    areas = dst.withColumn("_rings", rings(geo)).withColumn("_edges", edges(F.col("_rings"))).where(is_valid(F.col("_rings"), F.col("_edges")))
+    areas = dealt(dst).withColumn("_rings", once(rings(geo))).withColumn("_edges", once(edges(F.col("_rings")))).where(is_valid(F.col("_rings"), F.col("_edges")))
     return written(areas.drop("_rings").withColumn("_area", F.monotonically_increasing_id()), "areas")
 
 
@@ -168,7 +181,7 @@ def gridded(areas: DataFrame, cell: float) -> DataFrame:
 
 def located(src: DataFrame, geo: Column, cell: float, levels: list[int]) -> DataFrame:
     """``src`` with a point ``_p`` on each geometry's surface and its grid cell on each of ``levels``. Null and invalid geometries have no point and one row."""
-    rows = src.withColumn("_p", surface_point(geo)).withColumn("_level", F.explode_outer(F.when(F.col("_p.x").isNotNull(), F.array(*map(F.lit, levels)).cast("array<int>"))))
+    rows = dealt(src).withColumn("_p", once(surface_point(geo))).withColumn("_level", F.explode_outer(F.when(F.col("_p.x").isNotNull(), F.array(*map(F.lit, levels)).cast("array<int>"))))
     return rows.withColumns({"_cx": _cell(F.col("_p.x"), cell, F.col("_level")), "_cy": _cell(F.col("_p.y"), cell, F.col("_level"))})
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.ranges import number_in_order
-from tidelog.functions.overlay import union_areas
+from tidelog.functions.overlay import union_areas, union_problems
 from tidelog.functions.spatial import union_points
 from tidelog.functions.temporal import latest_state
 from tidelog.specs import AutoIdSpec
@@ -96,7 +96,7 @@ def _referenced(df: DataFrame, column: str, on: str, other: DataFrame, key: str,
 
 def geounion_problems(df: DataFrame, column: str, on: str, other: DataFrame, key: str, geo: str) -> DataFrame:
     """``_id, problem, n``: areas that ``geounion`` leaves out, and rows whose union it can't make."""
-    return union_areas(_referenced(df, column, on, other, key, geo), "_id", "_geo").problems
+    return union_problems(_referenced(df, column, on, other, key, geo), "_id", "_geo")
 
 
 @enricher("geounion")
