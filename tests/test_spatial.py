@@ -161,3 +161,30 @@ def test_problems_need_no_rings(spark, monkeypatch):
     want = sorted(map(tuple, overlay.union_areas(df, "k", "g").problems.collect()))
     monkeypatch.setattr(overlay, "ranked_cycles", None)
     assert sorted(map(tuple, overlay.union_problems(df, "k", "g").collect())) == want == [("a", "not a valid area", 1), ("c", "not a valid area", 1)]
+
+
+def test_a_pair_of_edges_is_made_once(spark):
+    """Edges that share many cells meet in the first of them, so no shuffle of pairs is needed to tell repeats apart."""
+    rng = random.Random(3)
+    rows = [(i, "g", *[round(rng.uniform(-4, 4), 6) for _ in range(4)]) for i in range(80)] + [(80, "g", -4.0, 1.0, 4.0, 1.0), (81, "g", 0.0, 1.0, 0.0, 2.0), (82, "h", -4.0, -4.0, 4.0, 4.0)]
+    df = spark.createDataFrame(rows, "edge long, key string, x1 double, y1 double, x2 double, y2 double")
+    side = lambda r, x, y: (r[4] - r[2]) * (y - r[3]) - (x - r[2]) * (r[5] - r[3])
+    cross = lambda a, b: side(a, *b[2:4]) * side(a, *b[4:]) < 0 and side(b, *a[2:4]) * side(b, *a[4:]) < 0
+    want = {a[0]: n for a in rows[:80] if (n := sum(cross(a, b) for b in rows[:82] if b is not a))}
+    found = overlay._meetings(df)
+    got = {r.edge: len(r.cuts) for r in found.collect()}
+    assert {k: v for k, v in got.items() if k < 80} == want and 82 not in got
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2  # a group's levels, an edge's cuts
+
+
+def test_methods_of_the_edges_join_are_compiled(spark):
+    """The JVM interprets methods of more than 8000 bytes of bytecode. (The join as it was in round 3 passes this too.)"""
+    df = spark.createDataFrame([(0, "g", 0.0, 0.0, 1.0, 1.0)], "edge long, key string, x1 double, y1 double, x2 double, y2 double")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        query = overlay._meetings(df)._jdf.queryExecution()
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:\s*(\d+)", query.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(sizes) > 3 and max(sizes) < 8000

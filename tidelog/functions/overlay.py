@@ -72,43 +72,58 @@ def _level(extent: Column) -> Column:
 
 
 def _cells(df: DataFrame, level: Column) -> DataFrame:
+    """``df`` with a row for each cell ``cx, cy`` of the ``level`` that an edge may lie in, the first of them being ``lowx, lowy``."""
     side = F.pow(F.lit(2.0), level)
-    span = lambda a: F.sequence(F.floor((F.least(f"{a}1", f"{a}2") - _NEAR) / side).cast("long"), F.floor((F.greatest(f"{a}1", f"{a}2") + _NEAR) / side).cast("long"))
-    return df.withColumn("level", level).withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y")))
+    at = lambda v: F.floor(v / side).cast("long")
+    low = {f"low{a}": at(F.least(f"{a}1", f"{a}2") - _NEAR) for a in "xy"}
+    span = lambda a: F.sequence(F.col(f"low{a}"), at(F.greatest(f"{a}1", f"{a}2") + _NEAR))
+    return df.withColumns({"level": level, **low}).withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y")))
+
+
+def _apart(df: DataFrame, value: Column) -> DataFrame:
+    """The fields of a struct as the only columns, worked out before what follows.
+
+    Without this the filters that follow move into the join, and one generated method holds
+    it all: beyond 8000 bytes of bytecode the JVM interprets a method and never compiles it.
+    """
+    return df.select(once(value).alias("one")).select("one.*")
+
+
+def _both(s: str, o: str, names: tuple[str, ...]) -> Column:
+    """Edge ``s`` as ``e`` and edge ``o`` as ``f``, side by side."""
+    return F.struct(*[F.col(f"{a}.{c}").alias(f"{b}_{c}") for a, b in ((s, "e"), (o, "f")) for c in names])
 
 
 def _meetings(edges: DataFrame) -> DataFrame:
-    """``edge, at``: the points inside each edge at which another one of its group crosses or touches it.
+    """``edge, cuts``: the points inside each edge at which others of its group cross or touch it, each once.
 
     Every edge lies in the cells of its own level and looks into those of each coarser level that its group uses.
+    The cells that two edges share are a rectangle: they meet in its first cell only, so each pair is made once.
     The point of a crossing is worked out from both edges in one order, so that both are cut at the same numbers.
     """
-    own = edges.withColumn("own", _level(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))))
+    bounds = {f"least{a}": F.least(f"{a}1", f"{a}2") for a in "xy"} | {f"most{a}": F.greatest(f"{a}1", f"{a}2") + _NEAR for a in "xy"}
+    own = edges.withColumns(bounds).withColumn("own", _level(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))))
     home = _cells(own, F.col("own"))
     levels = own.groupBy("key").agg(F.array_sort(F.collect_set("own")).alias("levels"))  # a few dozen at most
     looking = own.join(levels, "key").withColumn("look", F.explode(F.filter("levels", lambda v: v >= F.col("own")))).drop("levels")
     f, e = home.alias("f"), _cells(looking, F.col("look")).alias("e")
     same = [F.col(f"e.{c}") == F.col(f"f.{c}") for c in ("key", "level", "cx", "cy")]
     later = (F.col("f.own") > F.col("e.own")) | (F.col("f.edge") > F.col("e.edge"))
-    apart = lambda s, o, a: F.greatest(f"{s}.{a}1", f"{s}.{a}2") + _NEAR < F.least(f"{o}.{a}1", f"{o}.{a}2")
-    boxes = ~(apart("e", "f", "x") | apart("f", "e", "x") | apart("e", "f", "y") | apart("f", "e", "y"))
+    first = [F.col(f"e.c{a}") == F.greatest(f"e.low{a}", f"f.low{a}") for a in "xy"]
+    boxes = [F.col(f"{s}.most{a}") >= F.col(f"{o}.least{a}") for s, o in ("ef", "fe") for a in "xy"]
     names = ("edge", "x1", "y1", "x2", "y2")
-
-    def reached(s: str, o: str) -> Column:
-        """Not both ends of edge ``o`` lie clearly on one side of the line through ``s``."""
-        dx, dy = F.col(f"{s}.x2") - F.col(f"{s}.x1"), F.col(f"{s}.y2") - F.col(f"{s}.y1")
-        one, two = (dx * (F.col(f"{o}.y{i}") - F.col(f"{s}.y1")) - (F.col(f"{o}.x{i}") - F.col(f"{s}.x1")) * dy for i in (1, 2))
-        near = _NEAR * F.sqrt(dx * dx + dy * dy)
-        return ~(((one > near) & (two > near)) | ((one < -near) & (two < -near)))
-
-    pairs = e.join(f, [*same, later, boxes, reached("e", "f"), reached("f", "e")]).select(*[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ef" for c in names])
-    pairs = pairs.dropDuplicates(["e_edge", "f_edge"])
-    swap = F.col("e_edge") > F.col("f_edge")
-    pairs = pairs.select(*[F.when(swap, F.col(f"f_{c}")).otherwise(F.col(f"e_{c}")).alias(f"e_{c}") for c in names], *[F.when(swap, F.col(f"e_{c}")).otherwise(F.col(f"f_{c}")).alias(f"f_{c}") for c in names])
+    pairs = e.join(f, [*same, later, *first, *boxes])
+    pairs = _apart(pairs, F.when(F.col("e.edge") < F.col("f.edge"), _both("e", "f", names)).otherwise(_both("f", "e", names)))
     side = lambda s, x, y: (F.col(f"{s}_x2") - F.col(f"{s}_x1")) * (F.col(y) - F.col(f"{s}_y1")) - (F.col(x) - F.col(f"{s}_x1")) * (F.col(f"{s}_y2") - F.col(f"{s}_y1"))
-    pairs = pairs.withColumns({"f1": side("e", "f_x1", "f_y1"), "f2": side("e", "f_x2", "f_y2"), "e1": side("f", "e_x1", "e_y1"), "e2": side("f", "e_x2", "e_y2")})
-    length = lambda s: F.hypot(F.col(f"{s}_x2") - F.col(f"{s}_x1"), F.col(f"{s}_y2") - F.col(f"{s}_y1"))
-    pairs = pairs.withColumns({f"{o}{i}": F.when(F.abs(F.col(f"{o}{i}")) > _NEAR * length(s), F.col(f"{o}{i}")).otherwise(0.0) for s, o in (("e", "f"), ("f", "e")) for i in (1, 2)})
+    sides = {"f1": side("e", "f_x1", "f_y1"), "f2": side("e", "f_x2", "f_y2"), "e1": side("f", "e_x1", "e_y1"), "e2": side("f", "e_x2", "e_y2")}
+    near = {f"near_{s}": _NEAR * F.hypot(F.col(f"{s}_x2") - F.col(f"{s}_x1"), F.col(f"{s}_y2") - F.col(f"{s}_y1")) for s in "ef"}
+    pairs = _apart(pairs, F.struct(*pairs.columns, *[v.alias(n) for n, v in {**sides, **near}.items()]))
+    # Not both ends of an edge lie clearly on one side of the line through the other.
+    reached = [(F.least(f"{o}1", f"{o}2") <= F.col(f"near_{s}")) & (F.greatest(f"{o}1", f"{o}2") >= -F.col(f"near_{s}")) for s, o in ("ef", "fe")]
+    pairs = pairs.where(reached[0] & reached[1])
+    settled = {f"{o}{i}": F.when(F.abs(F.col(f"{o}{i}")) > F.col(f"near_{s}"), F.col(f"{o}{i}")).otherwise(0.0) for s, o in ("ef", "fe") for i in (1, 2)}
+    ends = [c for c in pairs.columns if c not in {**settled, **near}]
+    pairs = _apart(pairs, F.struct(*ends, *[v.alias(n) for n, v in settled.items()]))
     t = F.col("e1") / (F.col("e1") - F.col("e2"))
     cross = F.when((F.col("f1") * F.col("f2") < 0) & (F.col("e1") * F.col("e2") < 0), F.struct(_rounded(F.col("e_x1") + t * (F.col("e_x2") - F.col("e_x1"))).alias("x"), _rounded(F.col("e_y1") + t * (F.col("e_y2") - F.col("e_y1"))).alias("y")))
     between = lambda v, a, b: (F.col(v) >= F.least(a, b) - _NEAR) & (F.col(v) <= F.greatest(a, b) + _NEAR)
@@ -121,7 +136,7 @@ def _meetings(edges: DataFrame) -> DataFrame:
 
     points = [("e", cross), ("f", cross), *[(s, touches(s, o, i)) for s, o in (("e", "f"), ("f", "e")) for i in (1, 2)]]
     found = pairs.select(F.explode(F.array(*[F.struct(F.col(f"{s}_edge").alias("edge"), p.alias("at")) for s, p in points])).alias("m")).select("m.*")
-    return found.where("at IS NOT NULL").distinct()
+    return found.where("at IS NOT NULL").groupBy("edge").agg(F.collect_set("at").alias("cuts"))  # the cuts of one edge
 
 
 def pieces(edges: DataFrame) -> DataFrame:
@@ -129,7 +144,7 @@ def pieces(edges: DataFrame) -> DataFrame:
     (x, y); ``turn`` is how many areas lie on its left more than on its right.
     """
     edges = written(edges.withColumn("edge", F.monotonically_increasing_id()), "overlay-edges")
-    cuts = _meetings(edges).groupBy("edge").agg(F.collect_list("at").alias("cuts"))  # the cuts of one edge
+    cuts = _meetings(edges)
     along = lambda p: F.struct(((p["x"] - F.col("x1")) * (F.col("x2") - F.col("x1")) + (p["y"] - F.col("y1")) * (F.col("y2") - F.col("y1"))).alias("t"), p["x"].alias("x"), p["y"].alias("y"))
     inner = F.transform(F.array_sort(F.transform(F.coalesce("cuts", F.array().cast("array<struct<x:double,y:double>>")), along)), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
     line = edges.join(cuts, "edge", "left").withColumn("p", F.concat(F.array(_point("x1", "y1")), inner, F.array(_point("x2", "y2"))))
