@@ -184,6 +184,14 @@ def test_small_large_and_mixed_clusters_agree_with_brute_force(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_groups(df, block_sets=8).collect()} == want
 
 
+def test_the_plan_of_block_pairs_stays_small(spark):
+    """Each join with sums of its own rows reads written rows: the driver holds and explains no plan that repeats them over and over."""
+    large = spark.range(400).select(F.col("id").alias("node"), (F.col("id") % 40 + 20).alias("n"), (F.col("id") % 2).alias("label"), (F.col("id") % 10).alias("component"))
+    pairs = near_dedup._block_pairs(large, 400, 1 << 20, 8)
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") <= 2
+    assert {r.node for r in pairs.select("node").distinct().collect()} == set(range(400))
+
+
 def test_recall_of_links_just_over_the_bound_in_a_crowded_region(spark):
     """Pairs of 80 to 85 % among texts that nearly all share most shingles, at a cap that makes every region crowded."""
     rng = random.Random(15)

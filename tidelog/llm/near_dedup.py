@@ -274,16 +274,19 @@ def _block_pairs(large: DataFrame, total: int, block_shingles: int, block_sets:
     done. The others are dealt into blocks of sets of like size; a component of more
     than ``block_sets`` sets has blocks of its own. Two blocks are compared unless
     their sizes rule out a link or both belong to the same one component.
+
+    Rows are written after each of the joins with their own sums. Such a join reads its
+    rows three times: one plan of them all would hold the first ones 27 times.
     """
     stats = large.groupBy("label").agg(F.count("*").alias("n_left"), (F.min("component") < F.max("component")).alias("open"))
-    rows = hot_join(large, stats, "label", total).where("open").drop("open")
+    rows = stage_table(hot_join(large, stats, "label", total).where("open").drop("open"), "near-open")
     sizes = rows.groupBy("component").agg(F.count("*").alias("n_left"), F.count("*").alias("members"))
-    rows = hot_join(rows, sizes, "component", total)
+    rows = stage_table(hot_join(rows, sizes, "component", total), "near-of-size")
     own = F.when(F.col("members") > block_sets, F.col("component"))
     rows = rows.withColumn("scale", F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int")).withColumn("kind", F.xxhash64("label", "scale", own)).drop("members")
     parts = F.greatest(F.ceil(F.sum("n") / block_shingles), F.ceil(F.count("*") / F.greatest(F.lit(block_sets), F.least(F.lit(32 * block_sets), F.count("*") / 32))))
     rows = hot_join(rows, rows.groupBy("kind").agg(F.count("*").alias("n_left"), parts.cast("long").alias("parts")), "kind", total)
-    rows = rows.withColumn("block", F.xxhash64("kind", F.pmod(F.xxhash64("node"), "parts")))
+    rows = stage_table(rows.withColumn("block", F.xxhash64("kind", F.pmod(F.xxhash64("node"), "parts"))), "near-blocks")
     blocks = rows.groupBy("block").agg(F.min("label").alias("label"), F.min("scale").alias("scale"), F.min("component").alias("low"), F.max("component").alias("high"))
     met = blocks.alias("x").join(blocks.alias("y"), F.expr("x.label = y.label AND x.block <= y.block AND abs(x.scale - y.scale) <= 1 AND NOT (x.low = x.high AND y.low = y.high AND x.low = y.low)"))
     met = met.select(F.col("x.block").alias("i"), F.col("y.block").alias("j")).withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
