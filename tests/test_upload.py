@@ -334,3 +334,24 @@ def test_a_bucket_may_be_one_pack(spark):
     rows = spark.range(25_000).select(F.lit("CONFIRM").alias("event"), F.col("id").cast("string").alias("tid"), F.col("id").alias("last_event"))
     assert sorted(len(r["confirms"]) for r in pack_confirms(rows, None, 2).collect()) == sorted([r["count"] for r in rows.groupBy(F.pmod(F.conv(F.substring(F.md5("tid"), 1, 8), 16, 10).cast("long"), F.lit(2))).count().collect()])
     assert pack_confirms(rows, buckets=2).count() == 4
+
+def test_a_large_pack_is_one_event_in_many_rows(spark, tmp_path):
+    """As in the store cycle: a pack has all confirms of its bucket, one id, and no row with more than ``part`` members."""
+    made = lambda n: spark.range(n).select(F.lit("CONFIRM").alias("event"), F.col("id").cast("string").alias("tid"), F.col("id").alias("last_event"), F.lit("0.1").alias("version"), F.lit(None).cast("string").alias("hash"), F.lit(None).cast("map<string,string>").alias("entity"), F.lit(None).cast("array<struct<key:string,old_value:string,new_value:string>>").alias("modifications"))
+    packed = pack_confirms(made(10_001), None, 4, part=100).withColumns({c: F.lit(None).cast(t) for c, t in (("hash", "string"), ("entity", "map<string,string>"), ("modifications", "array<struct<key:string,old_value:string,new_value:string>>"))} | {"version": F.lit("0.1")})
+    whole = pack_confirms(made(10_001), None, 4)
+    members = lambda df: sorted((r["pack"], m["tid"], m["last_event"]) for r in df.collect() for m in r["confirms"])
+    assert members(packed) == members(whole) and whole.count() == 4
+    sizes = [len(r["confirms"]) for r in packed.collect()]
+    assert max(sizes) == 100 and len(sizes) < 10_001 / 100 + 5
+    assert [(r["event"], r["tid"], r["pack"]) for r in pack_confirms(made(1), None, 1, part=100).collect()] == [("CONFIRM", "0", None)]
+    assert sorted((r["event"], len(r["confirms"])) for r in pack_confirms(made(101), None, 1, part=100).collect()) == [("BULKCONFIRM", 1), ("BULKCONFIRM", 100)]
+    assert sorted((r["pack"], len(r["confirms"])) for r in pack_confirms(made(25), 10, 1, part=4).collect()) == [(0, 2), (0, 4), (0, 4), (1, 2), (1, 4), (1, 4), (2, 1), (2, 4)]
+    others = made(3).withColumns({"event": F.lit("ADD"), "tid": F.concat(F.lit("n"), "tid"), "last_event": F.lit(None).cast("long"), "confirms": F.lit(None).cast("array<struct<tid:string,last_event:long>>"), "pack": F.lit(None).cast("long")})
+    log = log_of(spark, packed.unionByName(others), 40)
+    assert {r["eventid"]: r["n"] for r in log.groupBy("eventid").agg(F.count_distinct("action").alias("n")).collect()} == dict.fromkeys(range(41, 48), 1)
+    assert {r["eventid"] for r in log.where("action = 'BULKCONFIRM'").collect()} == {44, 45, 46, 47}
+    _, summary = apply_all(log, {"things": (COLL, empty_state(COLL, spark))})
+    assert (summary.first()["after"], summary.first()["add"], summary.first()["confirm"]) == (47, 3, 10_001)
+    valid = eventlog.validate_events(packed.unionByName(made(3).withColumns({"confirms": F.lit(None).cast("array<struct<tid:string,last_event:long>>"), "pack": F.lit(None).cast("long")})), spark.range(20_000).select(F.col("id").cast("string").alias("_tid"), (F.col("id") * 2).alias("_last_event")))
+    assert sorted((r["tid"], r["valid"]) for r in valid.where("tid IS NOT NULL").collect()) == [("0", True), ("1", False), ("2", False)] and valid.where("tid IS NULL AND valid").count() == len(sizes)

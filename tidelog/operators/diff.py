@@ -84,23 +84,30 @@ def spread_key(column: Column, buckets: int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(column), 1, 8), 16, 10).cast("long"), F.lit(buckets))
 
 
-def pack_confirms(confirms: DataFrame, most: int | None = 10_000, buckets: int | None = None) -> DataFrame:
+def pack_confirms(confirms: DataFrame, most: int | None = 10_000, buckets: int | None = None, part: int | None = None) -> DataFrame:
     """CONFIRMs packed into BULKCONFIRMs of at most ``most`` members; a lone one stays a CONFIRM.
 
     Packs are made within hash buckets of the tid, in tid order, so packing is parallel and repeatable;
     there are 64 buckets, or more for very many confirms, which are written first then. Without
-    ``most`` a bucket is one pack. Returns ``event, tid, last_event, confirms``.
+    ``most`` a bucket is one pack. With ``part`` a pack takes a row for every ``part`` members, so
+    that no row grows with the table; its rows have one ``pack`` number and are one event, for
+    ``assign_ids`` gives them one id. Returns ``event, tid, last_event, confirms, pack``.
     """
+    if part is not None and part < 2:
+        raise ValueError("part must be 2 or more: a first row of one member is a pack of one")
     if buckets is None:
         confirms = written(confirms, "confirms")
         buckets = parts_for(confirms, 64)
-    numbered = confirms.withColumn("_bucket", spread_key(F.col("tid"), buckets))
-    nth = F.row_number().over(W.partitionBy("_bucket").orderBy("tid", "last_event"))
-    numbered = numbered.withColumn("_pack", F.floor((nth - 1) / most) if most else F.lit(0).cast("long"))
-    packed = numbered.groupBy("_bucket", "_pack").agg(F.array_sort(F.collect_list(F.struct("tid", "last_event"))).alias("confirms"))
-    one = F.size("confirms") == 1
+    nth = F.row_number().over(W.partitionBy("_bucket").orderBy("tid", "last_event")) - 1
+    numbered = confirms.withColumn("_bucket", spread_key(F.col("tid"), buckets)).withColumn("_nth", nth)
+    numbered = numbered.withColumn("_pack", F.floor(F.col("_nth") / most) if most else F.lit(0).cast("long"))
+    within = F.col("_nth") - F.col("_pack") * (most or 0)
+    numbered = numbered.withColumn("_row", F.floor(within / part) if part else F.lit(0).cast("long"))
+    packed = numbered.groupBy("_bucket", "_pack", "_row").agg(F.array_sort(F.collect_list(F.struct("tid", "last_event"))).alias("confirms"))
+    one = (F.size("confirms") == 1) & (F.col("_row") == 0)  # a later row of one member is the rest of a pack
     first = F.get("confirms", F.lit(0))
-    return packed.select(F.when(one, "CONFIRM").otherwise("BULKCONFIRM").alias("event"), F.when(one, first["tid"]).alias("tid"), F.when(one, first["last_event"]).alias("last_event"), F.when(~one, F.col("confirms")).alias("confirms"))
+    number = F.when(~one, F.col("_pack") * buckets + F.col("_bucket"))
+    return packed.select(F.when(one, "CONFIRM").otherwise("BULKCONFIRM").alias("event"), F.when(one, first["tid"]).alias("tid"), F.when(one, first["last_event"]).alias("last_event"), F.when(~one, F.col("confirms")).alias("confirms"), number.alias("pack"))
 
 
 def compare_stats(new: DataFrame, events: DataFrame) -> DataFrame:

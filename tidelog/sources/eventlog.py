@@ -20,11 +20,18 @@ def assign_ids(events: DataFrame, start: int, buckets: int | None = None) -> Dat
 
     No task sees more than a bucket; the offsets are a row per bucket. There are 256 buckets,
     or more for very many events, which are written first then, so that they are computed
-    once. Within a tid, ids follow the event type.
+    once. Within a tid, ids follow the event type. Packs (``pack`` of ``pack_confirms``) come after
+    all other events: only their numbers are sorted, their members stay where they are, and
+    all rows of a pack get its one id.
     """
     if buckets is None:
         events = written(events, "events")
         buckets = parts_for(events, 256)
+    if "pack" in events.columns:
+        single, packed = events.where("pack IS NULL"), events.where("pack IS NOT NULL")
+        nth = F.row_number().over(W.orderBy("pack"))
+        ids = packed.select("pack").distinct().select("pack", (F.lit(start + single.count()) + nth).alias("eventid"))  # a row per pack
+        return assign_ids(single.drop("pack"), start, buckets).unionByName(packed.join(F.broadcast(ids), "pack").drop("pack"))
     rows = events.withColumn("_bucket", spread_key(F.coalesce("tid", F.lit("")), buckets))
     sizes = rows.groupBy("_bucket").agg(F.count("*").alias("_n"))
     before = sizes.select("_bucket", (F.sum("_n").over(W.orderBy("_bucket")) - F.col("_n")).alias("_before"))
@@ -211,12 +218,15 @@ def model_status(state: DataFrame, log: DataFrame, applied: int | None = None) -
 def validate_events(events: DataFrame, state: DataFrame) -> DataFrame:
     """Add ``valid``: an ADD of an unknown tid, or an event made on the entity's last event (both unknown counts as equal).
 
-    A stale or repeated event isn't valid, so storing is idempotent.
+    A stale or repeated event isn't valid, so storing is idempotent. Packs of confirms have no
+    tid and fit no row; they are dealt out by their first member, or one task would get all of them.
     """
     known = state.select(F.col("_tid").alias("_known"), F.col("_last_event").alias("_known_event"))
-    joined = events.join(known, events["tid"] == known["_known"], "left")
+    dealt = F.coalesce("tid", F.get("confirms", F.lit(0))["tid"]) if "confirms" in events.columns else F.col("tid")
+    events = events.withColumn("_dealt", dealt)
+    joined = events.join(known, (events["_dealt"] == known["_known"]) & events["tid"].isNotNull(), "left")
     valid = ((F.col("event") == "ADD") & F.col("_known").isNull()) | F.col("last_event").eqNullSafe(F.col("_known_event"))
-    return joined.withColumn("valid", valid).drop("_known", "_known_event")
+    return joined.withColumn("valid", valid).drop("_dealt", "_known", "_known_event")
 
 
 def update_stats(validated: DataFrame) -> DataFrame:
