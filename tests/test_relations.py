@@ -296,3 +296,22 @@ def test_ambiguous_references_are_not_expanded(spark):
     plan_ = conflicts(match(src, dst, spec), spec)._jdf.queryExecution().optimizedPlan().toString()
     assert not {"Aggregate", "Window", "Sort"} & set(plan_.split("Join ")[0].replace("+-", " ").split())
     assert conflicts(match(src, dst, spec), spec).count() == 2000 * 1999 + 10 * 9
+
+
+@pytest.mark.parametrize("unmatched", [False, True])
+@pytest.mark.parametrize("block", [(1024, 16_384), (3, 100), (1, 1999)])
+def test_crowded_values_meet_in_blocks(spark, unmatched, block, monkeypatch):
+    """References without a value, of values with one block and with many on either side: the same rows as without blocks."""
+    monkeypatch.setattr("tidelog.operators.relate.BLOCK", block)
+    src, dst = crowd(spark)
+    src = src.where("_id > 1990")
+    spec = [RelationSpec("A", "name")]
+    rows = lambda **kw: sorted(map(str, match(src, dst, spec, keep_unmatched=unmatched, **kw).select("*", "_dst.*").drop("_src", "_dst").collect()))
+    assert rows(crowded=True) == rows() and len(rows()) > 10_000
+
+
+def test_pairs_of_crowded_values_are_made_by_many_tasks(spark):
+    """Brands' parts and suppliers are few bytes and very many pairs: they don't all come from one task."""
+    for query in (plan.q_match_multiple_allowed,):
+        tasks = query(spark, SF).groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert len(tasks) > 1
