@@ -312,6 +312,6 @@ def test_crowded_values_meet_in_blocks(spark, unmatched, block, monkeypatch):
 
 def test_pairs_of_crowded_values_are_made_by_many_tasks(spark):
     """Brands' parts and suppliers are few bytes and very many pairs: they don't all come from one task."""
-    for query in (plan.q_match_multiple_allowed,):
+    for query in (plan.q_conflicts, plan.q_match_multiple_allowed):
         tasks = query(spark, SF).groupBy(F.spark_partition_id().alias("task")).count().collect()
         assert len(tasks) > 1
